@@ -235,3 +235,206 @@ def oracle_queries() -> dict[str, str]:
     q["top_share"] = _top_share("star_log")
     q["gini"] = _gini("star_log")
     return q
+
+
+# ---------------------------------------------------------------- quality
+def _parse(col: str) -> str:
+    d = f"try_cast({col} as decimal(38,9))"
+    return f"(case when {d} = floor({d}) then try_cast({d} as bigint) end)"
+
+
+_TEXT = {
+    "events": ("select cast(timestamp as varchar) as timestamp, cast(visitorid as varchar) as visitorid, event, "
+               "cast(itemid as varchar) as itemid, transactionid from log", ["log"]),
+    "props_text": ("select cast(timestamp as varchar) as timestamp, cast(itemid as varchar) as itemid, property, value, "
+                   "case when _source_name = 'part1' then 'item_properties_part1' else 'item_properties_part2' end "
+                   "as _source_name from props", ["props"]),
+    "category_tree": ("select cast(categoryid as varchar) as categoryid, cast(parentid as varchar) as parentid "
+                      "from tree_func", ["tree_func"]),
+}
+
+_SOURCES = [
+    ("events", "events_t", ["timestamp", "visitorid", "event", "itemid", "transactionid"],
+     ["timestamp", "visitorid", "itemid"], True),
+    ("item_properties_part1", "p1_t", ["timestamp", "itemid", "property", "value"], ["timestamp", "itemid"], True),
+    ("item_properties_part2", "p2_t", ["timestamp", "itemid", "property", "value"], ["timestamp", "itemid"], True),
+    ("category_tree", "tree_t", ["categoryid", "parentid"], ["categoryid", "parentid"], False),
+    ("raw_ids", "raw_ids", ["row_key", "raw_value"], ["raw_value"], False),
+]
+
+
+def _source_profile() -> str:
+    parts = []
+    for name, view, cols, ints, has_ts in _SOURCES:
+        items = [f"'{name}' as source", "count(*)::bigint as rows_read", f"{len(cols)}::bigint as columns",
+                 f"'{'|'.join(cols)}' as column_names",
+                 f"(select coalesce(sum(n - 1), 0) from (select count(*) as n from {view} group by all_cols) g)::bigint "
+                 "as exact_duplicate_rows".replace("group by all_cols", "group by " + ", ".join(cols)),
+                 "'stable_partition_then_exact_original_field_comparison' as duplicate_method"]
+        if has_ts:
+            items += [f"min({_parse('timestamp')}) as timestamp_min_ms", f"max({_parse('timestamp')}) as timestamp_max_ms"]
+        else:
+            items += ["null::bigint as timestamp_min_ms", "null::bigint as timestamp_max_ms"]
+        items += [f"count(*) filter (where {c} is null) as missing_count__{c}" for c in cols]
+        items += [f"{_share(f'count(*) filter (where {c} is null)', 'count(*)')} as missing_rate__{c}" for c in cols]
+        items += [f"count(*) filter (where {c} is not null and {_parse(c)} is null) as invalid_parse_count__{c}"
+                  for c in ints]
+        parts.append(f"select {', '.join(items)} from {view}")
+    body = " union all by name ".join(parts)
+    return with_fixtures(["log", "props", "tree_func", "raw_ids"], body, extra=[
+        ("events_t", _TEXT["events"][0]), ("props_t", _TEXT["props_text"][0]),
+        ("p1_t", "select timestamp, itemid, property, value from props_t where _source_name = 'item_properties_part1'"),
+        ("p2_t", "select timestamp, itemid, property, value from props_t where _source_name = 'item_properties_part2'"),
+        ("tree_t", _TEXT["category_tree"][0])])
+
+
+def _exact_duplicates() -> str:
+    ev_cols = "timestamp, visitorid, event, itemid, transactionid"
+    pcols = "timestamp, itemid, property, value"
+    body = (
+        "select 'events_file_internal' as duplicate_scope, "
+        f"(select coalesce(sum(n - 1), 0) from (select count(*) n from events_t group by {ev_cols}))::bigint "
+        "as exact_duplicate_row_count, null::bigint as exact_distinct_shared_row_count "
+        "union all select 'item_properties_part1_file_internal', coalesce(sum(greatest(n1 - 1, 0)), 0)::bigint, "
+        "null::bigint from pg "
+        "union all select 'item_properties_part2_file_internal', coalesce(sum(greatest(n2 - 1, 0)), 0)::bigint, "
+        "null::bigint from pg "
+        "union all select 'item_properties_cross_file', coalesce(sum(least(n1, n2)) filter (where n1 > 0 and n2 > 0), "
+        "0)::bigint, count(*) filter (where n1 > 0 and n2 > 0) from pg "
+        "union all select 'item_properties_combined', coalesce(sum(n1 + n2 - 1), 0)::bigint, null::bigint from pg "
+        "union all select 'category_tree_file_internal', "
+        "(select coalesce(sum(n - 1), 0) from (select count(*) n from tree_func group by categoryid, parentid))::bigint, "
+        "null::bigint")
+    return with_fixtures(["log", "props", "tree_func"], body, extra=[
+        ("events_t", _TEXT["events"][0]), ("props_t", _TEXT["props_text"][0]),
+        ("pg", f"select {pcols}, count(*) filter (where _source_name = 'item_properties_part1') as n1, "
+               f"count(*) filter (where _source_name = 'item_properties_part2') as n2 from props_t group by {pcols}")])
+
+
+_ITEM_SETS = [
+    ("ev", "select distinct itemid from log_items where itemid is not null"),
+    ("pr", "select distinct itemid from props where itemid is not null"),
+    ("ca", "select distinct itemid from props where itemid is not null and property = 'categoryid'"),
+    ("un", "select itemid from ev union select itemid from pr"),
+    ("cnt", "select (select count(*) from ev) as e, (select count(*) from pr) as p, (select count(*) from un) as u, "
+            "(select count(*) from ca) as c, (select count(*) from ev join pr using (itemid)) as ep, "
+            "(select count(*) from ev join ca using (itemid)) as ec, (select count(*) from pr join ca using (itemid)) "
+            "as pc, (select count(*) from un join ca using (itemid)) as uc"),
+]
+
+
+def _entity_coverage() -> str:
+    return with_fixtures(["log_items", "props"], (
+        "select e as event_item_count, p as property_item_count, ep as overlap_item_count, "
+        f"{_share('ep', 'e')} as event_items_with_properties_share, {_share('ep', 'p')} as "
+        "property_items_with_events_share from cnt"), extra=_ITEM_SETS)
+
+
+def _attribute_coverage() -> str:
+    return with_fixtures(["log_items", "props"], (
+        "select e as event_item_count, p as property_item_count, u as union_item_count, "
+        f"c as items_with_categoryid_count, {_share('ec', 'e')} as event_item_category_coverage, "
+        f"{_share('pc', 'p')} as property_item_category_coverage, {_share('uc', 'u')} as union_item_category_coverage "
+        "from cnt"), extra=_ITEM_SETS)
+
+
+# ---------------------------------------------------------------- history
+def _pairs_sql(src: str, by: list[str]) -> list[tuple[str, str]]:
+    k = ", ".join(by + ["itemid", "property"])
+    return [
+        ("hv", f"select * from {src} where itemid is not null and property is not null"),
+        ("base", f"select {k}, count(*) as record_count, count(distinct value) as unique_value_count, "
+                 "min(timestamp) as first_timestamp_ms, max(timestamp) as last_timestamp_ms, "
+                 "count(distinct timestamp) as distinct_timestamp_count, "
+                 f"count(*) filter (where value is null) as missing_value_count from hv group by {k}"),
+        ("sets", f"select {k}, timestamp, list_sort(list_distinct(list(coalesce(value, '<AUDIT_NULL>')))) as vs "
+                 f"from hv group by {k}, timestamp"),
+        ("fl", f"select {k}, count(distinct vs) as distinct_timestamp_value_sets, "
+               f"bool_or(len(vs) > 1) as same_timestamp_multiple_values from sets group by {k}"),
+        ("pairs", f"select base.*, fl.distinct_timestamp_value_sets, fl.same_timestamp_multiple_values, "
+                  f"fl.distinct_timestamp_value_sets > 1 as value_changes_over_time from base join fl using ({k})"),
+    ]
+
+
+def _roll_sql(by: list[str]) -> tuple[str, str]:
+    k = ", ".join(by + ["property"])
+    return ("roll", f"select {k}, sum(record_count)::bigint as record_count, count(*)::bigint as unique_item_count, "
+                    "sum(missing_value_count)::bigint as missing_value_count, min(first_timestamp_ms) as "
+                    "first_timestamp_ms, max(last_timestamp_ms) as last_timestamp_ms, "
+                    "count(*) filter (where distinct_timestamp_count > 1) as pairs_with_multiple_timestamps, "
+                    "count(*) filter (where unique_value_count > 1) as pairs_with_multiple_values, "
+                    "count(*) filter (where value_changes_over_time) as pairs_changing_over_time, "
+                    "count(*) filter (where same_timestamp_multiple_values) as pairs_with_same_timestamp_multiple_values "
+                    f"from pairs group by {k}")
+
+
+def _profile_sql(src: str, by: list[str], where: str = "true") -> str:
+    bsel = "".join(f"roll.{b}, " for b in by)
+    bk = ", ".join(by)
+    join_ti = f"left join ti using ({bk})" if by else ", ti"
+    extra = _pairs_sql(src, by) + [
+        _roll_sql(by),
+        ("vals", f"select {bk + ', ' if by else ''}coalesce(property, '<missing>') as property, "
+                 f"count(distinct value) as uvc from {src} group by {bk + ', ' if by else ''}coalesce(property, '<missing>')"),
+        ("ti", f"select {bk + ', ' if by else ''}count(distinct itemid) as n from {src} where itemid is not null"
+               + (f" group by {bk}" if by else "")),
+    ]
+    body = (f"select {bsel}roll.property, record_count, unique_item_count, coalesce(uvc, 0)::bigint as unique_value_count, "
+            f"missing_value_count, {_share('missing_value_count', 'record_count')} as missing_value_rate, "
+            f"{_share('unique_item_count', 'ti.n')} as item_coverage, first_timestamp_ms, last_timestamp_ms, "
+            "case when roll.property in ('categoryid', 'available') then 'explicit_dataset_property' "
+            "else 'unverified_hashed_property' end as semantic_status "
+            f"from roll left join vals using ({bk + ', ' if by else ''}property) {join_ti} where {where}")
+    return body, extra
+
+
+def _history_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["pair_history"] = with_fixtures(["props"], "select * from pairs", extra=_pairs_sql("props", []))
+    body, extra = _profile_sql("props", [])
+    q["property_profile"] = with_fixtures(["props"], body, extra=extra)
+    body, extra = _profile_sql("props", [], "roll.property in ('categoryid', 'available')")
+    q["special_properties"] = with_fixtures(["props"], body, extra=extra)
+    q["property_change"] = with_fixtures(["props"], (
+        "select property, unique_item_count as item_property_pair_count, pairs_with_multiple_timestamps, "
+        "pairs_with_multiple_values, pairs_changing_over_time, pairs_with_same_timestamp_multiple_values from roll"),
+        extra=_pairs_sql("props", []) + [_roll_sql([])])
+    q["special_record_counts"] = with_fixtures(["props"], (
+        "select property, count(*)::bigint as records from props where property in ('categoryid', 'available') "
+        "group by property"))
+    body, extra = _profile_sql("dbl", ["part"])
+    q["property_parts_profile"] = with_fixtures(["props"], body, extra=[
+        ("dbl", "select *, _source_name as part from props union all select *, 'combined' as part from props")] + extra)
+    q["asof_attribute"] = with_fixtures(["star_log", "props"], (
+        "select v.timestamp, v.visitorid, v.event, v.itemid, (select r.value from rec r where r.itemid = v.itemid "
+        "and r.timestamp <= v.timestamp order by r.timestamp desc limit 1) as asof_value from v"), extra=[
+        ("rec", "select itemid, timestamp, max(value) as value from props where property = 'categoryid' and itemid "
+                "is not null and timestamp is not null group by itemid, timestamp"),
+        ("v", f"select timestamp, visitorid, event, itemid from star_log where {VALID}")])
+    return q
+
+
+def _quality_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["source_profile"] = _source_profile()
+    q["parse_integer"] = with_fixtures(["raw_ids"], (
+        f"select row_key, raw_value, {_parse('raw_value')} as parsed_value, raw_value is null as is_missing, "
+        f"raw_value is not null and {_parse('raw_value')} is null as is_invalid from raw_ids"))
+    na = ", ".join("'" + t.replace("'", "''") + "'" for t in __import__("trailcheck.contracts", fromlist=["x"]).NA_TOKENS)
+    q["normalized_nulls"] = with_fixtures(["raw_ids"], (
+        f"select row_key, case when raw_value in ({na}) then null else raw_value end as raw_value from raw_ids"))
+    q["exact_duplicates"] = _exact_duplicates()
+    q["entity_coverage"] = _entity_coverage()
+    q["attribute_coverage"] = _attribute_coverage()
+    q["tagged_union"] = with_fixtures(["props"], "select * from props")
+    return q
+
+
+_base_oracle_queries = oracle_queries
+
+
+def oracle_queries() -> dict[str, str]:  # noqa: F811
+    q = _base_oracle_queries()
+    q.update(_quality_queries())
+    q.update(_history_queries())
+    return q

@@ -10,7 +10,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from trailcheck.functions.parsing import normalize_nulls
 from trailcheck.operators import behavior as B
+from trailcheck.operators import history as H
+from trailcheck.operators import quality as Q
+from trailcheck.sources.scan import tag_and_union
 from trailcheck.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,4 +42,48 @@ def registry() -> dict[str, Query]:
     q["item_metrics"] = _on(fx.log, B.item_metrics)
     q["top_share"] = _on(fx.star_log, B.top_share)
     q["gini"] = _on(fx.star_log, B.gini)
+
+    # ---- quality
+    q["source_profile"] = lambda spark, d: Q.source_profile(audit_sources(spark, d))
+    q["parse_integer"] = lambda spark, d: Q.parsed_ids(fx.raw_ids(spark, d), "row_key", "raw_value")
+    q["normalized_nulls"] = lambda spark, d: normalize_nulls(fx.raw_ids(spark, d), ["raw_value"])
+    q["exact_duplicates"] = lambda spark, d: Q.exact_duplicates(
+        fx.events_text(spark, d), fx.props_text(spark, d), fx.tree_func(spark, d),
+        ["timestamp", "visitorid", "event", "itemid", "transactionid"], ["timestamp", "itemid", "property", "value"])
+    q["entity_coverage"] = lambda spark, d: Q.entity_coverage(fx.log_items(spark, d), fx.props(spark, d))
+    q["attribute_coverage"] = lambda spark, d: Q.attribute_coverage(fx.log_items(spark, d), fx.props(spark, d))
+    q["tagged_union"] = lambda spark, d: _tagged_props(spark, d)
+    # ---- attribute history
+    q["pair_history"] = _on(fx.props, H.pair_history)
+    q["property_profile"] = _on(fx.props, H.property_profile)
+    q["property_change"] = _on(fx.props, H.property_change)
+    q["special_properties"] = _on(fx.props, H.special_properties)
+    q["special_record_counts"] = _on(fx.props, H.special_record_counts)
+    q["property_parts_profile"] = _on(fx.props, H.property_parts_profile)
+    q["asof_attribute"] = lambda spark, d: H.asof_attribute(fx.star_log(spark, d), fx.props(spark, d), "categoryid")
     return q
+
+
+def audit_sources(spark: SparkSession, sf_dir: str):
+    """The five raw text sources profiled by A01, with their declared specs."""
+    from trailcheck.contracts import EXPECTED_COLUMNS, INTEGER_COLUMNS
+
+    def spec(name):
+        return Q.SourceSpec(name, EXPECTED_COLUMNS[name], INTEGER_COLUMNS[name],
+                            "timestamp" if "timestamp" in EXPECTED_COLUMNS[name] else None)
+
+    pt = fx.props_text(spark, sf_dir)
+    cols = list(EXPECTED_COLUMNS["item_properties_part1"])
+    return [
+        (fx.events_text(spark, sf_dir), spec("events")),
+        (pt.filter(F.col("_source_name") == "item_properties_part1").select(*cols), spec("item_properties_part1")),
+        (pt.filter(F.col("_source_name") == "item_properties_part2").select(*cols), spec("item_properties_part2")),
+        (fx.tree_text(spark, sf_dir), spec("category_tree")),
+        (fx.raw_ids(spark, sf_dir), Q.SourceSpec("raw_ids", ("row_key", "raw_value"), ("raw_value",))),
+    ]
+
+
+def _tagged_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fx.props(spark, sf_dir)
+    parts = {name: p.filter(F.col("_source_name") == name).drop("_source_name") for name in ("part1", "part2")}
+    return tag_and_union(parts)
