@@ -438,3 +438,131 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
     q.update(_quality_queries())
     q.update(_history_queries())
     return q
+
+
+# ---------------------------------------------------------------- splits
+def _labels(scheme: str) -> str:
+    if scheme == "rows":
+        return ("select visitorid, itemid, timestamp, case when rn <= floor(n::double * 0.7::double) then 'train' "
+                "when rn <= floor(n::double * 0.85::double) then 'validation' else 'test' end as split from "
+                "(select *, row_number() over (order by timestamp, visitorid, itemid) as rn, count(*) over () as n "
+                "from sv) r")
+    d = int(scheme)
+    return (f"select visitorid, itemid, timestamp, case when timestamp >= mx - {d} * 86400000::bigint then 'test' "
+            f"when timestamp >= mx - {2 * d} * 86400000::bigint then 'validation' else 'train' end as split "
+            "from sv, (select max(timestamp) as mx from sv) m")
+
+
+def _scheme_name(scheme: str) -> str:
+    return "chronological_70_15_15_by_ordered_rows" if scheme == "rows" else \
+        f"last_{scheme}d_test_previous_{scheme}d_validation"
+
+
+def _split_metrics_sql(scheme: str, fixture: str = "pair_log") -> str:
+    body = (
+        f"select '{_scheme_name(scheme)}' as scheme, sp.split, "
+        "(select count(*) from lab where lab.split = sp.split)::bigint as event_count, "
+        "(select count(distinct visitorid) from lab where lab.split = sp.split)::bigint as user_count, "
+        "(select count(distinct itemid) from lab where lab.split = sp.split)::bigint as item_count, "
+        "case when sp.split = 'train' then 0.0::double else "
+        + _share("(select count(distinct visitorid) from lab where lab.split = sp.split and visitorid not in "
+                 "(select visitorid from tu))", "(select count(distinct visitorid) from lab where lab.split = sp.split)")
+        + " end as cold_user_share, case when sp.split = 'train' then 0.0::double else "
+        + _share("(select count(distinct itemid) from lab where lab.split = sp.split and itemid not in "
+                 "(select itemid from ti))", "(select count(distinct itemid) from lab where lab.split = sp.split)")
+        + " end as cold_item_share, "
+        + _share("(select count(distinct visitorid) from lab where lab.split = sp.split and visitorid in "
+                 "(select visitorid from tu))", "(select count(distinct visitorid) from lab where lab.split = sp.split)")
+        + " as users_with_training_history_share, "
+        + _share("(select count(distinct itemid) from lab where lab.split = sp.split and itemid in "
+                 "(select itemid from ti))", "(select count(distinct itemid) from lab where lab.split = sp.split)")
+        + " as items_seen_in_training_share, "
+        "(select count(*) from (select visitorid from lab where lab.split = sp.split group by visitorid "
+        "having count(*) >= 2) e)::bigint as next_item_eligible_user_count, "
+        "(select count(*) from (select visitorid from lab where lab.split = sp.split group by visitorid "
+        "having count(*) >= 2) e)::bigint as leave_future_out_eligible_user_count from sp")
+    return with_fixtures([fixture], body, extra=[
+        ("sv", f"select * from {fixture} where {VALID}"), ("lab", _labels(scheme)),
+        ("tu", "select distinct visitorid from lab where split = 'train'"),
+        ("ti", "select distinct itemid from lab where split = 'train'"),
+        ("sp", "select 'train' as split union all select 'validation' union all select 'test'")])
+
+
+def _boundaries_sql(fixture: str = "pair_log") -> str:
+    parts, extra = [], [("sv", f"select * from {fixture} where {VALID}")]
+    for s in ("rows", "7", "14"):
+        extra.append((f"lab_{s}", _labels(s)))
+        parts.append(f"select '{_scheme_name(s)}' as scheme, split, min(timestamp) as first_timestamp_ms, "
+                     f"max(timestamp) as last_timestamp_ms, count(*)::bigint as event_count from lab_{s} group by split")
+    return with_fixtures([fixture], " union all ".join(parts), extra=extra)
+
+
+def _cold_prior_sql(fixture: str = "pair_log") -> str:
+    parts, extra = [], [("sv", f"select * from {fixture} where {VALID}")]
+    for s in ("rows", "7", "14"):
+        lab = f"lab_{s}"
+        extra.append((lab, _labels(s)))
+        for split, prior in (("validation", "('train')"), ("test", "('train', 'validation')")):
+            uc = f"(select count(distinct visitorid) from {lab} where split = '{split}')"
+            ic = f"(select count(distinct itemid) from {lab} where split = '{split}')"
+            cu = (f"(select count(distinct visitorid) from {lab} where split = '{split}' and visitorid not in "
+                  f"(select visitorid from {lab} where split in {prior}))")
+            ci = (f"(select count(distinct itemid) from {lab} where split = '{split}' and itemid not in "
+                  f"(select itemid from {lab} where split in {prior}))")
+            parts.append(f"select '{_scheme_name(s)}' as scheme, '{split}' as split, {uc}::bigint as user_count, "
+                         f"{_share(cu, uc)} as cold_user_share_vs_prior, {ic}::bigint as item_count, "
+                         f"{_share(ci, ic)} as cold_item_share_vs_prior")
+    return with_fixtures([fixture], " union all ".join(parts), extra=extra)
+
+
+# ---------------------------------------------------------------- tree
+def _tree_ctes(fixture: str) -> list[tuple[str, str]]:
+    return [
+        ("nd0", f"select categoryid as node, min(parentid) as parent, count(*) as copies from {fixture} "
+                "where categoryid is not null group by categoryid"),
+        ("nd", "select a.*, b.node is not null as pexists from nd0 a left join nd0 b on b.node = a.parent"),
+        ("nn", "select count(*) as n from nd"),
+        ("walk", "select node, node as cur, 0 as steps from nd union all select w.node, p.parent, w.steps + 1 "
+                 "from walk w join nd p on p.node = w.cur where p.pexists and w.steps <= (select n from nn)"),
+        ("last", "select node, arg_max(cur, steps) as cur, max(steps) as steps from walk group by node"),
+        ("cyc", "select distinct node from walk where cur = node and steps > 0"),
+        ("det", "select nd.node as categoryid, nd.parent as parentid, nd.parent is null as is_root, "
+                "(nd.parent is not null and not nd.pexists) as has_missing_parent, "
+                "coalesce(nd.parent = nd.node, false) as is_self_loop, cyc.node is not null as is_cycle_node, "
+                "case when l.steps <= (select n from nn) and t.parent is null then (l.steps + 1)::bigint end "
+                "as resolved_depth from nd join last l on l.node = nd.node join nd t on t.node = l.cur "
+                "left join cyc on cyc.node = nd.node"),
+    ]
+
+
+def _tree_nodes_sql(fixture: str) -> str:
+    return with_fixtures([fixture], "select * from det", extra=_tree_ctes(fixture), recursive=True)
+
+
+def _tree_summary_sql(fixture: str) -> str:
+    return with_fixtures([fixture], (
+        f"select (select count(*) from {fixture})::bigint as category_row_count, count(*)::bigint as "
+        "distinct_category_count, (select coalesce(sum(copies) filter (where copies > 1), 0) from nd)::bigint as "
+        "duplicate_category_row_count, count(*) filter (where is_root) as root_count, count(*) filter (where "
+        "has_missing_parent) as missing_parent_node_count, count(*) filter (where is_self_loop) as self_loop_count, "
+        "count(*) filter (where is_cycle_node) as cycle_node_count, coalesce(max(resolved_depth), 0)::bigint as "
+        "max_resolved_depth from det"), extra=_tree_ctes(fixture), recursive=True)
+
+
+def _split_tree_queries() -> dict[str, str]:
+    q = {"split_by_rows": _split_metrics_sql("rows"), "split_last_7d": _split_metrics_sql("7"),
+         "split_last_14d": _split_metrics_sql("14"), "split_boundaries": _boundaries_sql(),
+         "cold_vs_prior_splits": _cold_prior_sql()}
+    for f in ("tree_func", "tree_heap"):
+        q[f"tree_nodes_{f.split('_')[1]}"] = _tree_nodes_sql(f)
+        q[f"tree_summary_{f.split('_')[1]}"] = _tree_summary_sql(f)
+    return q
+
+
+_base_oracle_queries2 = oracle_queries
+
+
+def oracle_queries() -> dict[str, str]:  # noqa: F811
+    q = _base_oracle_queries2()
+    q.update(_split_tree_queries())
+    return q

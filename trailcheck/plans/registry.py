@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from trailcheck.functions.parsing import normalize_nulls
 from trailcheck.operators import behavior as B
+from trailcheck.operators import hierarchy as T
 from trailcheck.operators import history as H
+from trailcheck.operators import splits as S
 from trailcheck.operators import quality as Q
 from trailcheck.sources.scan import tag_and_union
 from trailcheck.sources import fixtures as fx
@@ -61,6 +63,17 @@ def registry() -> dict[str, Query]:
     q["special_record_counts"] = _on(fx.props, H.special_record_counts)
     q["property_parts_profile"] = _on(fx.props, H.property_parts_profile)
     q["asof_attribute"] = lambda spark, d: H.asof_attribute(fx.star_log(spark, d), fx.props(spark, d), "categoryid")
+    # ---- temporal splits
+    q["split_by_rows"] = _on(fx.pair_log, S.split_by_rows)
+    q["split_last_7d"] = _on(fx.pair_log, lambda lg: S.split_by_days(lg, 7))
+    q["split_last_14d"] = _on(fx.pair_log, lambda lg: S.split_by_days(lg, 14))
+    q["split_boundaries"] = _on(fx.pair_log, S.split_boundaries)
+    q["cold_vs_prior_splits"] = _on(fx.pair_log, S.cold_vs_prior_splits)
+    # ---- category tree
+    q["tree_nodes_func"] = _on(fx.tree_func, T.tree_nodes)
+    q["tree_summary_func"] = _on(fx.tree_func, T.tree_summary)
+    q["tree_nodes_heap"] = _on(fx.tree_heap, T.tree_nodes)
+    q["tree_summary_heap"] = _on(fx.tree_heap, T.tree_summary)
     return q
 
 
