@@ -566,3 +566,143 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
     q = _base_oracle_queries2()
     q.update(_split_tree_queries())
     return q
+
+
+# ---------------------------------------------------------------- spec-only analytics
+def _concentration_bodies(items_cte: str) -> tuple[list[tuple[str, str]], str, str]:
+    fr = " union all ".join(f"select cast('{p}' as double) as p" for p in (0.01, 0.05, 0.10, 0.20))
+    ctes = [("lt_items", items_cte),
+            ("lt_rd", "select c, row_number() over (order by c desc, itemid asc) as rk from lt_items"),
+            ("lt_ra", "select c, row_number() over (order by c asc, itemid asc) as rk from lt_items"),
+            ("lt_nt", "select count(*) as n, coalesce(sum(c), 0) as t from lt_items"), ("lt_fr", fr)]
+    top = ("select p as top_item_percentage, 'ceil; ties resolved by ascending itemid' as rounding_rule, "
+           "topn as top_item_count, coalesce((select sum(c) from lt_rd where rk <= topn), 0)::bigint as "
+           f"behavior_count, {_share('coalesce((select sum(c) from lt_rd where rk <= topn), 0)', 'lt_nt.t')} as "
+           "behavior_contribution_share, 'top_contribution' as metric from (select p, case when n > 0 then "
+           "greatest(1, ceil(n::double * p))::bigint else 0::bigint end as topn from lt_fr, lt_nt) s, lt_nt")
+    gin = ("select null::double as top_item_percentage, 'all event-observed items' as rounding_rule, n::bigint as "
+           "top_item_count, t::bigint as behavior_count, case when n = 0 then null when t = 0 then 0.0::double else "
+           f"2.0::double * {_dbl('s')} / (n::double * t::double) - (n::double + 1.0::double) / n::double end as "
+           "behavior_contribution_share, 'gini_coefficient' as metric from (select (select n from lt_nt) as n, "
+           "(select t from lt_nt) as t, (select sum(cast(rk as decimal(38,0)) * c) from lt_ra) as s) z")
+    return ctes, top, gin
+
+
+def _long_tail_by_universe() -> str:
+    parts, extra = [], [
+        ("tot", f"select itemid, count(*) as c from log_items where {VALID} group by itemid"),
+        ("flags", "select itemid, bool_or(e) as e, bool_or(p) as p from (select itemid, true as e, false as p from "
+                  "log_items where itemid is not null union all select itemid, false, true from props where itemid is "
+                  "not null) u group by itemid"),
+        ("filled", "select f.itemid, f.e, f.p, coalesce(t.c, 0) as c from flags f left join tot t using (itemid)")]
+    for name, cond in (("event_items", "e"), ("property_items", "p"), ("union_items", "true")):
+        ctes, top, gin = _concentration_bodies(f"select itemid, c from filled where {cond}")
+        ren = {n: f"{n}_{name}" for n, _ in ctes}
+        def sub(t):
+            for a, b in sorted(ren.items(), key=lambda kv: -len(kv[0])):
+                t = __import__("re").sub(rf"\b{a}\b", b, t)
+            return t
+        extra += [(ren[n], sub(q)) for n, q in ctes]
+        parts.append(f"select '{name}' as universe, * from ({sub(top)}) a")
+        parts.append(f"select '{name}' as universe, * from ({sub(gin)}) b")
+    return with_fixtures(["log_items", "props"], " union all ".join(parts), extra=extra)
+
+
+def _spec_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["pair_order_patterns"] = with_fixtures(["log"], (
+        "select pattern, count(*)::bigint as pair_count from (select visitorid, itemid, string_agg(case when prev is "
+        "null then '' when prev = ts then '=' else '<' end || event, '' order by ts, event) as pattern from "
+        "(select *, lag(ts) over (partition by visitorid, itemid order by ts, event) as prev from firsts) x "
+        "group by visitorid, itemid) y group by pattern"), extra=[
+        ("firsts", f"select visitorid, itemid, event, min(timestamp) as ts from log where {VALID} and event in "
+                   "('view', 'addtocart', 'transaction') group by visitorid, itemid, event")])
+    ks = " union all ".join(f"select {k} as k" for k in (2, 3, 5, 10, 20))
+    q["short_history_removal_impact"] = with_fixtures(["pair_log"], (
+        "select k.k::bigint as min_user_events, (select count(*) from u where n >= k.k)::bigint as users_kept, "
+        f"{_share('(select count(*) from u where n >= k.k)', '(select count(*) from u)')} as user_share_kept, "
+        "(select coalesce(sum(n), 0) from u where n >= k.k)::bigint as events_kept, "
+        f"{_share('(select coalesce(sum(n), 0) from u where n >= k.k)', '(select sum(n) from u)')} as event_share_kept "
+        "from ks k"), extra=[("u", f"select visitorid, count(*) as n from pair_log where {VALID} group by visitorid"),
+                             ("ks", ks)])
+    lf = ["count(*)::bigint as item_count",
+          "count(*) filter (where tx = 0) as no_transaction_item_count",
+          f"{_share('count(*) filter (where tx = 0)', 'count(*)')} as no_transaction_item_share"]
+    for k in (2, 5, 10):
+        lf += [f"count(*) filter (where c < {k}) as items_below_{k}_events_count",
+               f"{_share(f'count(*) filter (where c < {k})', 'count(*)')} as items_below_{k}_events_share"]
+    q["low_frequency_share"] = with_fixtures(["order_log"], "select " + ", ".join(lf) + " from it", extra=[
+        ("it", f"select itemid, count(*) as c, count(*) filter (where event = 'transaction') as tx from order_log "
+               f"where {VALID} group by itemid")])
+    cuts = []
+    for d in (7, 14):
+        for label, mult in (("test_start", 1), ("validation_start", 2)):
+            cut = f"(mx - {mult * d} * 86400000::bigint)"
+            cuts.append(f"select 'last_{d}d_{label}' as cutoff, {cut} as cutoff_ms, "
+                        f"(select count(*) from it where last_ts >= {cut})::bigint as active_item_count, "
+                        f"(select count(*) from it where first_ts >= {cut})::bigint as new_item_count, "
+                        f"{_share(f'(select count(*) from it where first_ts >= {cut})', f'(select count(*) from it where last_ts >= {cut})')} "
+                        "as new_item_share from m")
+    q["new_item_cohorts"] = with_fixtures(["log"], " union all ".join(cuts), extra=[
+        ("it", f"select itemid, min(timestamp) as first_ts, max(timestamp) as last_ts from log where {VALID} "
+               "group by itemid"), ("m", f"select max(timestamp) as mx from log where {VALID}")])
+    q["long_tail_by_universe"] = _long_tail_by_universe()
+    q["history_features"] = with_fixtures(["order_log"], (
+        "select e.timestamp, e.visitorid, e.event, e.itemid, "
+        "(select count(*) from v p where p.visitorid = e.visitorid and p.timestamp < e.timestamp) as "
+        "user_prior_event_count, (select count(distinct floor(p.timestamp / 86400000)) from v p where "
+        "p.visitorid = e.visitorid and p.timestamp < e.timestamp) as user_prior_active_day_count, "
+        "(select count(*) from v p where p.itemid = e.itemid and p.timestamp < e.timestamp) as item_prior_event_count, "
+        "(select count(*) from v p where p.visitorid = e.visitorid and p.itemid = e.itemid and p.timestamp < "
+        "e.timestamp) as pair_prior_event_count from v e"), extra=[
+        ("v", f"select timestamp, visitorid, event, itemid from order_log where {VALID}")])
+    tree = _tree_ctes("tree_heap")
+    q["category_depth_coverage"] = with_fixtures(["props", "tree_heap"], (
+        "select det.resolved_depth, count(*)::bigint as item_count from latest left join det on det.categoryid = "
+        f"{_parse('latest.value')} group by det.resolved_depth"), extra=tree + [
+        ("latest", "select itemid, value from (select itemid, value, row_number() over (partition by itemid order by "
+                   "timestamp desc, value desc) as rn from props where property = 'categoryid' and itemid is not null "
+                   "and timestamp is not null and value is not null) r where rn = 1")], recursive=True)
+    day = "cast(date '1970-01-01' + cast(floor(timestamp / 86400000) as integer) as varchar)"
+    q["trend_hourly"] = with_fixtures(["log"], (
+        f"select 'hour' as granularity, {day} || ' ' || lpad(cast(cast(floor((timestamp % 86400000) / 3600000) as "
+        "bigint) as varchar), 2, '0') || ':00:00' as period_start_utc, event, count(*)::bigint as event_count from log "
+        "where timestamp is not null and event is not null group by 2, 3"))
+    wk = ("cast(date '1970-01-01' + cast(floor(timestamp / 86400000)::bigint - ((floor(timestamp / 86400000)::bigint "
+          "+ 3) % 7) as integer) as varchar)")
+    q["trend_weekly"] = with_fixtures(["order_log"], (
+        f"select 'week' as granularity, {wk} || ' 00:00:00' as period_start_utc, event, count(*)::bigint as "
+        "event_count from order_log where timestamp is not null and event is not null group by 2, 3"))
+    q["evidence_annotation"] = with_fixtures(["log"], (
+        "select 'B01_EVENT_DISTRIBUTION' as evidence_id, 'full' as data_scope, 'event rows read' as population, "
+        "'all event rows read' as denominator_definition, coalesce(event, '<missing>') as event, count(*)::bigint "
+        f"as event_count, {_share('count(*)', '(select count(*) from log)')} as event_share, "
+        "coalesce(event, '<missing>') in ('view', 'addtocart', 'transaction') as is_expected_event "
+        "from log group by coalesce(event, '<missing>')"))
+    ra = []
+    for name, view, cols, ints, _ in _SOURCES:
+        for c in cols:
+            valid = f"{_parse(c)} is not null" if c in ints else f"{c} is not null"
+            inv = f"{c} is not null and {_parse(c)} is null" if c in ints else "false"
+            ra.append(f"select '{name}' as source, '{c}' as column, count(*)::bigint as rows, count(*) filter (where "
+                      f"{c} is null) as missing, count(*) filter (where {inv}) as invalid, count(*) filter (where "
+                      f"{valid}) as valid, count(*) = count(*) filter (where {c} is null) + count(*) filter (where "
+                      f"{inv}) + count(*) filter (where {valid}) as reconciles from {view}")
+    q["row_accounting"] = with_fixtures(["log", "props", "tree_func", "raw_ids"], " union all ".join(ra), extra=[
+        ("events_t", _TEXT["events"][0]), ("props_t", _TEXT["props_text"][0]),
+        ("p1_t", "select timestamp, itemid, property, value from props_t where _source_name = 'item_properties_part1'"),
+        ("p2_t", "select timestamp, itemid, property, value from props_t where _source_name = 'item_properties_part2'"),
+        ("tree_t", _TEXT["category_tree"][0])])
+    q["rerun_equivalence"] = with_fixtures(["log"], (
+        "select 'item_metrics' as \"table\", count(*)::bigint as rows_a, count(*)::bigint as rows_b, 0::bigint as "
+        f"only_in_a, 0::bigint as only_in_b, true as equal from (select distinct itemid from log where {VALID}) i"))
+    return q
+
+
+_base_oracle_queries3 = oracle_queries
+
+
+def oracle_queries() -> dict[str, str]:  # noqa: F811
+    q = _base_oracle_queries3()
+    q.update(_spec_queries())
+    return q

@@ -13,7 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailcheck.functions.parsing import normalize_nulls
+from trailcheck.functions import hashing as HS
 from trailcheck.operators import behavior as B
+from trailcheck.operators import derived as X
+from trailcheck.operators import evidence as EV
+from trailcheck.plans import audit as AU
+from trailcheck.plans import catalog as CAT
 from trailcheck.operators import hierarchy as T
 from trailcheck.operators import history as H
 from trailcheck.operators import splits as S
@@ -74,9 +79,48 @@ def registry() -> dict[str, Query]:
     q["tree_summary_func"] = _on(fx.tree_func, T.tree_summary)
     q["tree_nodes_heap"] = _on(fx.tree_heap, T.tree_nodes)
     q["tree_summary_heap"] = _on(fx.tree_heap, T.tree_summary)
+    # ---- evidence layer
+    q["evidence_annotation"] = lambda spark, d: EV.annotate(
+        EV.Evidence(CAT.B01, B.event_distribution(fx.log(spark, d))), "full")
+    q["evidence_index"] = lambda spark, d: EV.evidence_index(AU.audit_metrics(AU.fixture_inputs(spark, d)))
+    q["feature_matrix"] = lambda spark, d: AU.feature_and_module_matrices(AU.fixture_inputs(spark, d))[0]
+    q["module_matrix"] = lambda spark, d: AU.feature_and_module_matrices(AU.fixture_inputs(spark, d))[1]
+    q["evidence_traceability"] = _traceability
+    q["row_accounting"] = lambda spark, d: EV.row_accounting(audit_sources(spark, d))
+    q["rerun_equivalence"] = lambda spark, d: EV.tables_equal(
+        "item_metrics", B.item_metrics(fx.log(spark, d)), B.item_metrics(fx.log(spark, d)))
+    q["stable_buckets"] = lambda spark, d: HS.stable_buckets(fx.log(spark, d), ["visitorid", "itemid"], 64)
+    q["bucket_manifest"] = lambda spark, d: HS.bucket_manifest(fx.log(spark, d), ["visitorid", "itemid"], 64,
+                                                               "events_user_item")
+    q["table_fingerprint"] = lambda spark, d: HS.table_fingerprint(fx.log(spark, d), "events")
+    # ---- analytics demanded by the specification
+    q["pair_order_patterns"] = _on(fx.log, X.pair_order_patterns)
+    q["short_history_removal_impact"] = _on(fx.pair_log, X.short_history_removal_impact)
+    q["low_frequency_share"] = _on(fx.order_log, X.low_frequency_share)
+    q["new_item_cohorts"] = _on(fx.log, X.new_item_cohorts)
+    q["long_tail_by_universe"] = lambda spark, d: X.long_tail_by_universe(fx.log_items(spark, d), fx.props(spark, d))
+    q["history_features"] = _on(fx.order_log, X.history_features)
+    q["category_depth_coverage"] = lambda spark, d: T.category_depth_coverage(fx.props(spark, d),
+                                                                              fx.tree_heap(spark, d))
+    q["trend_hourly"] = _on(fx.log, lambda lg: X.trend_at_granularity(lg, "hour"))
+    q["trend_weekly"] = _on(fx.order_log, lambda lg: X.trend_at_granularity(lg, "week"))
     return q
 
 
+def _traceability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every evidence id / metric cited by either rule catalogue must resolve."""
+    inp = AU.fixture_inputs(spark, sf_dir)
+    metrics = AU.audit_metrics(inp)
+    features = EV.feature_matrix(CAT.feature_rules_df(spark), metrics, inp.scope)
+    metrics = metrics.unionByName(EV.table_metrics(EV.feature_matrix_evidence(features)))
+    f = CAT.feature_rules_df(spark).select(F.lit("feature").alias("catalogue"), F.col("feature_name").alias("rule"),
+                                          "evidence_id", F.col("coverage_metric").alias("metric"))
+    m = CAT.module_rules_df(spark).select(F.lit("module").alias("catalogue"), F.col("module").alias("rule"),
+                                         F.explode("evidence_ids").alias("evidence_id"),
+                                         F.lit("row_count").alias("metric"))
+    return EV.unresolved_citations(f.unionByName(m), metrics, metric_col="metric")
+
+
 def audit_sources(spark: SparkSession, sf_dir: str):
     """The five raw text sources profiled by A01, with their declared specs."""
     from trailcheck.contracts import EXPECTED_COLUMNS, INTEGER_COLUMNS
