@@ -9,6 +9,7 @@ and any lost executor recomputes from that table, not from the CSV.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -49,6 +50,7 @@ def build_evidence(inp: AuditInputs) -> list[EV.Evidence]:
     """All evidence tables of one audit run (A01-F01), keyed for "first value" rules."""
     log, props, tree = inp.log, inp.props, inp.tree
     src_order = F.when(F.col("source") == "events", 0).otherwise(1)
+    nodes = T.tree_nodes(tree)
     ev = [
         EV.Evidence(C.A01, Q.source_profile(inp.raw_sources), (src_order, "source")),
         EV.Evidence(C.A02, Q.exact_duplicates(inp.events_text, inp.props_text, tree,
@@ -70,8 +72,8 @@ def build_evidence(inp: AuditInputs) -> list[EV.Evidence]:
         EV.Evidence(C.E03, H.special_properties(props), ("property",)),
         EV.Evidence(C.A03, Q.entity_coverage(log, props)),
         EV.Evidence(C.A04, Q.attribute_coverage(log, props)),
-        EV.Evidence(C.A05, T.tree_summary(tree)),
-        EV.Evidence(C.A06, T.tree_nodes(tree), ("categoryid",)),
+        EV.Evidence(C.A05, T.tree_summary(tree, detail=nodes)),
+        EV.Evidence(C.A06, nodes, ("categoryid",)),
     ]
     return ev
 
@@ -84,7 +86,18 @@ def audit_metrics(inp: AuditInputs) -> DataFrame:
     checks, matrices and the index read the result.
     """
     ensure_checkpoint_dir(inp.log.sparkSession)
-    return EV.evidence_metrics(build_evidence(inp)).checkpoint()
+    evidence = build_evidence(inp)
+    ids = [e.evidence_id for e in evidence]
+    if len(set(ids)) != len(ids):
+        raise ValueError("duplicate evidence ID")
+    # each table's metrics is an independent small job: submit them together
+    # so the cluster runs their stages side by side
+    with ThreadPoolExecutor(max_workers=min(8, len(evidence))) as pool:
+        parts = list(pool.map(lambda e: EV.table_metrics(e).checkpoint(), evidence))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def feature_and_module_matrices(inp: AuditInputs) -> tuple[DataFrame, DataFrame]:
