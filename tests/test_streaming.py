@@ -1,0 +1,21 @@
+"""Streaming counters equal the batch event distribution."""
+
+import tempfile
+
+from conftest import LOG_DDL
+from trailcheck.operators.behavior import event_distribution
+from trailcheck.streaming.profile import run_counters, stream_log
+
+
+def test_streaming_counters_match_batch(spark):
+    src = tempfile.mkdtemp(prefix="tc-stream-src-")
+    ckpt = tempfile.mkdtemp(prefix="tc-stream-ckpt-")
+    rows = [(i * 1000, i % 5, ["view", "addtocart", "transaction", None][i % 4], i % 7, None) for i in range(200)]
+    batch = spark.createDataFrame(rows, LOG_DDL)
+    for k in range(4):  # four arriving files
+        spark.createDataFrame(rows[k * 50:(k + 1) * 50], LOG_DDL).coalesce(1).write.mode("append").parquet(src)
+    q = run_counters(stream_log(spark, src, max_files_per_trigger=1), "tc_counters", ckpt)
+    q.awaitTermination(120)
+    got = {r.event: r.event_count for r in spark.sql("select * from tc_counters").collect()}
+    exp = {r.event: r.event_count for r in event_distribution(batch).collect()}
+    assert got == exp
