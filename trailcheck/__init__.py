@@ -2,9 +2,8 @@
 
 Every operator is a plain function over DataFrames that returns a DataFrame
 (an *evidence table*).  Heavy work runs as ordinary Spark jobs: grouped
-aggregates, windows, range-partitioned order statistics and joins.  No Python
-UDF sits on a hot path; the one Arrow-batched helper (a per-partition running
-sum) lives in :mod:`trailcheck.functions.ordering`.
+aggregates, windows, range-partitioned order statistics and joins, all with
+built-in expressions (no Python UDF).
 """
 
 from trailcheck.session import get_session, ensure_checkpoint_dir
