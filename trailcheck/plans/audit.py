@@ -8,9 +8,10 @@ and any lost executor recomputes from that table, not from the CSV.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -46,54 +47,71 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def build_evidence(inp: AuditInputs) -> list[EV.Evidence]:
-    """All evidence tables of one audit run (A01-F01), keyed for "first value" rules."""
+def evidence_plan(inp: AuditInputs) -> list[tuple[str, Callable[[], DataFrame], tuple]]:
+    """(evidence id, constructor, key order) for every table of one audit run."""
     log, props, tree = inp.log, inp.props, inp.tree
     src_order = F.when(F.col("source") == "events", 0).otherwise(1)
-    nodes = T.tree_nodes(tree)
-    ev = [
-        EV.Evidence(C.A01, Q.source_profile(inp.raw_sources), (src_order, "source")),
-        EV.Evidence(C.A02, Q.exact_duplicates(inp.events_text, inp.props_text, tree,
-                                              ["timestamp", "visitorid", "event", "itemid", "transactionid"],
-                                              ["timestamp", "itemid", "property", "value"]), ("duplicate_scope",)),
-        EV.Evidence(C.B01, B.event_distribution(log), ("event",)),
-        EV.Evidence(C.B02, B.daily_trend(log), ("date_utc", "event")),
-        EV.Evidence(C.B03, B.behavior_combinations(log), ("behavior_combination",)),
-        EV.Evidence(C.B04, B.prior_behavior(log)),
-        EV.Evidence(C.B05, B.prior_intervals(log), ("metric",)),
-        EV.Evidence(C.C01, B.user_sequences(log), ("visitorid",)),
-        EV.Evidence(C.C02, B.sequence_distribution(log), ("metric",)),
-        EV.Evidence(C.C03, B.length_buckets(log), ("sequence_length_bucket",)),
-        EV.Evidence(C.D01, B.item_metrics(log), ("itemid",)),
-        EV.Evidence(C.D02, B.item_concentration(log), ("metric", "top_item_percentage")),
-        EV.Evidence(C.F01, S.time_split_comparison(log), ("scheme", "split")),
-        EV.Evidence(C.E01, H.property_profile(props), ("property",)),
-        EV.Evidence(C.E02, H.property_change(props), ("property",)),
-        EV.Evidence(C.E03, H.special_properties(props), ("property",)),
-        EV.Evidence(C.A03, Q.entity_coverage(log, props)),
-        EV.Evidence(C.A04, Q.attribute_coverage(log, props)),
-        EV.Evidence(C.A05, T.tree_summary(tree, detail=nodes)),
-        EV.Evidence(C.A06, nodes, ("categoryid",)),
+    nodes: dict[str, DataFrame] = {}
+    lock = threading.Lock()
+
+    def tree_nodes() -> DataFrame:  # one walk shared by A05 and A06, also across threads
+        with lock:
+            if "n" not in nodes:
+                nodes["n"] = T.tree_nodes(tree)
+            return nodes["n"]
+
+    return [
+        (C.A01, lambda: Q.source_profile(inp.raw_sources), (src_order, "source")),
+        (C.A02, lambda: Q.exact_duplicates(inp.events_text, inp.props_text, tree,
+                                           ["timestamp", "visitorid", "event", "itemid", "transactionid"],
+                                           ["timestamp", "itemid", "property", "value"]), ("duplicate_scope",)),
+        (C.B01, lambda: B.event_distribution(log), ("event",)),
+        (C.B02, lambda: B.daily_trend(log), ("date_utc", "event")),
+        (C.B03, lambda: B.behavior_combinations(log), ("behavior_combination",)),
+        (C.B04, lambda: B.prior_behavior(log), ()),
+        (C.B05, lambda: B.prior_intervals(log), ("metric",)),
+        (C.C01, lambda: B.user_sequences(log), ("visitorid",)),
+        (C.C02, lambda: B.sequence_distribution(log), ("metric",)),
+        (C.C03, lambda: B.length_buckets(log), ("sequence_length_bucket",)),
+        (C.D01, lambda: B.item_metrics(log), ("itemid",)),
+        (C.D02, lambda: B.item_concentration(log), ("metric", "top_item_percentage")),
+        (C.F01, lambda: S.time_split_comparison(log), ("scheme", "split")),
+        (C.E01, lambda: H.property_profile(props), ("property",)),
+        (C.E02, lambda: H.property_change(props), ("property",)),
+        (C.E03, lambda: H.special_properties(props), ("property",)),
+        (C.A03, lambda: Q.entity_coverage(log, props), ()),
+        (C.A04, lambda: Q.attribute_coverage(log, props), ()),
+        (C.A06, tree_nodes, ("categoryid",)),
+        (C.A05, lambda: T.tree_summary(tree, detail=tree_nodes()), ()),
     ]
-    return ev
+
+
+def build_evidence(inp: AuditInputs) -> list[EV.Evidence]:
+    """All evidence tables of one audit run, keyed for "first value" rules."""
+    return [EV.Evidence(eid, make(), keys) for eid, make, keys in evidence_plan(inp)]
 
 
 def audit_metrics(inp: AuditInputs) -> DataFrame:
-    """Long metrics of every evidence table, computed once and checkpointed.
+    """Long metrics of every evidence table, each computed once and checkpointed.
 
-    The table is tiny (a few rows per evidence table) but its plan spans the
-    whole audit; a reliable checkpoint evaluates it once and lets rule
-    checks, matrices and the index read the result.
+    The metrics are tiny (a few rows per evidence table).  Building a table's
+    plan and running its metrics job happen together in one pooled task, so
+    plan analysis, the iterative tree walk and the small jobs of the other
+    tables overlap instead of queueing on the driver.
     """
     ensure_checkpoint_dir(inp.log.sparkSession)
-    evidence = build_evidence(inp)
-    ids = [e.evidence_id for e in evidence]
+    plan = evidence_plan(inp)
+    ids = [eid for eid, _, _ in plan]
     if len(set(ids)) != len(ids):
         raise ValueError("duplicate evidence ID")
-    # each table's metrics is an independent small job: submit them together
-    # so the cluster runs their stages side by side
-    with ThreadPoolExecutor(max_workers=min(8, len(evidence))) as pool:
-        parts = list(pool.map(lambda e: EV.table_metrics(e).checkpoint(), evidence))
+
+    def run(item):
+        eid, make, keys = item
+        return EV.table_metrics(EV.Evidence(eid, make(), keys)).checkpoint()
+
+    # A06 first: A05 waits on its walk
+    with ThreadPoolExecutor(max_workers=min(8, len(plan))) as pool:
+        parts = list(pool.map(run, sorted(plan, key=lambda x: x[0] != C.A06)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -122,11 +140,40 @@ def write_evidence(evidence: Sequence[EV.Evidence], out_dir: str, scope: str) ->
     return EV.evidence_index(EV.evidence_metrics(written), paths)
 
 
-def fixture_inputs(spark: SparkSession, sf_dir: str, scope: str = FULL_SCOPE) -> AuditInputs:
-    """Audit inputs drawn from the driver's tables (see sources.fixtures)."""
-    from trailcheck.plans.registry import audit_sources
+def fixture_inputs(spark: SparkSession, sf_dir: str, scope: str = FULL_SCOPE,
+                   materialized: bool = True) -> AuditInputs:
+    """Audit inputs drawn from the driver's tables (see sources.fixtures).
+
+    With ``materialized`` the parsed log, property history, tree and raw id
+    text are written once to the shared checkpoint folder; every evidence
+    plan (and the text views for A01/A02) then reads those narrow tables
+    instead of re-scanning and re-parsing the sources.
+    """
+    from trailcheck.contracts import EXPECTED_COLUMNS, INTEGER_COLUMNS
     from trailcheck.sources import fixtures as fx
 
-    return AuditInputs(log=fx.log(spark, sf_dir), props=fx.props(spark, sf_dir), tree=fx.tree_func(spark, sf_dir),
-                       raw_sources=audit_sources(spark, sf_dir), events_text=fx.events_text(spark, sf_dir),
-                       props_text=fx.props_text(spark, sf_dir), scope=scope)
+    log, props, tree, raw = (fx.log(spark, sf_dir), fx.props(spark, sf_dir), fx.tree_func(spark, sf_dir),
+                             fx.raw_ids(spark, sf_dir))
+    if materialized:
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            log, props, tree, raw = pool.map(lambda a: materialize(*a), [(log, "log"), (props, "props"),
+                                                                          (tree, "tree"), (raw, "raw_ids")])
+    events_text = fx.as_text(log, list(EXPECTED_COLUMNS["events"]))
+    props_text = fx.tag_parts_text(props)
+    cols = list(EXPECTED_COLUMNS["item_properties_part1"])
+
+    def spec(name):
+        return Q.SourceSpec(name, EXPECTED_COLUMNS[name], INTEGER_COLUMNS[name],
+                            "timestamp" if "timestamp" in EXPECTED_COLUMNS[name] else None)
+
+    raw_sources = [
+        (events_text, spec("events")),
+        (props_text.filter(F.col("_source_name") == "item_properties_part1").select(*cols),
+         spec("item_properties_part1")),
+        (props_text.filter(F.col("_source_name") == "item_properties_part2").select(*cols),
+         spec("item_properties_part2")),
+        (fx.as_text(tree, list(EXPECTED_COLUMNS["category_tree"])), spec("category_tree")),
+        (raw, Q.SourceSpec("raw_ids", ("row_key", "raw_value"), ("raw_value",))),
+    ]
+    return AuditInputs(log=log, props=props, tree=tree, raw_sources=raw_sources, events_text=events_text,
+                       props_text=props_text, scope=scope)

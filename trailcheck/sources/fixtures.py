@@ -137,22 +137,27 @@ def tree_heap(spark: SparkSession, sf_dir: str) -> DataFrame:
 PART_NAMES = {"part1": "item_properties_part1", "part2": "item_properties_part2"}
 
 
-def _as_text(df: DataFrame, columns: list[str]) -> DataFrame:
+def as_text(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The listed columns as the text a CSV scan would yield."""
     return df.select(*[F.col(c).cast("string").alias(c) for c in columns])
 
 
+def tag_parts_text(p: DataFrame) -> DataFrame:
+    """Property history as text, tagged with the declared part names."""
+    tag = F.when(F.col("_source_name") == "part1", PART_NAMES["part1"]).otherwise(PART_NAMES["part2"])
+    return p.select(*[F.col(c).cast("string").alias(c) for c in ["timestamp", "itemid", "property", "value"]],
+                    tag.alias("_source_name"))
+
+
 def events_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The behaviour log as the text a CSV scan would yield."""
-    return _as_text(log(spark, sf_dir), ["timestamp", "visitorid", "event", "itemid", "transactionid"])
+    return as_text(log(spark, sf_dir), ["timestamp", "visitorid", "event", "itemid", "transactionid"])
 
 
 def props_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attribute history as text, tagged with the declared part name."""
-    p = props(spark, sf_dir)
-    tag = F.when(F.col("_source_name") == "part1", PART_NAMES["part1"]).otherwise(PART_NAMES["part2"])
-    return p.select(*[F.col(c).cast("string").alias(c) for c in ["timestamp", "itemid", "property", "value"]],
-                    tag.alias("_source_name"))
+    return tag_parts_text(props(spark, sf_dir))
 
 
 def tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_text(tree_func(spark, sf_dir), ["categoryid", "parentid"])
+    return as_text(tree_func(spark, sf_dir), ["categoryid", "parentid"])
