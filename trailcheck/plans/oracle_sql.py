@@ -706,3 +706,82 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
     q = _base_oracle_queries3()
     q.update(_spec_queries())
     return q
+
+
+# ---------------------------------------------------------------- evidence layer
+def _count_of(sql: str) -> str:
+    return f"(select count(*) from ({sql}) z)"
+
+
+def _evidence_row_counts() -> dict[str, str]:
+    """Row count of every evidence table of the fixture audit (log, props, tree_func)."""
+    from trailcheck.plans import catalog as C
+
+    base = _base_oracle_queries4()
+    combos = with_fixtures(["log"], (
+        "select count(*) from (select distinct array_to_string(list_sort(list_distinct(list(event))), '|') "
+        "from log where visitorid is not null and event is not null group by visitorid) c"))
+    return {
+        C.A01: _count_of(base["source_profile"]), C.A02: _count_of(base["exact_duplicates"]),
+        C.B01: _count_of(base["event_distribution"]), C.B02: _count_of(base["daily_trend"]),
+        C.B03: f"({combos})", C.B04: "1", C.B05: "2",
+        C.C01: _count_of(base["user_sequences"]), C.C02: str(len(USER_METRICS)), C.C03: str(len(SEQUENCE_BUCKETS)),
+        C.D01: _count_of(base["item_metrics"]), C.D02: "5", C.F01: "9",
+        C.E01: _count_of(base["property_profile"]), C.E02: _count_of(base["property_change"]),
+        C.E03: _count_of(base["special_properties"]), C.A03: "1", C.A04: "1", C.A05: "1",
+        C.A06: _count_of(base["tree_nodes_func"]),
+    }
+
+
+def _lit(v) -> str:
+    return "null" if v is None else "'" + str(v).replace("'", "''") + "'"
+
+
+def _evidence_index_sql() -> str:
+    from trailcheck.plans.catalog import EVIDENCE_META
+
+    counts = _evidence_row_counts()
+    rows = [f"select {_lit(eid)} as evidence_id, {_lit(t)} as title, {_lit(p)} as population, {_lit(d)} as "
+            f"denominator, ({counts[eid]})::bigint as row_count, null::varchar as path"
+            for eid, (t, p, d) in EVIDENCE_META.items() if eid in counts]
+    return " union all ".join(rows)
+
+
+def _feature_matrix_sql() -> str:
+    from trailcheck.plans import catalog as C
+
+    counts = _evidence_row_counts()
+    v = f"select * from log where {VALID}"
+    metric_sql = {
+        (C.A01, "rows_read"): with_fixtures(["log"], "select cast(count(*) as varchar) from log"),
+        (C.A03, "overlap_item_count"): with_fixtures(["log", "props"], (
+            "select cast(count(*) as varchar) from (select distinct itemid from log where itemid is not null) e "
+            "join (select distinct itemid from props where itemid is not null) p using (itemid)")),
+        (C.A04, "union_item_category_coverage"): with_fixtures(["log", "props"], (
+            "select cast(case when u > 0 then c::double / u::double else 0.0::double end as varchar) from "
+            "(select (select count(*) from (select itemid from log where itemid is not null union select itemid "
+            "from props where itemid is not null) x) as u, (select count(distinct itemid) from props where itemid "
+            "is not null and property = 'categoryid') as c) z")),
+        (C.B04, "transaction_event_count"): with_fixtures(["log"], f"select cast(count(*) as varchar) from ({v}) t "
+                                                                   "where event = 'transaction'"),
+    }
+    parts = []
+    for rule in C.feature_rules_df.__globals__["FEATURE_RULES"]:
+        group, name, support, ev, metric, usage = rule
+        src, method, leak, limits = C._FEATURE_PROSE[support]
+        value = f"cast({counts[ev]} as varchar)" if metric == "row_count" else f"({metric_sql[(ev, metric)]})"
+        parts.append(f"select {_lit(group)} as feature_group, {_lit(name)} as feature_name, {_lit(src)} as "
+                     f"source_fields, {_lit(method)} as construction_method, {_lit(support)} as support_level, "
+                     f"{_lit(ev)} as coverage_evidence_id, {value} as coverage_value, {_lit(leak)} as leakage_risk, "
+                     f"{_lit(limits)} as limitations, {_lit(usage)} as recommended_usage, '' as notes")
+    return " union all ".join(parts)
+
+
+_base_oracle_queries4 = oracle_queries
+
+
+def oracle_queries() -> dict[str, str]:  # noqa: F811
+    q = _base_oracle_queries4()
+    q["evidence_index"] = _evidence_index_sql()
+    q["feature_matrix"] = _feature_matrix_sql()
+    return q
