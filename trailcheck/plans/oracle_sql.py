@@ -785,3 +785,60 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
     q["evidence_index"] = _evidence_index_sql()
     q["feature_matrix"] = _feature_matrix_sql()
     return q
+
+
+def _module_matrix_sql() -> str:
+    """H01 evidence text: ID[c1=v1,c2=v2] from each cited table's first two
+    numeric columns, first non-null value in the table's key order."""
+    from trailcheck.plans import catalog as C
+
+    base = _base_oracle_queries4()
+    cov = with_fixtures(["log", "props"], (
+        "select (select count(distinct itemid) from log where itemid is not null) as event_item_count, "
+        "(select count(distinct itemid) from props where itemid is not null) as property_item_count"))
+    spec = {  # evidence id -> (oracle body, key order, first two numeric columns)
+        C.A01: (base["source_profile"], "case when source = 'events' then 0 else 1 end, source",
+                ["rows_read", "columns"]),
+        C.A03: (cov, "1", ["event_item_count", "property_item_count"]),
+        C.A04: (cov, "1", ["event_item_count", "property_item_count"]),
+        C.B01: (base["event_distribution"], "event", ["event_count", "event_share"]),
+        C.B04: (base["prior_behavior"], "1", ["transaction_event_count", "with_strictly_prior_view_count"]),
+        C.C01: (base["user_sequences"], "visitorid", ["visitorid", "total_behavior_length"]),
+        C.C02: (base["sequence_distribution"], "metric", ["count", "mean"]),
+        C.C03: (_length_buckets("log"), "sequence_length_bucket", ["user_count", "user_share"]),
+        C.D01: (base["item_metrics"], "itemid", ["itemid", "total_behavior_count"]),
+        C.D02: (f"({_top_share('log')}) union all ({_gini('log')})", "metric, top_item_percentage nulls first",
+                ["top_item_percentage", "top_item_count"]),
+        C.E01: (base["property_profile"], "property", ["record_count", "unique_item_count"]),
+        C.E03: (base["special_properties"], "property", ["record_count", "unique_item_count"]),
+        C.F01: (" union all ".join(f"({_split_metrics_sql(s, 'log')})" for s in ("rows", "7", "14")),
+                "scheme, split", ["event_count", "user_count"]),
+    }
+
+    def text(eid: str) -> str:
+        if eid == C.G01:
+            return f"'{eid}[rows={len(C.FEATURE_RULES)}]'"
+        body, order, cols = spec[eid]
+        vals = [f"(select cast(\"{c}\" as varchar) from ({body}) t where \"{c}\" is not null order by {order} "
+                f"limit 1)" for c in cols]
+        pairs = " || ',' || ".join(f"'{c}=' || {v}" for c, v in zip(cols, vals))
+        return f"'{eid}[' || {pairs} || ']'"
+
+    parts = []
+    for module, support, evs, action, conf in C.MODULE_RULES:
+        req, scope, limits, leak = C._MODULE_PROSE[support]
+        evidence = " || '; ' || ".join(text(e) for e in evs)
+        parts.append(f"select {_lit(module)} as module, {_lit(req)} as required_data, {_lit(support)} as "
+                     f"dataset_support, {evidence} as evidence, {_lit(scope)} as feasible_scope, {_lit(limits)} as "
+                     f"limitations, {_lit(leak)} as leakage_risk, {_lit(action)} as recommended_action, "
+                     f"{_lit(conf)} as confidence, '' as notes")
+    return " union all ".join(parts)
+
+
+_base_oracle_queries5 = oracle_queries
+
+
+def oracle_queries() -> dict[str, str]:  # noqa: F811
+    q = _base_oracle_queries5()
+    q["module_matrix"] = _module_matrix_sql()
+    return q
