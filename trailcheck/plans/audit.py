@@ -14,6 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trailcheck.contracts import FULL_SCOPE
@@ -47,8 +48,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def evidence_plan(inp: AuditInputs) -> list[tuple[str, Callable[[], DataFrame], tuple]]:
-    """(evidence id, constructor, key order) for every table of one audit run."""
+def evidence_plan(inp: AuditInputs, cached: list[DataFrame] | None = None
+                  ) -> list[tuple[str, Callable[[], DataFrame], tuple]]:
+    """(evidence id, constructor, key order) for every table of one audit run.
+
+    Intermediates shared by several tables are persisted; they are appended
+    to ``cached`` so the caller can release them once the tables are done.
+    """
     log, props, tree = inp.log, inp.props, inp.tree
     src_order = F.when(F.col("source") == "events", 0).otherwise(1)
     nodes: dict[str, DataFrame] = {}
@@ -60,6 +66,17 @@ def evidence_plan(inp: AuditInputs) -> list[tuple[str, Callable[[], DataFrame],
                 nodes["n"] = T.tree_nodes(tree)
             return nodes["n"]
 
+    # intermediates read by several evidence tables: computed once, kept
+    # (memory and disk) for the duration of the audit
+    shared = {
+        "users": B.user_sequences(log), "items": B.item_metrics(log),
+        "tx": B.transaction_priors(log), "pairs": H.pair_history(props),
+    }
+    for df in shared.values():
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+        if cached is not None:
+            cached.append(df)
+    users, items, tx, pairs = shared["users"], shared["items"], shared["tx"], shared["pairs"]
     return [
         (C.A01, lambda: Q.source_profile(inp.raw_sources), (src_order, "source")),
         (C.A02, lambda: Q.exact_duplicates(inp.events_text, inp.props_text, tree,
@@ -68,17 +85,17 @@ def evidence_plan(inp: AuditInputs) -> list[tuple[str, Callable[[], DataFrame],
         (C.B01, lambda: B.event_distribution(log), ("event",)),
         (C.B02, lambda: B.daily_trend(log), ("date_utc", "event")),
         (C.B03, lambda: B.behavior_combinations(log), ("behavior_combination",)),
-        (C.B04, lambda: B.prior_behavior(log), ()),
-        (C.B05, lambda: B.prior_intervals(log), ("metric",)),
-        (C.C01, lambda: B.user_sequences(log), ("visitorid",)),
-        (C.C02, lambda: B.sequence_distribution(log), ("metric",)),
-        (C.C03, lambda: B.length_buckets(log), ("sequence_length_bucket",)),
-        (C.D01, lambda: B.item_metrics(log), ("itemid",)),
-        (C.D02, lambda: B.item_concentration(log), ("metric", "top_item_percentage")),
+        (C.B04, lambda: B.prior_behavior(log, tx), ()),
+        (C.B05, lambda: B.prior_intervals(log, tx), ("metric",)),
+        (C.C01, lambda: users, ("visitorid",)),
+        (C.C02, lambda: B.sequence_distribution(log, users), ("metric",)),
+        (C.C03, lambda: B.length_buckets(log, users), ("sequence_length_bucket",)),
+        (C.D01, lambda: items, ("itemid",)),
+        (C.D02, lambda: B.item_concentration(log, items), ("metric", "top_item_percentage")),
         (C.F01, lambda: S.time_split_comparison(log), ("scheme", "split")),
-        (C.E01, lambda: H.property_profile(props), ("property",)),
-        (C.E02, lambda: H.property_change(props), ("property",)),
-        (C.E03, lambda: H.special_properties(props), ("property",)),
+        (C.E01, lambda: H.property_profile(props, pairs=pairs), ("property",)),
+        (C.E02, lambda: H.property_change(props, pairs), ("property",)),
+        (C.E03, lambda: H.special_properties(props, pairs), ("property",)),
         (C.A03, lambda: Q.entity_coverage(log, props), ()),
         (C.A04, lambda: Q.attribute_coverage(log, props), ()),
         (C.A06, tree_nodes, ("categoryid",)),
@@ -100,7 +117,8 @@ def audit_metrics(inp: AuditInputs) -> DataFrame:
     tables overlap instead of queueing on the driver.
     """
     ensure_checkpoint_dir(inp.log.sparkSession)
-    plan = evidence_plan(inp)
+    cached: list[DataFrame] = []
+    plan = evidence_plan(inp, cached)
     ids = [eid for eid, _, _ in plan]
     if len(set(ids)) != len(ids):
         raise ValueError("duplicate evidence ID")
@@ -112,6 +130,8 @@ def audit_metrics(inp: AuditInputs) -> DataFrame:
     # A06 first: A05 waits on its walk
     with ThreadPoolExecutor(max_workers=min(8, len(plan))) as pool:
         parts = list(pool.map(run, sorted(plan, key=lambda x: x[0] != C.A06)))
+    for df in cached:  # the metrics are checkpointed: the cache is no longer read
+        df.unpersist()
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
