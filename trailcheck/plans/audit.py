@@ -139,7 +139,12 @@ def audit_metrics(inp: AuditInputs) -> DataFrame:
 
 
 def feature_and_module_matrices(inp: AuditInputs) -> tuple[DataFrame, DataFrame]:
-    """G01 then H01 (G01 is registered as evidence first, R26)."""
+    """G01 then H01 (G01 is registered as evidence first, R26).
+
+    A limited run is refused before any evidence is computed (R30).
+    """
+    if inp.scope != FULL_SCOPE:
+        raise EV.NonEvidentiaryMatrixError("formal feasibility conclusions are withheld for non-full runs")
     spark = inp.log.sparkSession
     metrics = audit_metrics(inp)
     features = EV.feature_matrix(C.feature_rules_df(spark), metrics, inp.scope)
@@ -197,3 +202,28 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, scope: str = FULL_SCOPE,
     ]
     return AuditInputs(log=log, props=props, tree=tree, raw_sources=raw_sources, events_text=events_text,
                        props_text=props_text, scope=scope)
+
+
+def run_audit(inp: AuditInputs, out_dir: str) -> dict[str, object]:
+    """End-to-end audit: every evidence table annotated and written as Parquet
+    under ``out_dir/evidence/<id>``, the evidence index, and — for a full run
+    only — the feature and module matrices (``out_dir/matrices/...``).
+
+    A limited run (``scope`` other than full) writes the evidence with its
+    scope label and withholds the matrices (R30).  Returns the index rows and
+    the matrix paths (or the reason they were withheld).
+    """
+    base = out_dir.rstrip("/")
+    evidence = build_evidence(inp)
+    index = write_evidence(evidence, f"{base}/evidence", inp.scope)
+    index.write.mode("overwrite").parquet(f"{base}/evidence_index")
+    result: dict[str, object] = {"scope": inp.scope, "index_path": f"{base}/evidence_index"}
+    if inp.scope != FULL_SCOPE:
+        result["matrices"] = "withheld: formal conclusions need a full-scope run"
+        return result
+    features, modules = feature_and_module_matrices(inp)
+    features.write.mode("overwrite").parquet(f"{base}/matrices/feature_feasibility")
+    modules.write.mode("overwrite").parquet(f"{base}/matrices/module_feasibility")
+    result["matrices"] = {"features": f"{base}/matrices/feature_feasibility",
+                          "modules": f"{base}/matrices/module_feasibility"}
+    return result
