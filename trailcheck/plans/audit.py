@@ -155,11 +155,14 @@ def feature_and_module_matrices(inp: AuditInputs) -> tuple[DataFrame, DataFrame]
 
 def write_evidence(evidence: Sequence[EV.Evidence], out_dir: str, scope: str) -> DataFrame:
     """S07 + S08: each annotated table to ``out_dir/<evidence id>`` (Parquet), then the index."""
-    paths = {}
-    for e in evidence:
-        path = f"{out_dir.rstrip('/')}/{e.evidence_id}"
-        EV.annotate(e, scope).write.mode("overwrite").parquet(path)
-        paths[e.evidence_id] = path
+    paths = {e.evidence_id: f"{out_dir.rstrip('/')}/{e.evidence_id}" for e in evidence}
+
+    def write(e: EV.Evidence) -> None:
+        EV.annotate(e, scope).write.mode("overwrite").parquet(paths[e.evidence_id])
+
+    # independent small jobs (the plans are already built): submit them together
+    with ThreadPoolExecutor(max_workers=min(8, len(evidence))) as pool:
+        list(pool.map(write, evidence))
     spark = evidence[0].frame.sparkSession
     written = [EV.Evidence(e.evidence_id, spark.read.parquet(paths[e.evidence_id]), e.keys) for e in evidence]
     return EV.evidence_index(EV.evidence_metrics(written), paths)
