@@ -107,10 +107,10 @@ class WordwiseEncoder:
         for held in (self.words, self.pieces):
             if len(held) > CACHED_WORDS:
                 held.clear()
-        if new := {w for words in split for w in words if w not in self.words}:
+        if new := set().union(*split).difference(self.words):
             self._learn(new)
-        known = self.words
-        return [b"".join([known[w] for w in words]) for words in split]
+        known = self.words.__getitem__
+        return [b"".join(map(known, words)) for words in split]
 
 
 def _encoder(path: str) -> WordwiseEncoder:
