@@ -11,7 +11,7 @@ ids alone.  The first row of each range travels a second time, as a guest of the
 range needs a look at another and the texts are shuffled once.
 
 Defined cases: a null or empty text has the empty fingerprint, and two empty ones have likeness 1; a text without a
-whole chain has one signature, the hash of all its words (of the text itself if it has none); rows with equal ids are
+whole chain has the hashes of its words as signatures (of the text itself if it has none); rows with equal ids are
 ordered by text; a null id comes last; a single row is its own next; repeated rows have a row each; an
 empty table gives an empty result; other columns are ignored.
 """
@@ -21,14 +21,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailcheck.llm.common import documents, map_batches, ship, texts
+from trailcheck.llm.common import documents, map_batches, texts
 
 ANCHORS = 48
 ANCHOR_LETTERS = 4
@@ -103,8 +102,8 @@ class SpotSigner:
                     mixed = (mixed * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes[at[first + k]] + (mixed >> np.uint64(29)))
                 mixed ^= mixed >> np.uint64(32)
                 return np.unique((mixed * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32))
-        whole_text = " ".join(words) if words else text
-        return np.frombuffer(hashlib.blake2b(whole_text.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "<u4")
+            return np.unique((hashes >> np.uint64(32)).astype(np.uint32))
+        return np.frombuffer(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "<u4")
 
 
 def written(signatures: np.ndarray) -> str:
@@ -191,41 +190,35 @@ def edited_likeness(df: DataFrame, anchors: list[str], id_col: str = "doc_id", t
     The edited text has the last third of the code points (rounded down) replaced by the first as many of the next
     document by descending id; the last document is followed by the first.
     """
-    ship(df.sparkSession)
     dealt = beside_next(df, id_col, text_col).repartition("range").sortWithinPartitions("range", "guest", F.desc_nulls_last("id"), F.desc("text"))
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     names = [x.split()[0] for x in schema.split(", ")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-        from pyspark.sql.types import _parse_datatype_string
-
-        target = to_arrow_schema(_parse_datatype_string(schema))
-        signer, out = SpotSigner(anchors), {k: [] for k in names}
+    def make():
+        signer, held = SpotSigner(anchors), None
 
-        def settle(row: tuple, nxt: tuple) -> None:
+        def settled(row: tuple, nxt: tuple) -> tuple:
             _, doc_id, text, own = row
             n = len(text)
             cut = n // 3
             edited = text[: n - cut] + nxt[2][:cut]
             other = signer.signatures(edited)
-            for k, v in zip(names, (doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), written(own), written(other), likeness(own, other), likeness(own, nxt[3]))):
-                out[k].append(v)
+            return (doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), written(own), written(other), likeness(own, other), likeness(own, nxt[3]))
 
-        held = None
-        for batch in batches:
+        def each(batch: pa.RecordBatch):
+            nonlocal held
             for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+                part, done = batch.slice(at, 200), []
                 for rng, guest, doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), texts(part.column(3))):
                     row = (rng, doc_id, text, signer.signatures(text))
                     if held is not None and held[0] == rng:
-                        settle(held, row)
+                        done.append(settled(held, row))
                     held = None if guest else row
-                if out["doc_id"]:
-                    yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in target], schema=target)
-                    out = {k: [] for k in names}
+                yield dict(zip(names, map(list, zip(*done)))) if done else {k: [] for k in names}
+
+        return each
 
-    return dealt.mapInArrow(run, schema)
+    return map_batches(dealt, schema, make)
 
 
 def op2_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
