@@ -8,6 +8,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,3 +96,31 @@ def texts(column: pa.Array) -> Iterator[str]:
     """Texts of a column, null as empty, one Python string at a time."""
     for x in column:
         yield x.as_py() or ""
+
+
+#: Cells of the membership bitmap: its size, and so what is broadcast, is fixed.
+BITMAP_BITS = 1 << 22
+
+
+def maybe_among(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """A table with ``df``'s rows and the flag ``__maybe``: false only for rows whose id is surely not in ``ids``.
+
+    ``ids`` (one column) is hashed into a bitmap of fixed size, which is broadcast; rows that it rules out
+    need not be shuffled to a join.
+    """
+    cell = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(BITMAP_BITS))
+    word = lambda c: F.shiftright(cell(c), 6).cast("int")
+    bits = ids.select(word(F.col(ids.columns[0])).alias("__word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(cast(`{ids.columns[0]}` as long)), {BITMAP_BITS}L) & 63 as int))").alias("bit"))
+    table = bits.groupBy("__word").agg(F.bit_or("bit").alias("__bits"))
+    met = df.withColumn("__word", word(F.col(id_col))).join(F.broadcast(table), "__word", "left")
+    shift = f"cast(pmod(xxhash64(cast(`{id_col}` as long)), {BITMAP_BITS}L) & 63 as int)"
+    return met.withColumn("__maybe", F.expr(f"coalesce((shiftrightunsigned(__bits, {shift}) & 1L) = 1L, false)")).drop("__word", "__bits")
+
+
+def without(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """``df`` without the rows whose id is in ``ids``; only rows that the bitmap cannot clear are shuffled."""
+    held = df.select(F.struct("*").alias("__row"), F.col(id_col).alias("__id"))
+    flagged = maybe_among(held, "__id", ids)
+    clear = flagged.where("not __maybe").select("__row.*")
+    left = flagged.where("__maybe").join(ids.select(F.col(ids.columns[0]).alias("__id")).distinct(), "__id", "left_anti").select("__row.*")
+    return clear.unionByName(left)
