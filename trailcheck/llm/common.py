@@ -72,7 +72,7 @@ def ship(spark: SparkSession) -> None:
 def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterable[dict]]]) -> DataFrame:
     """``mapInArrow`` with per-task state: ``make()`` runs once a task and returns the batch function.
 
-    The function yields dicts of column lists or arrays; empty batches are left out.
+    The function takes its columns by place and yields dicts of column lists or arrays; empty batches are left out.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -89,7 +89,7 @@ def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Reco
                         [v if isinstance(v, pa.Array) and v.type == f.type else pa.array(v, type=f.type)
                          for f, v in ((f, out[f.name]) for f in target)], schema=target)
 
-    return df.mapInArrow(run, schema)
+    return df.toDF(*(f"_{i}" for i in range(len(df.columns)))).mapInArrow(run, schema)  # names that need no quoting
 
 
 def texts(column: pa.Array) -> Iterator[str]:

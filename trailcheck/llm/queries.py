@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailcheck.llm import bpe, exact_dedup, language_id, packing, shingle_join, spot_signatures, token_counts, token_files, warc
+from trailcheck.llm import bpe, exact_dedup, language_id, packing, shingle_join, spot_signatures, suffix_dedup, token_counts, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_round_trip": bpe.op3_bpe_round_trip,
     "op4_token_files": token_files.op4_token_files,
     "op5_warc_archive": warc.op5_warc_archive,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_shingle_join": shingle_join.op8_shingle_join,
     "op9_language_id": language_id.op9_language_id,
