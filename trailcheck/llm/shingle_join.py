@@ -6,15 +6,15 @@ sums them per document or pair, so that no task holds whole sets of many documen
 
 1. Documents with equal sets are one class; from here on only classes are compared.
 2. *Which classes can link at all.*  A link needs three quarters of either set, so a class with more than a quarter
-   of shingles that no other class has is out.  Per fragment, shingles met in one class only are counted from the
-   packed hashes; long sets take part with those hashes under ``SHARE`` of the order, the same ones in every set,
-   and may miss a quarter of the whole set.
+   of shingles that no other class has is out.  They are counted per fragment from packed hashes, of which a batch
+   of documents sends two a shingle at most, however hot; long sets take part with those hashes under
+   ``SHARE`` of the order, the same ones in every set, and may miss a quarter of the whole set.
 3. *Cheap links.*  Candidates that share one of ``KEYS`` minima of the set under random permutations are checked against
-   the first of them, so a group of any size costs a pair a member.  Links found form components.
+   the first of them, so a group of any size costs a few pairs a member.  Links found form components.
 4. *The rest, exactly.*  Two candidates of different components share only shingles met in several components.
-   Candidates with too few of these are done; for the others steps 3 and 4 repeat with new permutations.
-   After ``ROUNDS`` the pairs that share a shingle of the frequency-ordered prefix across components are all
-   checked.  Members of the commonest component of a shingle are not paired with one another.
+   Candidates with too few of these are done.  The others are ordered by frequency, and pairs across components
+   that share a shingle are checked if its places leave room for the overlap that their sizes ask for.
+   Members of the commonest component of a shingle are not paired with one another.
 
 A pair is checked by joining both sets' segments on the fragment, counting each overlap and adding up the counts.
 
@@ -44,10 +44,9 @@ LEAST = (75, 100)
 SHARE = 0.375
 LONG_SET = 200
 KEYS = 8
-ROUNDS = 2
 SEGMENTS = 8
 FRAGMENT_DOCS = 4_000
-FRAGMENTS = (12, 1 << 16)
+FRAGMENTS = (64, 1 << 20)
 CACHED_WORDS = 300_000
 _HIGH = np.uint64(24)
 
@@ -89,11 +88,6 @@ def emitted_below(n: int) -> float:
     return 1.0 if n < LONG_SET else SHARE
 
 
-def counted_below(n: int) -> float:
-    """Share of the order that every possible partner of a set of n shingles shows too."""
-    return emitted_below(n * LEAST[1] // LEAST[0] + 1)
-
-
 def needed(n: Column) -> Column:
     """Least overlap that a link asks of a set of n shingles."""
     return F.ceil(n * LEAST[0] / LEAST[1])
@@ -112,33 +106,33 @@ def shingle_classes(df: DataFrame, id_col: str, text_col: str, at: str) -> tuple
             for start in range(0, batch.num_rows, 2_000):
                 part = batch.slice(start, 2_000)
                 rows: dict[str, list] = {"n": [], "d1": [], "d2": []}
-                packs: list[np.ndarray] = []
-                owners: list[int] = []
-                limits: list[int] = []
+                packs: dict[int, np.ndarray] = {}
                 for text in texts(part.column(1)):
                     s = shingles(text)
                     d1, d2 = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8").tolist()
                     for k, v in zip(rows, (len(s), d1, d2)):
                         rows[k].append(v)
-                    if len(s):
-                        shown = s[s >> _HIGH < np.uint64(int(emitted_below(len(s)) * (1 << 40)))]
-                        packs.append(shown)
-                        owners.append(d1)
-                        limits.append(len(shown))
+                    if len(s) and d1 not in packs:
+                        packs[d1] = s[s >> _HIGH < np.uint64(int(emitted_below(len(s)) * (1 << 40)))]
                 none = [None] * part.num_rows
                 yield {"fragment": [-1] * part.num_rows, "id": part.column(0), **rows, "classes": none, "sizes": none, "hashes": none}
                 if packs:
-                    everything, owner = np.concatenate(packs), np.repeat(np.arange(len(packs)), limits)
-                    where = (everything % np.uint64(fragments)).astype(np.int64)
-                    order = np.argsort(where, kind="stable")
-                    cuts = np.searchsorted(where[order], np.arange(fragments + 1))
-                    for f in range(fragments):
-                        some = order[cuts[f] : cuts[f + 1]]
-                        if len(some):
-                            who, sizes = np.unique(owner[some], return_counts=True)
-                            high = (everything[some] >> _HIGH).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                            yield {"fragment": [f], "id": [None], "n": [None], "d1": [None], "d2": [None],
-                                   "classes": [np.array([owners[w] for w in who], "<i8").tobytes()], "sizes": [sizes.astype("<u4").tobytes()], "hashes": [high.tobytes()]}
+                    classes = np.array(list(packs), "<i8")
+                    value, owner = np.concatenate(list(packs.values())), np.repeat(np.arange(len(packs)), [len(x) for x in packs.values()])
+                    order = np.argsort(value, kind="stable")
+                    value, owner = value[order], owner[order]
+                    # two classes of a shingle tell as much as all of them: a hot one sends two entries a batch
+                    two = np.ones(len(value), bool)
+                    two[2:] = value[2:] != value[:-2]
+                    value, owner = value[two], owner[two]
+                    where = (value % np.uint64(fragments)).astype(np.int64)
+                    order = np.lexsort((owner, where))
+                    met, cuts = np.unique(where[order], return_index=True)
+                    for f, some in zip(met.tolist(), np.split(order, cuts[1:])):
+                        who, sizes = np.unique(owner[some], return_counts=True)
+                        high = (value[some] >> _HIGH).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+                        yield {"fragment": [f], "id": [None], "n": [None], "d1": [None], "d2": [None], "classes": [classes[who].tobytes()],
+                               "sizes": [sizes.astype("<u4").tobytes()], "hashes": [high.tobytes()]}
 
         return each
 
@@ -146,41 +140,37 @@ def shingle_classes(df: DataFrame, id_col: str, text_col: str, at: str) -> tuple
     return out.where("fragment < 0").select("id", "n", "d1", "d2"), out.where("fragment >= 0").select("fragment", "classes", "sizes", "hashes")
 
 
-def shared_counts(packed: DataFrame) -> DataFrame:
-    """(d1, shared, shown): counted hashes of each class under both limits, and how many another class has too.
+def missing_counts(packed: DataFrame) -> DataFrame:
+    """(d1, missing, missing_low): shown hashes of each class that no other class has, all of them and those under ``SHARE``.
 
     40 bits of a hash and its fragment tell hashes apart here; a false match only lets a class through to the exact steps.
     """
+
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         who = np.concatenate([np.repeat(np.frombuffer(c, "<i8"), np.frombuffer(s, "<u4")) for c, s in zip(pdf["classes"], pdf["sizes"])])
         five = np.concatenate([np.frombuffer(h, np.uint8).reshape(-1, 5) for h in pdf["hashes"]])
         wide = np.zeros((len(five), 8), np.uint8)
         wide[:, :5] = five
         value = wide.view("<u8").ravel()
-        classes, who = np.unique(who, return_inverse=True)
         order = np.lexsort((who, value))
         value, who = value[order], who[order]
-        new_value = np.concatenate([[True], value[1:] != value[:-1]])
-        new_pair = new_value | np.concatenate([[True], who[1:] != who[:-1]])
-        group = np.cumsum(new_value) - 1
-        several = np.bincount(group[new_pair]) > 1
-        low = value < np.uint64(int(SHARE * (1 << 40)))
-        tally = lambda mask: np.bincount(who[new_pair & mask], minlength=len(classes))
-        met = several[group]
-        return pd.DataFrame({"d1": classes, "shared": tally(met), "shown": tally(np.ones(len(who), bool)), "shared_low": tally(met & low), "shown_low": tally(low)})
+        new = np.concatenate([[True], value[1:] != value[:-1]])
+        first, last = who[new], who[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(who) - 1]])]
+        alone, value = first == last, value[new]
+        classes, who = np.unique(first[alone], return_inverse=True)
+        low = value[alone] < np.uint64(int(SHARE * (1 << 40)))
+        return pd.DataFrame({"d1": classes, "missing": np.bincount(who, minlength=len(classes)), "missing_low": np.bincount(who[low], minlength=len(classes))})
 
-    parts = packed.groupBy("fragment").applyInPandas(count, "d1 long, shared long, shown long, shared_low long, shown_low long")
-    return parts.groupBy("d1").agg(*[F.sum(c).alias(c) for c in ("shared", "shown", "shared_low", "shown_low")])
+    parts = packed.groupBy("fragment").applyInPandas(count, "d1 long, missing long, missing_low long")
+    return parts.groupBy("d1").agg(F.sum("missing").alias("missing"), F.sum("missing_low").alias("missing_low"))
 
 
 def candidate_sets(df: DataFrame, id_col: str, text_col: str, classes: DataFrame, counts: DataFrame, at: str) -> DataFrame:
     """(id, n, hashes): full sets, sorted, of the first document of every class that can link."""
     n = F.col("n")
-    whole = F.floor(n * LEAST[1] / LEAST[0]) + 1 < LONG_SET  # counted_below(n) is 1
-    missing = F.when(whole, F.col("shown") - F.col("shared")).otherwise(F.col("shown_low") - F.col("shared_low"))
-    able = classes.join(counts, "d1").where(missing <= n - needed(n))
-    # a class that shares nothing at all cannot link; one that shows nothing below the limit is let through
-    able = stored(able.where((F.col("shared") > 0) | ~whole).select("id", "n"), "able", at)
+    whole = F.floor(n * LEAST[1] / LEAST[0]) + 1 < LONG_SET  # every possible partner shows its whole set
+    missing = F.coalesce(F.when(whole, F.col("missing")).otherwise(F.col("missing_low")), F.lit(0))
+    able = stored(classes.join(counts, "d1", "left").where(missing <= n - needed(n)).select("id", "n"), "able", at)
     rows = maybe_among(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), "id", able.select("id")).where("__maybe")
 
     def make():
@@ -237,11 +227,11 @@ def linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     return total.where(F.col("both") * LEAST[1] >= (F.col("na") + F.col("nb") - F.col("both")) * LEAST[0]).select("a", "b")
 
 
-def _minimum_pairs(sets: DataFrame, seed: int) -> DataFrame:
+def _minimum_pairs(sets: DataFrame) -> DataFrame:
     """(a, b): every candidate with the first of those that share a minimum under one of ``KEYS`` permutations."""
 
     def make():
-        draw = np.random.default_rng(seed)
+        draw = np.random.default_rng(0)
         factors = draw.integers(0, 1 << 63, KEYS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
         def each(batch: pa.RecordBatch):
@@ -263,7 +253,7 @@ def _minimum_pairs(sets: DataFrame, seed: int) -> DataFrame:
     return keys.join(first, ["slot", "key"]).where("a != id").select("a", F.col("id").alias("b")).distinct()
 
 
-def _unsettled(sets: DataFrame, parts: DataFrame, at: str, name: str) -> DataFrame:
+def _unsettled(sets: DataFrame, parts: DataFrame, at: str) -> DataFrame:
     """(id, component, n, h, df) of candidates that may still link beyond their component, with the shingles that they share there."""
     place = parts.withColumnRenamed("component", "known")
     held = sets.join(place, "id", "left").select("id", F.coalesce("known", "id").alias("component"), "n", "hashes")
@@ -282,10 +272,10 @@ def _unsettled(sets: DataFrame, parts: DataFrame, at: str, name: str) -> DataFra
     rows = map_batches(held, "id long, component long, n int, h long", make)
     for k in range(2):  # what the first pass settles no longer counts in the second
         several = rows.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-        met = stored(rows.select("id", "component", "n", "h").join(several.select("h", "df"), "h"), f"{name}-met-{k}", at)
+        met = stored(rows.select("id", "component", "n", "h").join(several.select("h", "df"), "h"), f"met-{k}", at)
         open_ = met.groupBy("id").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("nn")).where(F.col("m") >= needed(F.col("nn"))).select("id")
         rows = met.join(open_, "id", "left_semi")
-    return stored(rows, f"{name}-open", at)
+    return stored(rows, "open", at)
 
 
 def _prefix_pairs(rows: DataFrame) -> DataFrame:
@@ -296,10 +286,14 @@ def _prefix_pairs(rows: DataFrame) -> DataFrame:
     prefix = rows.withColumn("place", F.row_number().over(own)).withColumn("m", m).where(F.col("place") <= F.col("m") - needed(F.col("n")) + 1)
     sizes = prefix.groupBy("h", "component").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("h").agg(F.max_by("component", F.struct("size", "component")).alias("largest"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    marked = prefix.join(largest, "h").select("h", "id", "component", "n", "largest")
-    some = marked.where("component != largest").select("h", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"))
-    pairs = some.join(marked, "h").where((F.col("cx") != F.col("component")) & (F.col("nx") * LEAST[1] >= F.col("n") * LEAST[0]) & (F.col("n") * LEAST[1] >= F.col("nx") * LEAST[0]))
-    return pairs.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+    marked = prefix.join(largest, "h").select("h", "id", "component", "n", "m", "place", "largest")
+    some = marked.where("component != largest").select("h", *(F.col(c).alias(f"{c}_x") for c in ("id", "component", "n", "m", "place")))
+    # the overlap that both sizes ask for; shared shingles lie before the place, at it, or after it in either set
+    least = F.ceil((F.col("n") + F.col("n_x")) * LEAST[0] / sum(LEAST))
+    most = F.least("place", "place_x") + F.least(F.col("m") - F.col("place"), F.col("m_x") - F.col("place_x"))
+    first = F.greatest(F.col("place") - F.col("m"), F.col("place_x") - F.col("m_x")) + least <= 1
+    pairs = some.join(marked, "h").where((F.col("component_x") != F.col("component")) & (most >= least) & first)
+    return pairs.select(F.least("id_x", "id").alias("a"), F.greatest("id_x", "id").alias("b")).distinct()
 
 
 def linked_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -307,21 +301,12 @@ def linked_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     at = shared_dir(df.sparkSession, "shingle-join")
     rows, packed = shingle_classes(df, id_col, text_col, at)
     classes = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-    sets = candidate_sets(df, id_col, text_col, classes, shared_counts(packed), at)
+    sets = candidate_sets(df, id_col, text_col, classes, missing_counts(packed), at)
     segments = stored(_segments(sets), "segments", at)
-    links, open_sets = None, sets
-    parts = df.sparkSession.createDataFrame([], "id long, component long")
-    for k in range(ROUNDS):
-        found = stored(linked(_minimum_pairs(open_sets, k), segments), f"links-{k}", at)
-        links = found if links is None else links.unionByName(found)
-        parts = stored(components(links, at, f"components-{k}"), f"components-{k}", at)
-        unsettled = _unsettled(open_sets, parts, at, f"round-{k}")
-        open_sets = stored(sets.join(unsettled.select("id").distinct(), "id", "left_semi"), f"open-{k}", at)
-        if open_sets.isEmpty():
-            break
-    else:
-        found = stored(linked(_prefix_pairs(unsettled), segments), "links-exact", at)
-        parts = components(links.unionByName(found), at, "components")
+    found = stored(linked(_minimum_pairs(sets), segments), "links", at)
+    parts = stored(components(found, at, "cheap"), "components", at)
+    unsettled = _unsettled(sets, parts, at)
+    parts = components(found.unionByName(stored(linked(_prefix_pairs(unsettled), segments), "links-exact", at)), at, "exact")
     named = classes.join(parts, "id", "left").select("d1", "d2", F.coalesce("component", "id").alias("component_id"))
     one = rows.where("n > 0").join(named, ["d1", "d2"]).select("id", F.col("n").cast("long").alias("n_shingles"), "component_id")
     return one.unionByName(rows.where("n = 0").select("id", F.lit(0).cast("long").alias("n_shingles"), F.col("id").alias("component_id")))
