@@ -15,7 +15,7 @@ the strings of a run are a chunk of bytes.
    nearest neighbours to both sides that start earlier (previous and next smaller positions).  The longer of the two
    common prefixes is the longest previous factor; where it reaches ``LENGTH`` the string is a later copy.
    An anchor with more than ``HOT_CHUNKS`` chunks, such as a short line in very many documents, is not given to one
-   task: its strings are grouped by their 128-bit digests, pre-aggregated in each task.
+   task: its chunks are cut into pieces, and equal pieces are grouped, pre-aggregated in each task.
 4. The spans of removed starts meet the texts of the documents that have any.
 
 Defined cases: a null or empty text has nothing to remove; texts under ``LENGTH`` bytes stay whole; rows that share a
@@ -38,7 +38,8 @@ from trailcheck.llm.common import documents, map_batches, maybe_among, shared_di
 LENGTH = 100
 GRAM = 32
 BITMAP_BITS = 1 << 25
-HOT_CHUNKS = 2_000
+HOT_CHUNKS = 100
+PIECE = 8
 TASK_CHUNKS = 4_000
 NULL_ID = -(1 << 63)
 _BLOCK = 1 << 20
@@ -53,7 +54,7 @@ def anchor_runs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
         size, factor = 1, _BASE
         while size < GRAM:  # hashes of twice as many bytes from those of neighbours
             h = h[:-size] * factor + h[size:]
-            factor, size = factor * factor, 2 * size
+            factor, size = np.uint64(int(factor) ** 2 % (1 << 64)), 2 * size
         h ^= h >> np.uint64(31)
         h *= np.uint64(0xD6E8FEB86659FD93)
         low = (h >> np.uint64(20) << np.uint64(20)) | np.arange(len(h), dtype=np.uint64)  # ties: the leftmost
@@ -192,8 +193,10 @@ def repeated_starts(df: DataFrame, id_col: str, text_col: str, at: str) -> DataF
 
     pieces = _each_text(rows, "h long, shape int, doc long, first int, bytes binary", chunks)
     firsts = pieces.groupBy("h", "shape", "bytes").agg(F.min(F.struct("doc", "first")).alias("lead"))
-    firsts = stored(firsts.join(several, "h").select("h", "n", "bytes", "lead.doc", "lead.first"), "first-chunks", at)
-    return copies.unionByName(_by_suffix_order(firsts.where(F.col("n") <= HOT_CHUNKS))).unionByName(_by_digest(firsts.where(F.col("n") > HOT_CHUNKS)))
+    firsts = stored(firsts.join(several, "h").select("h", "n", "shape", "bytes", "lead.doc", "lead.first"), "first-chunks", at)
+    for more in (_by_suffix_order(firsts.where(F.col("n") <= HOT_CHUNKS)), *_by_pieces(firsts.where(F.col("n") > HOT_CHUNKS), at)):
+        copies = copies.unionByName(more)
+    return copies
 
 
 def _windows(pieces: list[bytes], docs: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -238,23 +241,43 @@ def _by_suffix_order(firsts: DataFrame) -> DataFrame:
     return firsts.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).groupBy("shard").applyInPandas(find, "doc long, first int, last int")
 
 
-def _by_digest(firsts: DataFrame) -> DataFrame:
-    import hashlib
+def _by_pieces(firsts: DataFrame, at: str) -> list[DataFrame]:
+    """Ranges of later copies among the chunks of hot anchors, by pieces of ``PIECE`` starts and then of one.
 
-    def make():
-        def each(batch: pa.RecordBatch):
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                rows, doc, start = _windows(part.column(2).to_pylist(), part.column(0).to_numpy(), part.column(1).to_numpy().astype(np.int64))
-                both = np.frombuffer(b"".join(hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in rows), "<i8").reshape(-1, 2)
-                yield {"w1": both[:, 0], "w2": both[:, 1], "doc": doc, "start": start.astype(np.int32)}
-
-        return each
-
-    strings = map_batches(firsts.select("doc", "first", "bytes"), "w1 long, w2 long, doc long, start int", make)
-    lead = strings.groupBy("w1", "w2").agg(F.min(F.struct("doc", "start")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = strings.join(lead, ["w1", "w2"]).where(F.struct("doc", "start") != F.col("lead"))
-    return later.select("doc", F.col("start").alias("first"), F.col("start").alias("last"))
+    A piece holds the starts whose distance to the anchor lies in one block, so equal pieces are dealt alike whatever
+    surrounds them.  All but the first of equal pieces go whole.  The strings of a block have most of their bytes in
+    common; first pieces that share those with another first piece are cut into single starts.
+    """
+    found, rows = [], firsts.select("h", F.col("shape").alias("off"), "doc", "first", "bytes")
+    schema = "h long, off int, doc long, first int, bytes binary"
+    if rows.isEmpty():
+        return found
+    for size in (PIECE, 1):
+        def make(size: int = size):
+            def each(batch: pa.RecordBatch):
+                for at in range(0, batch.num_rows, 2_000):
+                    out = {k: [] for k in ("h", "off", "doc", "first", "bytes")}
+                    part = batch.slice(at, 2_000)
+                    for h, off, doc, first, text in zip(*(part.column(k).to_pylist() for k in range(5))):
+                        a, n = 0, len(text) - LENGTH + 1
+                        while a < n:  # starts a to b - 1 lie in one block of distances to the anchor
+                            b = min(n, off - (off - a) // size * size + 1)
+                            for k, v in zip(out, (h, off - a, doc, first + a, text[a : b - 1 + LENGTH])):
+                                out[k].append(v)
+                            a = b
+                    yield out
+
+            return each
+
+        pieces = stored(map_batches(rows, schema, make), f"pieces-{size}", at)
+        leads = pieces.groupBy("h", "off", "bytes").agg(F.min(F.struct("doc", "first")).alias("lead"), F.count(F.lit(1)).alias("n"))
+        later = pieces.join(leads.where("n > 1"), ["h", "off", "bytes"]).where(F.struct("doc", "first") != F.col("lead"))
+        found.append(later.select("doc", "first", (F.col("first") + F.octet_length("bytes") - LENGTH).alias("last")))
+        block = F.floor(F.col("off") / size)
+        common = F.expr(f"substring(bytes, cast(off - off div {size} * {size} + 1 as int), {LENGTH - size + 1})")
+        alike = leads.select("h", "off", "lead.doc", "lead.first", "bytes", block.alias("block"), common.alias("common"))
+        rows = alike.join(alike.groupBy("h", "block", "common").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), ["h", "block", "common"]).select("h", "off", "doc", "first", "bytes")
+    return found
 
 
 def removed_spans(starts: DataFrame) -> DataFrame:
