@@ -60,5 +60,5 @@ def test_limited_run_withholds_matrices(spark):
     assert isinstance(res["matrices"], str) and res["matrices"].startswith("withheld")
     row = spark.read.parquet(f"{out}/evidence/{C.B01}").select("data_scope").distinct().collect()
     assert [r.data_scope for r in row] == [LIMITED_SCOPE]
-    with pytest.raises(EV.NonEvidentiaryMatrixError):
+    with pytest.raises(EV.PartialRunError):
         AU.feature_and_module_matrices(_inputs(spark, LIMITED_SCOPE))

@@ -84,26 +84,35 @@ def test_csv_header_contract(spark, tmp_path):
         scan_source(spark, str(bad), "category_tree").collect()
 
 
-def test_limit_scope_relabels(spark):
-    from trailcheck.sources.scan import limit_scope
-
-    df = spark.range(10).withColumnRenamed("id", "k")
-    capped = limit_scope(df, 3, ["k"]).collect()
-    assert [r.k for r in capped] == [0, 1, 2] and {r.data_scope for r in capped} == {"smoke_non_evidentiary"}
-    assert {r.data_scope for r in limit_scope(df, None, ["k"]).collect()} == {"full"}
-
-
-def test_stable_buckets_repeatable_and_null_safe(spark):
-    df = spark.createDataFrame([(1, None), (None, 1), (1, None)], "visitorid bigint, itemid bigint")
-    b1 = [r.bucket_id for r in hashing.stable_buckets(df, ["visitorid", "itemid"], 1 << 30).collect()]
-    b2 = [r.bucket_id for r in hashing.stable_buckets(df, ["visitorid", "itemid"], 1 << 30).collect()]
-    assert b1 == b2 and b1[0] == b1[2] and b1[0] != b1[1]
-    m = hashing.bucket_manifest(df, ["visitorid", "itemid"], 16, "d").collect()[0]
-    assert m.rows == 3 and m.nonempty_bucket_count == len(set(m.nonempty_buckets))
-
-
 def test_fingerprint_is_order_insensitive(spark):
     a = spark.createDataFrame([(1, "x"), (2, None)], "a bigint, b string")
     b = spark.createDataFrame([(2, None), (1, "x")], "a bigint, b string").repartition(3)
     fa, fb = hashing.table_fingerprint(a, "t").collect()[0], hashing.table_fingerprint(b, "t").collect()[0]
     assert (fa.rows, fa.hash_sum, fa.hash_xor) == (fb.rows, fb.hash_sum, fb.hash_xor)
+
+
+def test_fraction_beyond_nine_digits_is_no_integer(spark):
+    df = spark.createDataFrame([("1.0000000001",), ("1e-12",), ("1.0",), ("9007199254740993",), ("0.0",)], "t string")
+    assert [r[0] for r in df.select(parse_integer(df.t)).collect()] == [None, None, 1, 9007199254740993, 0]
+
+
+def test_std_beyond_decimal_sums(spark):
+    from trailcheck.functions.stats import distribution_summary
+
+    df = spark.createDataFrame([("m", 0, 10**9), ("m", 10**10, 10**9)], "metric string, value bigint, w bigint")
+    assert abs(distribution_summary(df, "metric", "value", "w").first()["std"] - 5.0e9) < 10
+
+
+def test_csv_dialect_and_header(spark, tmp_path):
+    import pytest
+
+    from trailcheck.sources.scan import InputContractError, scan_source
+
+    good = tmp_path / "tree.csv"
+    good.write_text('\ufeffcategoryid,parentid\n"4 ""b"" 2","x\\"\n7\n"two\nlines",9\n')
+    rows = {tuple(r) for r in scan_source(spark, str(good), "category_tree").collect()}
+    assert rows == {('4 "b" 2', "x\\"), ("7", None), ("two\nlines", "9")}
+    bad = tmp_path / "bad.csv"
+    bad.write_text("CategoryId,parentid\n1,2\n")
+    with pytest.raises(InputContractError):
+        scan_source(spark, str(bad), "category_tree")

@@ -121,7 +121,7 @@ def audit_metrics(inp: AuditInputs) -> DataFrame:
     plan = evidence_plan(inp, cached)
     ids = [eid for eid, _, _ in plan]
     if len(set(ids)) != len(ids):
-        raise ValueError("duplicate evidence ID")
+        raise ValueError("two evidence tables share a name")
 
     def run(item):
         eid, make, keys = item
@@ -144,7 +144,7 @@ def feature_and_module_matrices(inp: AuditInputs) -> tuple[DataFrame, DataFrame]
     A limited run is refused before any evidence is computed (R30).
     """
     if inp.scope != FULL_SCOPE:
-        raise EV.NonEvidentiaryMatrixError("formal feasibility conclusions are withheld for non-full runs")
+        raise EV.PartialRunError("matrices are built from runs over all rows only")
     spark = inp.log.sparkSession
     metrics = audit_metrics(inp)
     features = EV.feature_matrix(C.feature_rules_df(spark), metrics, inp.scope)

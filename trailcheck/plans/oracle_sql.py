@@ -232,6 +232,11 @@ def oracle_queries() -> dict[str, str]:
     q["length_buckets"] = _length_buckets("order_log")
     q["length_buckets_star"] = _length_buckets("star_log")
     q["item_metrics"] = with_fixtures(["log"], _ITEMS.format(src="log"))
+    fields = ", ".join(f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
+                       for c in ("timestamp", "visitorid", "event", "itemid", "transactionid"))
+    q["table_fingerprint"] = with_fixtures(["log"], (
+        f"select 'events' as \"table\", count(*) as rows, cast(coalesce(sum(h), 0) as varchar) as hash_sum, "
+        f"coalesce(bit_xor(h), 0) as hash_xor from (select cast('0x' || substr(md5(concat_ws(',', {fields})), 1, 8) as bigint) as h from log)"))
     q["top_share"] = _top_share("star_log")
     q["gini"] = _gini("star_log")
     return q
@@ -347,7 +352,7 @@ def _pairs_sql(src: str, by: list[str]) -> list[tuple[str, str]]:
                  "min(timestamp) as first_timestamp_ms, max(timestamp) as last_timestamp_ms, "
                  "count(distinct timestamp) as distinct_timestamp_count, "
                  f"count(*) filter (where value is null) as missing_value_count from hv group by {k}"),
-        ("sets", f"select {k}, timestamp, list_sort(list_distinct(list(coalesce(value, '<AUDIT_NULL>')))) as vs "
+        ("sets", f"select {k}, timestamp, list_sort(list_distinct(list(coalesce(value, '<no value>')))) as vs "
                  f"from hv group by {k}, timestamp"),
         ("fl", f"select {k}, count(distinct vs) as distinct_timestamp_value_sets, "
                f"bool_or(len(vs) > 1) as same_timestamp_multiple_values from sets group by {k}"),

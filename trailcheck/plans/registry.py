@@ -89,9 +89,6 @@ def registry() -> dict[str, Query]:
     q["row_accounting"] = lambda spark, d: EV.row_accounting(audit_sources(spark, d))
     q["rerun_equivalence"] = lambda spark, d: EV.tables_equal(
         "item_metrics", B.item_metrics(fx.log(spark, d)), B.item_metrics(fx.log(spark, d)))
-    q["stable_buckets"] = lambda spark, d: HS.stable_buckets(fx.log(spark, d), ["visitorid", "itemid"], 64)
-    q["bucket_manifest"] = lambda spark, d: HS.bucket_manifest(fx.log(spark, d), ["visitorid", "itemid"], 64,
-                                                               "events_user_item")
     q["table_fingerprint"] = lambda spark, d: HS.table_fingerprint(fx.log(spark, d), "events")
     # ---- analytics demanded by the specification
     q["pair_order_patterns"] = _on(fx.log, X.pair_order_patterns)

@@ -9,7 +9,6 @@ we recommend for a cluster run; the local test session mirrors them.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -43,21 +42,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make sure reliable checkpoints have a directory and return it.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; we read it
-    from the session.  Only when nothing is configured *and* the session is
-    local (tests) do we create a private folder of our own.  On a cluster
-    without a configured folder we refuse rather than fall back to a
-    machine-local temporary directory.
+    The cluster names a shared folder in ``spark.checkpoint.dir``; it is read from the session.  Where it is
+    unset, a folder beside the session's tables is used, whatever the master.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="trailcheck-ckpt-"))
-        return sc.getCheckpointDir()
-    raise RuntimeError("spark.checkpoint.dir is not set; iterative operators need a shared checkpoint folder")
+    if not current:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
+    return sc.getCheckpointDir()

@@ -15,18 +15,8 @@ from trailcheck.functions.columns import epoch_ms
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table.
-
-    A scan with fewer splits than the cluster has cores (e.g. a small file
-    holding a single row group) is spread round-robin so parsing and
-    partial aggregation run on every core.  Large inputs already have many
-    more splits than cores and are left alone.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    """Scan one driver table; the session's split size decides how many tasks read it."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,12 +1,12 @@
-"""Declared CSV sources: scan, header contract, null tokens, scope cap, tagging."""
+"""Declared CSV sources: scan, header contract, null tokens, tagging."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trailcheck.contracts import EXPECTED_COLUMNS, FULL_SCOPE, LIMITED_SCOPE, text_schema
+from trailcheck.contracts import EXPECTED_COLUMNS, text_schema
 from trailcheck.functions.parsing import normalize_nulls
 
 
@@ -17,12 +17,19 @@ class InputContractError(ValueError):
 def scan_source(spark: SparkSession, path: str, source: str) -> DataFrame:
     """S01+S02+S03: read a declared CSV as all-text columns.
 
-    ``enforceSchema=False`` makes Spark check the header of every file
-    against the declared column list; a wrong header fails the read.  Types
-    are never inferred; missing-value tokens become null.
+    The header is compared before any row is read: same names, same case, same order; a byte-order mark is
+    allowed.  Doubled quotes stand for one, a backslash is an ordinary character, quoted fields may hold line
+    breaks, missing fields of a short row are null.  Types are never inferred; missing-value tokens become null.
     """
-    df = (spark.read.schema(text_schema(source)).option("header", True).option("enforceSchema", False)
-          .option("mode", "FAILFAST").option("multiLine", False).csv(path))
+    dialect = {"quote": '"', "escape": '"', "multiLine": True}
+    expected = list(EXPECTED_COLUMNS[source])
+    first = spark.read.options(**dialect, header=False).csv(path).first()
+    seen = [x for x in first or () if x is not None]
+    if seen:
+        seen[0] = seen[0].lstrip("\ufeff")
+    if seen != expected:
+        raise InputContractError(f"header of {source} should be {expected}, but is {seen}")
+    df = spark.read.schema(text_schema(source)).options(**dialect, header=True, enforceSchema=True, mode="PERMISSIVE").csv(path)
     return normalize_nulls(df)
 
 
@@ -34,21 +41,6 @@ def check_columns(df: DataFrame, source: str) -> DataFrame:
     return df
 
 
-def limit_scope(df: DataFrame, max_rows: int | None, order: Sequence[str | Column]) -> DataFrame:
-    """Optional row cap for smoke runs; any cap relabels the output scope.
-
-    The cap takes the first rows in an explicit key order so a limited run is
-    reproducible.  ``data_scope`` is ``full`` without a cap.
-    """
-    if max_rows is None:
-        return df.withColumn("data_scope", F.lit(FULL_SCOPE))
-    return df.orderBy(*order).limit(max_rows).withColumn("data_scope", F.lit(LIMITED_SCOPE))
-
-
-def scope_of(max_rows: int | None) -> str:
-    return FULL_SCOPE if max_rows is None else LIMITED_SCOPE
-
-
 def tag_and_union(parts: Mapping[str, DataFrame], tag: str = "_source_name") -> DataFrame:
     """Stack same-shape parts, each tagged with its source name."""
     frames = [df.withColumn(tag, F.lit(name)) for name, df in parts.items()]
