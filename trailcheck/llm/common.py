@@ -18,17 +18,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir``; deleted when the JVM of the driver ends.
 
-    Only where that setting is absent (tests on one machine) a private local folder takes its place.
+    Where that setting is unset (as in tests), the context's checkpoint folder or one beside the session's tables serves.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = held.get() if held.isDefined() else None
-    if not base:
-        import tempfile
-
-        base = f"file://{tempfile.mkdtemp(prefix='trailcheck-')}"
-        spark.sparkContext.setCheckpointDir(base)
+        base = held.get() if held.isDefined() else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
