@@ -820,24 +820,31 @@ def _module_matrix_sql() -> str:
                 "scheme, split", ["event_count", "user_count"]),
     }
 
-    def text(eid: str) -> str:
-        if eid == C.G01:
-            return f"'{eid}[rows={len(C.FEATURE_RULES)}]'"
-        body, order, cols = spec[eid]
-        vals = [f"(select cast(\"{c}\" as varchar) from ({body}) t where \"{c}\" is not null order by {order} "
-                f"limit 1)" for c in cols]
+    # every cited table once, then one row with all evidence texts, read by all rules
+    cited = list(dict.fromkeys(e for _, _, evs, _, _ in C.MODULE_RULES for e in evs))
+    name = {e: f"ev{i}" for i, e in enumerate(cited)}
+    tables, texts = [], []
+    for e in cited:
+        if e == C.G01:
+            texts.append(f"'{e}[rows={len(C.FEATURE_RULES)}]' as {name[e]}")
+            continue
+        body, order, cols = spec[e]
+        tables.append(f"{name[e]} as materialized ({body})")
+        vals = [f"(select cast(\"{c}\" as varchar) from {name[e]} where \"{c}\" is not null order by {order} limit 1)"
+                for c in cols]
         pairs = " || ',' || ".join(f"'{c}=' || {v}" for c, v in zip(cols, vals))
-        return f"'{eid}[' || {pairs} || ']'"
+        texts.append(f"'{e}[' || {pairs} || ']' as {name[e]}")
+    tables.append(f"texts as materialized (select {', '.join(texts)})")
 
     parts = []
     for module, support, evs, action, conf in C.MODULE_RULES:
         req, scope, limits, leak = C._MODULE_PROSE[support]
-        evidence = " || '; ' || ".join(text(e) for e in evs)
+        evidence = " || '; ' || ".join(name[e] for e in evs)
         parts.append(f"select {_lit(module)} as module, {_lit(req)} as required_data, {_lit(support)} as "
                      f"dataset_support, {evidence} as evidence, {_lit(scope)} as feasible_scope, {_lit(limits)} as "
                      f"limitations, {_lit(leak)} as leakage_risk, {_lit(action)} as recommended_action, "
-                     f"{_lit(conf)} as confidence, '' as notes")
-    return " union all ".join(parts)
+                     f"{_lit(conf)} as confidence, '' as notes from texts")
+    return f"with {', '.join(tables)} {' union all '.join(parts)}"
 
 
 _base_oracle_queries5 = oracle_queries
