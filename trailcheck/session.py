@@ -26,13 +26,22 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "trailcheck") -> SparkSession:
-    """Return (or create) a session with the audit defaults applied."""
+    """Return (or create) a session with the audit defaults applied.
+
+    Under spark-submit the master, memory and shuffle width of the submission stay; only what the caller names here
+    overrides them.  A plain Python process gets a local session.
+    """
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app_name).master(master or f"local[{cpus}]")
+    builder = SparkSession.builder.appName(app_name)
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-    builder = builder.config("spark.driver.memory", os.environ.get("TRAILCHECK_DRIVER_MEMORY", "16g"))
+    if master or not submitted:
+        builder = builder.master(master or f"local[{cpus}]")
+    if shuffle_partitions or not submitted:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
+    if not submitted:
+        builder = builder.config("spark.driver.memory", os.environ.get("TRAILCHECK_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
