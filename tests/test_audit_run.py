@@ -51,6 +51,9 @@ def test_full_run_writes_evidence_and_matrices(spark):
     mods = spark.read.parquet(res["matrices"]["modules"])
     assert mods.count() == 30
     feats = {r.feature_name: r.coverage_value for r in spark.read.parquet(res["matrices"]["features"]).collect()}
+    pairs = spark.read.parquet(res["pair_history_path"])
+    assert {(r.itemid, r.property): r.record_count for r in pairs.collect()} == {
+        (10, "categoryid"): 2, (11, "available"): 1, (12, "888"): 1}
     assert feats["visitor_identifier"] == "6" and feats["historical_interaction_counts"] == "1"
 
 
@@ -62,3 +65,23 @@ def test_limited_run_withholds_matrices(spark):
     assert [r.data_scope for r in row] == [LIMITED_SCOPE]
     with pytest.raises(EV.PartialRunError):
         AU.feature_and_module_matrices(_inputs(spark, LIMITED_SCOPE))
+
+
+def test_csv_files_give_the_typed_inputs(spark, tmp_path):
+    files = {"events": "timestamp,visitorid,event,itemid,transactionid\n7.0,1,view,5,\n8,x,view,5.5,\n9,1,transaction,5,t\n",
+             "item_properties_part1": 'timestamp,itemid,property,value\n7,5,size,"two ""by"" two"\n',
+             "item_properties_part2": "timestamp,itemid,property,value\n1e3,5,size,\n,6\n",
+             "category_tree": "categoryid,parentid\n1,\n2,1.0\n"}
+    for name, text in files.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    inp = AU.csv_inputs(spark, {name: str(tmp_path / f"{name}.csv") for name in files})
+    assert sorted(map(tuple, inp.log.collect())) == [
+        (7, 1, "view", 5, None), (8, None, "view", None, None), (9, 1, "transaction", 5, "t")]
+    assert sorted(map(tuple, inp.props.collect()), key=str) == [
+        (1000, 5, "size", None, "item_properties_part2"), (7, 5, "size", 'two "by" two', "item_properties_part1"),
+        (None, 6, None, None, "item_properties_part2")]
+    assert sorted(map(tuple, inp.tree.collect())) == [(1, None), (2, 1)]
+    assert {r[1].name for r in inp.raw_sources} == set(files)
+    assert AU.B.prior_behavior(inp.log).first().with_strictly_prior_view_count == 1
+    with pytest.raises(ValueError):
+        AU.csv_inputs(spark, {"events": "nowhere"})

@@ -11,13 +11,13 @@ from __future__ import annotations
 import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trailcheck.contracts import FULL_SCOPE
+from trailcheck.contracts import EXPECTED_COLUMNS, FULL_SCOPE, INTEGER_COLUMNS
 from trailcheck.operators import behavior as B
 from trailcheck.operators import evidence as EV
 from trailcheck.operators import hierarchy as T
@@ -26,6 +26,7 @@ from trailcheck.operators import quality as Q
 from trailcheck.operators import splits as S
 from trailcheck.plans import catalog as C
 from trailcheck.session import ensure_checkpoint_dir
+from trailcheck.sources.scan import scan_source, tag_and_union, typed_source
 
 
 @dataclass
@@ -103,11 +104,6 @@ def evidence_plan(inp: AuditInputs, cached: list[DataFrame] | None = None
     ]
 
 
-def build_evidence(inp: AuditInputs) -> list[EV.Evidence]:
-    """All evidence tables of one audit run, keyed for "first value" rules."""
-    return [EV.Evidence(eid, make(), keys) for eid, make, keys in evidence_plan(inp)]
-
-
 def audit_metrics(inp: AuditInputs) -> DataFrame:
     """Long metrics of every evidence table, each computed once and checkpointed.
 
@@ -128,44 +124,75 @@ def audit_metrics(inp: AuditInputs) -> DataFrame:
         return EV.table_metrics(EV.Evidence(eid, make(), keys)).checkpoint()
 
     # A06 first: A05 waits on its walk
-    with ThreadPoolExecutor(max_workers=min(8, len(plan))) as pool:
-        parts = list(pool.map(run, sorted(plan, key=lambda x: x[0] != C.A06)))
-    for df in cached:  # the metrics are checkpointed: the cache is no longer read
-        df.unpersist()
+    try:
+        with ThreadPoolExecutor(max_workers=min(8, len(plan))) as pool:
+            parts = list(pool.map(run, sorted(plan, key=lambda x: x[0] != C.A06)))
+    finally:
+        for df in cached:  # the metrics are checkpointed: the cache is no longer read
+            df.unpersist()
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def feature_and_module_matrices(inp: AuditInputs) -> tuple[DataFrame, DataFrame]:
+def feature_and_module_matrices(inp: AuditInputs, metrics: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """G01 then H01 (G01 is registered as evidence first, R26).
 
-    A limited run is refused before any evidence is computed (R30).
+    A limited run is refused before any evidence is computed (R30).  ``metrics`` may pass those of evidence that
+    is already written, which is then not computed again.
     """
     if inp.scope != FULL_SCOPE:
         raise EV.PartialRunError("matrices are built from runs over all rows only")
     spark = inp.log.sparkSession
-    metrics = audit_metrics(inp)
+    metrics = metrics if metrics is not None else audit_metrics(inp)
     features = EV.feature_matrix(C.feature_rules_df(spark), metrics, inp.scope)
     metrics2 = metrics.unionByName(EV.table_metrics(EV.feature_matrix_evidence(features)))
     modules = EV.module_matrix(C.module_rules_df(spark), metrics2, inp.scope)
     return features, modules
 
 
-def write_evidence(evidence: Sequence[EV.Evidence], out_dir: str, scope: str) -> DataFrame:
-    """S07 + S08: each annotated table to ``out_dir/<evidence id>`` (Parquet), then the index."""
+def write_evidence(evidence: Sequence[EV.Evidence], out_dir: str, scope: str) -> tuple[DataFrame, DataFrame]:
+    """S07 + S08: each annotated table to ``out_dir/<evidence id>`` (Parquet); returns the index and the metrics,
+    both read off the written tables."""
     paths = {e.evidence_id: f"{out_dir.rstrip('/')}/{e.evidence_id}" for e in evidence}
 
-    def write(e: EV.Evidence) -> None:
+    def write(e: EV.Evidence) -> EV.Evidence:
         EV.annotate(e, scope).write.mode("overwrite").parquet(paths[e.evidence_id])
+        table = e.frame.sparkSession.read.parquet(paths[e.evidence_id]).select(*e.frame.columns)
+        return EV.Evidence(e.evidence_id, table, e.keys)
 
     # independent small jobs (the plans are already built): submit them together
     with ThreadPoolExecutor(max_workers=min(8, len(evidence))) as pool:
-        list(pool.map(write, evidence))
-    spark = evidence[0].frame.sparkSession
-    written = [EV.Evidence(e.evidence_id, spark.read.parquet(paths[e.evidence_id]), e.keys) for e in evidence]
-    return EV.evidence_index(EV.evidence_metrics(written), paths)
+        written = list(pool.map(write, evidence))
+    metrics = EV.evidence_metrics(written).checkpoint()
+    return EV.evidence_index(metrics, paths), metrics
+
+
+def source_spec(source: str) -> Q.SourceSpec:
+    """What A01 profiles of a declared source."""
+    columns = EXPECTED_COLUMNS[source]
+    return Q.SourceSpec(source, columns, INTEGER_COLUMNS[source], "timestamp" if "timestamp" in columns else None)
+
+
+def csv_inputs(spark: SparkSession, paths: Mapping[str, str], scope: str = FULL_SCOPE) -> AuditInputs:
+    """Audit inputs from the declared CSV files: ``paths`` maps each source of ``EXPECTED_COLUMNS`` to its path.
+
+    Headers are checked at once.  The text of each source is written to the shared checkpoint folder as Parquet in
+    one pass over the CSV (files whose fields may hold line breaks are not split), and both the text checks and the
+    typed tables read that.
+    """
+    if set(paths) != set(EXPECTED_COLUMNS):
+        raise ValueError(f"one path for each of {sorted(EXPECTED_COLUMNS)} is needed, given {sorted(paths)}")
+    text = {name: scan_source(spark, paths[name], name) for name in EXPECTED_COLUMNS}
+    text = {name: materialize(df, name) for name, df in text.items()}
+    parts = [name for name in EXPECTED_COLUMNS if name.startswith("item_properties")]
+    return AuditInputs(
+        log=typed_source(text["events"], "events"),
+        props=tag_and_union({name: typed_source(text[name], name) for name in parts}),
+        tree=typed_source(text["category_tree"], "category_tree"),
+        raw_sources=[(df, source_spec(name)) for name, df in text.items()],
+        events_text=text["events"], props_text=tag_and_union({name: text[name] for name in parts}), scope=scope)
 
 
 def fixture_inputs(spark: SparkSession, sf_dir: str, scope: str = FULL_SCOPE,
@@ -177,7 +204,6 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, scope: str = FULL_SCOPE,
     plan (and the text views for A01/A02) then reads those narrow tables
     instead of re-scanning and re-parsing the sources.
     """
-    from trailcheck.contracts import EXPECTED_COLUMNS, INTEGER_COLUMNS
     from trailcheck.sources import fixtures as fx
 
     log, props, tree, raw = (fx.log(spark, sf_dir), fx.props(spark, sf_dir), fx.tree_func(spark, sf_dir),
@@ -189,18 +215,13 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, scope: str = FULL_SCOPE,
     events_text = fx.as_text(log, list(EXPECTED_COLUMNS["events"]))
     props_text = fx.tag_parts_text(props)
     cols = list(EXPECTED_COLUMNS["item_properties_part1"])
-
-    def spec(name):
-        return Q.SourceSpec(name, EXPECTED_COLUMNS[name], INTEGER_COLUMNS[name],
-                            "timestamp" if "timestamp" in EXPECTED_COLUMNS[name] else None)
-
     raw_sources = [
-        (events_text, spec("events")),
+        (events_text, source_spec("events")),
         (props_text.filter(F.col("_source_name") == "item_properties_part1").select(*cols),
-         spec("item_properties_part1")),
+         source_spec("item_properties_part1")),
         (props_text.filter(F.col("_source_name") == "item_properties_part2").select(*cols),
-         spec("item_properties_part2")),
-        (fx.as_text(tree, list(EXPECTED_COLUMNS["category_tree"])), spec("category_tree")),
+         source_spec("item_properties_part2")),
+        (fx.as_text(tree, list(EXPECTED_COLUMNS["category_tree"])), source_spec("category_tree")),
         (raw, Q.SourceSpec("raw_ids", ("row_key", "raw_value"), ("raw_value",))),
     ]
     return AuditInputs(log=log, props=props, tree=tree, raw_sources=raw_sources, events_text=events_text,
@@ -210,21 +231,35 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, scope: str = FULL_SCOPE,
 def run_audit(inp: AuditInputs, out_dir: str) -> dict[str, object]:
     """End-to-end audit: every evidence table annotated and written as Parquet
     under ``out_dir/evidence/<id>``, the evidence index, and — for a full run
-    only — the feature and module matrices (``out_dir/matrices/...``).
+    only — the feature and module matrices (``out_dir/matrices/...``), whose
+    metrics come from the written evidence.  The pair aggregate (S06) goes to
+    ``out_dir/pair_history``; a run whose length buckets do not add up to its
+    users (R27) stops.
 
     A limited run (``scope`` other than full) writes the evidence with its
     scope label and withholds the matrices (R30).  Returns the index rows and
     the matrix paths (or the reason they were withheld).
     """
-    base = out_dir.rstrip("/")
-    evidence = build_evidence(inp)
-    index = write_evidence(evidence, f"{base}/evidence", inp.scope)
+    base, spark = out_dir.rstrip("/"), inp.log.sparkSession
+    ensure_checkpoint_dir(spark)
+    cached: list[DataFrame] = []
+    try:
+        evidence = [EV.Evidence(eid, make(), keys) for eid, make, keys in evidence_plan(inp, cached)]
+        index, metrics = write_evidence(evidence, f"{base}/evidence", inp.scope)
+        H.pair_history(inp.props).write.mode("overwrite").parquet(f"{base}/pair_history")
+    finally:
+        for df in cached:
+            df.unpersist()
     index.write.mode("overwrite").parquet(f"{base}/evidence_index")
-    result: dict[str, object] = {"scope": inp.scope, "index_path": f"{base}/evidence_index"}
+    users, buckets = (spark.read.parquet(f"{base}/evidence/{eid}") for eid in (C.C01, C.C03))
+    if not B.reconcile_length_buckets(inp.log, users, buckets).isEmpty():
+        raise ValueError("length buckets and users count different users or events")
+    result: dict[str, object] = {"scope": inp.scope, "index_path": f"{base}/evidence_index",
+                                 "pair_history_path": f"{base}/pair_history"}
     if inp.scope != FULL_SCOPE:
         result["matrices"] = "withheld: formal conclusions need a full-scope run"
         return result
-    features, modules = feature_and_module_matrices(inp)
+    features, modules = feature_and_module_matrices(inp, metrics)
     features.write.mode("overwrite").parquet(f"{base}/matrices/feature_feasibility")
     modules.write.mode("overwrite").parquet(f"{base}/matrices/module_feasibility")
     result["matrices"] = {"features": f"{base}/matrices/feature_feasibility",

@@ -6,8 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trailcheck.contracts import EXPECTED_COLUMNS, text_schema
-from trailcheck.functions.parsing import normalize_nulls
+from trailcheck.contracts import EXPECTED_COLUMNS, INTEGER_COLUMNS, text_schema
+from trailcheck.functions.parsing import normalize_nulls, parse_integer
 
 
 class InputContractError(ValueError):
@@ -33,6 +33,13 @@ def scan_source(spark: SparkSession, path: str, source: str) -> DataFrame:
     return normalize_nulls(df)
 
 
+def typed_source(text: DataFrame, source: str) -> DataFrame:
+    """Text columns of a declared source -> typed: declared integer columns go through the integer rule (A01b; text
+    that is no integer becomes null), the others stay text.  Columns beyond the declared ones are kept as they are."""
+    whole = set(INTEGER_COLUMNS[source])
+    return text.select(*[parse_integer(F.col(c)).alias(c) if c in whole else F.col(c) for c in text.columns])
+
+
 def check_columns(df: DataFrame, source: str) -> DataFrame:
     """S02 for already-typed tables (e.g. Parquet): exact column list, in order."""
     expected = list(EXPECTED_COLUMNS[source])
