@@ -34,23 +34,20 @@ def test_null_tokens(spark):
 
 
 def test_duplicates_across_parts(spark):
-    p = [("1", "10", "p", "a", "item_properties_part1"), ("1", "10", "p", "a", "item_properties_part1"),
-         ("1", "10", "p", "a", "item_properties_part2"), ("1", "10", "p", "b", "item_properties_part1")]
-    props = spark.createDataFrame(p, "timestamp string, itemid string, property string, value string, "
-                                     "_source_name string")
-    events = spark.createDataFrame([("1", "1", "view", "1", None)] * 2, "timestamp string, visitorid string, "
-                                                                        "event string, itemid string, transactionid string")
-    tree = spark.createDataFrame([(1, None), (1, None)], "categoryid bigint, parentid bigint")
-    out = {r.duplicate_scope: r for r in Q.exact_duplicates(
-        events, props, tree, ["timestamp", "visitorid", "event", "itemid", "transactionid"],
-        ["timestamp", "itemid", "property", "value"]).collect()}
-    assert out["item_properties_part1_file_internal"].exact_duplicate_row_count == 1
-    assert out["item_properties_part2_file_internal"].exact_duplicate_row_count == 0
-    assert out["item_properties_cross_file"].exact_duplicate_row_count == 1
-    assert out["item_properties_cross_file"].exact_distinct_shared_row_count == 1
-    assert out["item_properties_combined"].exact_duplicate_row_count == 2
-    assert out["events_file_internal"].exact_duplicate_row_count == 1
-    assert out["category_tree_file_internal"].exact_duplicate_row_count == 1
+    a, b, c, n = ("9", "70", "hue", "red"), ("9", "70", "hue", "blue"), ("9", "71", "hue", "red"), (None, "70", "hue", None)
+    first, second = [a] * 3 + [b] + [n] * 2, [a] * 2 + [c] * 2 + [n]
+    rows = [(*r, "item_properties_part1") for r in first] + [(*r, "item_properties_part2") for r in second]
+    text = "timestamp string, itemid string, property string, value string, _source_name string"
+    events = [("5", "3", "view", "8", None)] * 4 + [("5", "3", "view", "8", "t")]
+    log_text = "timestamp string, visitorid string, event string, itemid string, transactionid string"
+    tree = spark.createDataFrame([(6, None)] * 3 + [(6, 2), (2, None)], "categoryid bigint, parentid bigint")
+    out = {r.duplicate_scope: (r.exact_duplicate_row_count, r.exact_distinct_shared_row_count)
+           for r in Q.exact_duplicates(spark.createDataFrame(events, log_text), spark.createDataFrame(rows, text), tree,
+                                       [f.split()[0] for f in log_text.split(", ")],
+                                       ["timestamp", "itemid", "property", "value"]).collect()}
+    assert out == {"item_properties_part1_file_internal": (3, None), "item_properties_part2_file_internal": (2, None),
+                   "item_properties_cross_file": (3, 2), "item_properties_combined": (7, None),
+                   "events_file_internal": (3, None), "category_tree_file_internal": (2, None)}
 
 
 def test_profile_counts_missing_and_invalid_separately(spark):
