@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trailcheck.llm.bpe import count_tokens, vocabulary_path
-from trailcheck.llm.common import documents
+from trailcheck.llm.common import documents, stored
 
 BLOCK = 1024
 
@@ -72,4 +72,5 @@ def quantiles(sums: DataFrame, fractions: list[float]) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_sums(length_histogram(documents(spark, sf_dir), vocabulary_path()))
+    # written once: the sums and their carry both read the histogram, and must not encode the documents twice
+    return suffix_sums(stored(length_histogram(documents(spark, sf_dir), vocabulary_path()), "histogram"))
