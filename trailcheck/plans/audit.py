@@ -9,7 +9,6 @@ and any lost executor recomputes from that table, not from the CSV.
 from __future__ import annotations
 
 import threading
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -25,7 +24,7 @@ from trailcheck.operators import history as H
 from trailcheck.operators import quality as Q
 from trailcheck.operators import splits as S
 from trailcheck.plans import catalog as C
-from trailcheck.session import ensure_checkpoint_dir
+from trailcheck.session import ensure_checkpoint_dir, scratch_dir
 from trailcheck.sources.scan import scan_source, tag_and_union, typed_source
 
 
@@ -41,10 +40,9 @@ class AuditInputs:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared checkpoint folder and read it back."""
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back; the files go when the session ends."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/trailcheck-{uuid.uuid4().hex}/{name}"
+    path = f"{scratch_dir(spark)}/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

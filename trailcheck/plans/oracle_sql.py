@@ -698,9 +698,18 @@ def _spec_queries() -> dict[str, str]:
         ("p1_t", "select timestamp, itemid, property, value from props_t where _source_name = 'item_properties_part1'"),
         ("p2_t", "select timestamp, itemid, property, value from props_t where _source_name = 'item_properties_part2'"),
         ("tree_t", _TEXT["category_tree"][0])])
+    # the second run goes by item and day first
+    by_day = ("select itemid, floor(timestamp / 86400000) as day, count(*) as n, min(timestamp) as lo, max(timestamp) as hi, "
+              "count(*) filter (where event = 'view') as v, count(*) filter (where event = 'addtocart') as c, "
+              f"count(*) filter (where event = 'transaction') as t from log where {VALID} group by all")
+    again = ("select itemid, sum(n)::bigint, count(*)::bigint, min(lo), max(hi), sum(v)::bigint, sum(c)::bigint, sum(t)::bigint "
+             "from by_day group by itemid")
+    lost = "(select count(*) from (select * from {} except all select * from {}))"
     q["rerun_equivalence"] = with_fixtures(["log"], (
-        "select 'item_metrics' as \"table\", count(*)::bigint as rows_a, count(*)::bigint as rows_b, 0::bigint as "
-        f"only_in_a, 0::bigint as only_in_b, true as equal from (select distinct itemid from log where {VALID}) i"))
+        "select 'item_metrics' as \"table\", (select count(*) from run_a)::bigint as rows_a, (select count(*) from run_b)::bigint as rows_b, "
+        f"{lost.format('run_a', 'run_b')}::bigint as only_in_a, {lost.format('run_b', 'run_a')}::bigint as only_in_b, "
+        f"{lost.format('run_a', 'run_b')} + {lost.format('run_b', 'run_a')} = 0 as equal"),
+        extra=[("run_a", _ITEMS.format(src="log")), ("by_day", by_day), ("run_b", again)])
     return q
 
 

@@ -9,6 +9,7 @@ we recommend for a cluster run; the local test session mirrors them.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +61,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
     return sc.getCheckpointDir()
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder in the checkpoint folder for tables that later steps read; deleted when the driver's JVM ends."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/trailcheck-{uuid.uuid4().hex}")
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop)
+    fs.deleteOnExit(hadoop)
+    return fs.makeQualified(hadoop).toString()
