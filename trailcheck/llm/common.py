@@ -110,12 +110,3 @@ def maybe_among(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     met = df.withColumn("__word", word(F.col(id_col))).join(F.broadcast(table), "__word", "left")
     shift = f"cast(pmod(xxhash64(cast(`{id_col}` as long)), {BITMAP_BITS}L) & 63 as int)"
     return met.withColumn("__maybe", F.expr(f"coalesce((shiftrightunsigned(__bits, {shift}) & 1L) = 1L, false)")).drop("__word", "__bits")
-
-
-def without(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
-    """``df`` without the rows whose id is in ``ids``; only rows that the bitmap cannot clear are shuffled."""
-    held = df.select(F.struct("*").alias("__row"), F.col(id_col).alias("__id"))
-    flagged = maybe_among(held, "__id", ids)
-    clear = flagged.where("not __maybe").select("__row.*")
-    left = flagged.where("__maybe").join(ids.select(F.col(ids.columns[0]).alias("__id")).distinct(), "__id", "left_anti").select("__row.*")
-    return clear.unionByName(left)

@@ -4,7 +4,8 @@ A document is the set of its distinct five-word shingles, as 64-bit hashes; the
 order of the n-grams.  That order is cut into fragments, and every step counts overlaps fragment by fragment and
 sums them per document or pair, so that no task holds whole sets of many documents.
 
-1. Documents with equal sets are one class; from here on only classes are compared.
+1. Documents with equal sets are one class, told by a 128-bit digest; from here on only numbered classes are compared,
+   one set each, whatever the ids and copies of their rows.
 2. *Which classes can link at all.*  A link needs three quarters of either set, so a class with more than a quarter
    of shingles that no other class has is out.  They are counted per fragment from packed hashes, of which a batch
    of documents sends two a shingle at most, however hot; long sets take part with those hashes under
@@ -19,9 +20,9 @@ sums them per document or pair, so that no task holds whole sets of many documen
 A pair is checked by joining both sets' segments on the fragment, counting each overlap and adding up the counts.
 
 Defined cases: a null or empty text, or one without words, has the empty set and is linked with nothing; fewer than
-five words are one shingle; repeated rows are in one class; ties of the smallest id are one document; a null
-id belongs to the component of its class, null if no id is known there; an empty table gives an
-empty result; very long texts are whole, other columns ignored.
+five words are one shingle; repeated rows are in one class; texts under one id are compared, and kept or dropped, each by
+itself; a component is named by the smallest id of its rows, ties of which all stay, and by null if no id is known there;
+a null id is larger than any other; an empty table gives an empty result; very long texts are whole, other columns ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from trailcheck.llm.common import documents, map_batches, maybe_among, shared_dir, stored, texts, without
+from trailcheck.llm.common import documents, map_batches, maybe_among, shared_dir, stored, texts
 from trailcheck.llm.components import components
 
 WORDS = 5
@@ -83,6 +84,11 @@ class Shingler:
         return np.unique(mixed)
 
 
+def _digest(s: np.ndarray) -> tuple[int, int]:
+    """The digest of a set, as two longs."""
+    return tuple(np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8").tolist())
+
+
 def emitted_below(n: int) -> float:
     """Share of the order whose hashes a set of n shingles shows in step 2."""
     return 1.0 if n < LONG_SET else SHARE
@@ -93,11 +99,17 @@ def needed(n: Column) -> Column:
     return F.ceil(n * LEAST[0] / LEAST[1])
 
 
+def _row(id_col: str, text_col: str) -> list[Column]:
+    """Id, hash of the text, and a hash of both: copies of a row are alike in them."""
+    known, told = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))
+    return [known.alias("id"), told.alias("told"), F.xxhash64(known, told).alias("key")]
+
+
 def shingle_classes(df: DataFrame, id_col: str, text_col: str, at: str) -> tuple[DataFrame, DataFrame]:
-    """(id, n, d1, d2) of every row, and the packed hashes of step 2 by fragment."""
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    """(id, told, key, n, d1, d2) of every row, and the packed hashes of step 2 by fragment."""
+    docs = df.select(*_row(id_col, text_col), F.col(text_col).cast("string").alias("text"))
     fragments = int(min(max(docs.count() // FRAGMENT_DOCS, FRAGMENTS[0]), FRAGMENTS[1]))
-    schema = "fragment int, id long, n int, d1 long, d2 long, classes binary, sizes binary, hashes binary"
+    schema = "fragment int, id long, told long, key long, n int, d1 long, d2 long, classes binary, sizes binary, hashes binary"
 
     def make():
         shingles = Shingler()
@@ -107,15 +119,15 @@ def shingle_classes(df: DataFrame, id_col: str, text_col: str, at: str) -> tuple
                 part = batch.slice(start, 2_000)
                 rows: dict[str, list] = {"n": [], "d1": [], "d2": []}
                 packs: dict[int, np.ndarray] = {}
-                for text in texts(part.column(1)):
+                for text in texts(part.column(3)):
                     s = shingles(text)
-                    d1, d2 = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8").tolist()
+                    d1, d2 = _digest(s)
                     for k, v in zip(rows, (len(s), d1, d2)):
                         rows[k].append(v)
                     if len(s) and d1 not in packs:
                         packs[d1] = s[s >> _HIGH < np.uint64(int(emitted_below(len(s)) * (1 << 40)))]
                 none = [None] * part.num_rows
-                yield {"fragment": [-1] * part.num_rows, "id": part.column(0), **rows, "classes": none, "sizes": none, "hashes": none}
+                yield {"fragment": [-1] * part.num_rows, "id": part.column(0), "told": part.column(1), "key": part.column(2), **rows, "classes": none, "sizes": none, "hashes": none}
                 if packs:
                     classes = np.array(list(packs), "<i8")
                     value, owner = np.concatenate(list(packs.values())), np.repeat(np.arange(len(packs)), [len(x) for x in packs.values()])
@@ -131,13 +143,13 @@ def shingle_classes(df: DataFrame, id_col: str, text_col: str, at: str) -> tuple
                     for f, some in zip(met.tolist(), np.split(order, cuts[1:])):
                         who, sizes = np.unique(owner[some], return_counts=True)
                         high = (value[some] >> _HIGH).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                        yield {"fragment": [f], "id": [None], "n": [None], "d1": [None], "d2": [None], "classes": [classes[who].tobytes()],
+                        yield {"fragment": [f], "id": [None], "told": [None], "key": [None], "n": [None], "d1": [None], "d2": [None], "classes": [classes[who].tobytes()],
                                "sizes": [sizes.astype("<u4").tobytes()], "hashes": [high.tobytes()]}
 
         return each
 
     out = stored(map_batches(docs, schema, make), "shingles", at)
-    return out.where("fragment < 0").select("id", "n", "d1", "d2"), out.where("fragment >= 0").select("fragment", "classes", "sizes", "hashes")
+    return out.where("fragment < 0").select("id", "told", "key", "n", "d1", "d2"), out.where("fragment >= 0").select("fragment", "classes", "sizes", "hashes")
 
 
 def missing_counts(packed: DataFrame) -> DataFrame:
@@ -165,27 +177,40 @@ def missing_counts(packed: DataFrame) -> DataFrame:
     return parts.groupBy("d1").agg(F.sum("missing").alias("missing"), F.sum("missing_low").alias("missing_low"))
 
 
-def candidate_sets(df: DataFrame, id_col: str, text_col: str, classes: DataFrame, counts: DataFrame, at: str) -> DataFrame:
-    """(id, n, hashes): full sets, sorted, of the first document of every class that can link."""
+def candidate_sets(df: DataFrame, id_col: str, text_col: str, classes: DataFrame, counts: DataFrame, at: str) -> tuple[DataFrame, DataFrame]:
+    """(id, n, hashes): number and sorted full set, once, of every class that can link; (d1, d2, least, id) tells the classes."""
     n = F.col("n")
     whole = F.floor(n * LEAST[1] / LEAST[0]) + 1 < LONG_SET  # every possible partner shows its whole set
     missing = F.coalesce(F.when(whole, F.col("missing")).otherwise(F.col("missing_low")), F.lit(0))
-    able = stored(classes.join(counts, "d1", "left").where(missing <= n - needed(n)).select("id", "n"), "able", at)
-    rows = maybe_among(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), "id", able.select("id")).where("__maybe")
+    able = classes.join(counts, "d1", "left").where(missing <= n - needed(n)).select("d1", "d2", "n", "least", "key")
+    # numbered in the order of their ids, as the first text of a group is near the others more often than one of its copies
+    able = stored(able, "able-classes", at).orderBy(F.col("least").asc_nulls_last(), "d1", "d2")
+    able = stored(able.withColumn("id", F.monotonically_increasing_id()), "able", at)
+    rows = maybe_among(df.select(*_row(id_col, text_col), F.col(text_col).cast("string").alias("text")), "key", able.select("key")).where("__maybe")
 
     def make():
-        shingles = Shingler()
+        shingles, seen = Shingler(), set()
 
         def each(batch: pa.RecordBatch):
             for start in range(0, batch.num_rows, 1_000):
-                part = batch.slice(start, 1_000)
-                sets = [shingles(t) for t in texts(part.column(1))]
-                yield {"id": part.column(0), "hashes": [s.astype("<u8").tobytes() for s in sets]}
+                part, out = batch.slice(start, 1_000), {"d1": [], "d2": [], "hashes": []}
+                for key, text in zip(part.column(0).to_pylist(), texts(part.column(1))):
+                    if key in seen:  # a copy of a row
+                        continue
+                    if len(seen) >= CACHED_WORDS:
+                        seen.clear()
+                    seen.add(key)
+                    s = shingles(text)
+                    for name, v in zip(out, (*_digest(s), s.astype("<u8").tobytes())):
+                        out[name].append(v)
+                yield out
 
         return each
 
-    sets = map_batches(rows.select("id", "text"), "id long, hashes binary", make)
-    return stored(sets.join(able, "id"), "sets", at)
+    sets = map_batches(rows.select("key", "text"), "d1 long, d2 long, hashes binary", make)
+    # rows of one class that pass the bitmap meet here, and one of them stays
+    met = sets.join(able.select("d1", "d2", "id", "n"), ["d1", "d2"]).dropDuplicates(["d1", "d2"])
+    return stored(met.select("id", "n", "hashes"), "sets", at), able.select("d1", "d2", "least", "id")
 
 
 def _segments(sets: DataFrame) -> DataFrame:
@@ -296,27 +321,39 @@ def _prefix_pairs(rows: DataFrame) -> DataFrame:
     return pairs.select(F.least("id_x", "id").alias("a"), F.greatest("id_x", "id").alias("b")).distinct()
 
 
-def linked_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of every row."""
+def _linked_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, told, key, n_shingles, component_id) of every row."""
     at = shared_dir(df.sparkSession, "shingle-join")
     rows, packed = shingle_classes(df, id_col, text_col, at)
-    classes = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-    sets = candidate_sets(df, id_col, text_col, classes, missing_counts(packed), at)
+    classes = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("least"), F.min("key").alias("key"), F.first("n").alias("n"))
+    sets, able = candidate_sets(df, id_col, text_col, classes, missing_counts(packed), at)
     segments = stored(_segments(sets), "segments", at)
     found = stored(linked(_minimum_pairs(sets), segments), "links", at)
     parts = stored(components(found, at, "cheap"), "components", at)
     unsettled = _unsettled(sets, parts, at)
     parts = components(found.unionByName(stored(linked(_prefix_pairs(unsettled), segments), "links-exact", at)), at, "exact")
-    named = classes.join(parts, "id", "left").select("d1", "d2", F.coalesce("component", "id").alias("component_id"))
-    one = rows.where("n > 0").join(named, ["d1", "d2"]).select("id", F.col("n").cast("long").alias("n_shingles"), "component_id")
-    return one.unionByName(rows.where("n = 0").select("id", F.lit(0).cast("long").alias("n_shingles"), F.col("id").alias("component_id")))
+    placed = stored(able.join(parts, "id").select("d1", "d2", "least", "component"), "placed", at)
+    names = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = placed.join(names, "component").select("d1", "d2", "component_id")
+    named = classes.join(named, ["d1", "d2"], "left").select("d1", "d2", F.coalesce("component_id", "least").alias("component_id"))
+    held = rows.select("id", "told", "key", F.col("n").cast("long").alias("n_shingles"), "d1", "d2")
+    one = held.where("n_shingles > 0").join(named, ["d1", "d2"]).drop("d1", "d2")
+    return one.unionByName(held.where("n_shingles = 0").drop("d1", "d2").withColumn("component_id", F.col("id")))
+
+
+def linked_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) of every row."""
+    return _linked_rows(df, id_col, text_col).select("id", "n_shingles", "component_id")
 
 
 def first_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose id is the smallest of its component, with its columns and no others."""
-    found = linked_components(df, id_col, text_col)
-    gone = stored(found.where("id != component_id").select("id"), "linked")
-    return without(df, id_col, gone)
+    """The rows of ``df`` whose id is the smallest of their text's component, with its columns and no others."""
+    found = _linked_rows(df, id_col, text_col)
+    gone = stored(found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("id", "told", "key").distinct(), "linked")
+    flagged = maybe_among(df.select(F.struct("*").alias("row"), *_row(id_col, text_col)), "key", gone.select("key"))
+    there = gone.select(F.col("id").alias("gone_id"), F.col("told").alias("gone_told"))
+    left = flagged.where("__maybe").join(there, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("told") == F.col("gone_told")), "left_anti")
+    return flagged.where("not __maybe").select("row.*").unionByName(left.select("row.*"))
 
 
 def op8_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
