@@ -4,6 +4,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from trailcheck.llm import suffix_dedup
 from trailcheck.llm.shingle_join import first_of_each, linked_components
 
 DDL = "doc_id bigint, text string, source string, n_chars int"
@@ -35,3 +40,29 @@ def test_shingle_join_takes_one_set_a_class(spark):
     assert found == sorted(((i, expected[k]) for i, k in rows), key=key)
     kept = sorted((r.doc_id, r.text) for r in first_of_each(docs).collect())
     assert kept == sorted((i, texts[k]) for i, k in rows if i == expected[k])
+
+
+@pytest.mark.parametrize("hot", [1, 10_000])
+def test_suffix_dedup_cuts_only_the_text_it_looked_at(spark, hot, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_CHUNKS", hot)
+    text = lambda seed, n: " ".join(words(seed, n))
+    passage = text(11, 40)
+    rows = [(None, "a" * 3000), (None, text(12, 500)), (None, passage + text(13, 30)), (None, text(14, 7) + passage), (5, "b" * 2000 + text(15, 20)),
+            (5, text(16, 400)), (5, text(16, 400)), (6, text(17, 9) + passage), (7, text(18, 50)), (7, text(18, 50) + text(19, 50))]
+    docs = table(spark, rows)
+    hashed = {r.text: r.told for r in docs.select("text", F.xxhash64("text").alias("told")).collect()}
+    seen, expected = set(), {}
+    for i, t in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, hashed[r[1]])):
+        raw = t.encode()
+        gone = np.zeros(len(raw), bool)
+        for p in range(len(raw) - 99):
+            if raw[p : p + 100] in seen:
+                gone[p : p + 100] = True
+            seen.add(raw[p : p + 100])
+        expected[i, t] = bytes(np.frombuffer(raw, np.uint8)[~gone])
+    assert sum(passage.encode() in x for x in expected.values()) == 1
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    found = sorted(((r.doc_id, bytes(r.kept)) for r in suffix_dedup.removed(docs).collect()), key=key)
+    assert found == sorted(((i, expected[i, t]) for i, t in rows), key=key)
+    left = sorted(((r.doc_id, r.text.encode()) for r in suffix_dedup.without_repeats(docs, size_col="n_chars").collect()), key=key)
+    assert left == [x for x in found if x[1]]

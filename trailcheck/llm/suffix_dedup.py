@@ -1,7 +1,8 @@
 """Removal of repeated byte strings by longest-previous-factor arrays (operator 6).
 
 A byte goes if some string of ``LENGTH`` bytes that covers it starts earlier too: in a document of smaller id, or further
-left in the same one.  Strings are judged on the input texts and never cross documents.
+left in the same one.  Strings are judged on the input texts and never cross documents.  A document is an id with a text,
+told by a hash of the text, which also orders the texts of one id.
 
 *Anchors.*  The ``GRAM``-byte hash that is smallest among those inside a string is its anchor; equal strings have equal
 anchors, and neighbouring starts share one, so a document falls into runs of starts of about 35 bytes, and
@@ -18,8 +19,9 @@ the strings of a run are a chunk of bytes.
    task: its chunks are cut into pieces, and equal pieces are grouped, pre-aggregated in each task.
 4. The spans of removed starts meet the texts of the documents that have any.
 
-Defined cases: a null or empty text has nothing to remove; texts under ``LENGTH`` bytes stay whole; rows that share a
-doc_id are one document, so copies of one another under one id stay; a null id comes before all others; very long texts
+Defined cases: a null or empty text has nothing to remove; texts under ``LENGTH`` bytes stay whole; rows alike
+in id and text are one document and all keep the same bytes; other texts under one id, or without an id, are documents of
+their own; a null id comes before all others; very long texts
 are whole (positions are 32-bit); an empty table gives an empty result; other columns are ignored, or kept as they are by ``without_repeats``.
 """
 
@@ -30,7 +32,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailcheck.llm.common import documents, map_batches, maybe_among, shared_dir, ship, stored
@@ -108,8 +110,13 @@ def longest_previous(rows: np.ndarray, order_of: np.ndarray) -> np.ndarray:
     return out
 
 
+def _document(id_col: str, text_col: str) -> list[Column]:
+    """(doc, told): the id and the hash of the text, which together name a document."""
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("told")]
+
+
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
+    return df.select(*_document(id_col, text_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
@@ -127,15 +134,15 @@ def _passes(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bitmap[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _each_text(rows: DataFrame, schema: str, take: Callable[[int, bytes], dict | None]) -> DataFrame:
+def _each_text(rows: DataFrame, schema: str, take: Callable[[int, int, bytes], dict | None]) -> DataFrame:
     """Rows that ``take`` makes of every text of at least ``LENGTH`` bytes, gathered into batches of bounded size."""
     names = [x.split()[0] for x in schema.split(", ")]
 
     def make():
         def each(batch: pa.RecordBatch):
             out, held = {k: [] for k in names}, 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if (found := take(doc, text.as_py())) is not None:
+            for doc, told, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if (found := take(doc, told, text.as_py())) is not None:
                     for k in names:
                         out[k].append(found[k])
                     held += len(found[names[0]])
@@ -155,16 +162,16 @@ def _joined(out: dict[str, list]) -> dict:
 
 
 def repeated_starts(df: DataFrame, id_col: str, text_col: str, at: str) -> DataFrame:
-    """(doc, first, last): ranges of starts whose string of ``LENGTH`` bytes also starts earlier."""
+    """(doc, told, first, last): ranges of starts whose string of ``LENGTH`` bytes also starts earlier."""
     import xxhash
 
     spark, rows = df.sparkSession, _rows(df, id_col, text_col)
     ship(spark)
-    met = _each_text(rows, "h long", lambda doc, text: {"h": anchor_runs(text)[0]})
+    met = _each_text(rows, "h long", lambda doc, told, text: {"h": anchor_runs(text)[0]})
     several = met.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     seen = spark.sparkContext.broadcast(_bitmap(several))
 
-    def runs(doc: int, text: bytes) -> dict | None:
+    def runs(doc: int, told: int, text: bytes) -> dict | None:
         h, place, first, last = anchor_runs(text)
         some = _passes(seen.value, h)
         if not some.any():
@@ -173,49 +180,49 @@ def repeated_starts(df: DataFrame, id_col: str, text_col: str, at: str) -> DataF
         digest = xxhash.xxh3_64_intdigest
         chunks = [digest(text[a : b + LENGTH]) for a, b in zip(first.tolist(), last.tolist())]
         return {"h": h, "chunk": np.array(chunks, np.uint64).view(np.int64), "shape": ((place - first) * 128 + (last - first) % 128).astype(np.int32),
-                "doc": np.full(len(h), doc), "first": first.astype(np.int32), "last": last.astype(np.int32)}
+                "doc": np.full(len(h), doc), "told": np.full(len(h), told), "first": first.astype(np.int32), "last": last.astype(np.int32)}
 
-    found = stored(_each_text(rows, "h long, chunk long, shape int, doc long, first int, last int", runs), "runs", at)
+    found = stored(_each_text(rows, "h long, chunk long, shape int, doc long, told long, first int, last int", runs), "runs", at)
     key = ["h", "chunk", "shape"]
-    classes = stored(found.groupBy(*key).agg(F.min(F.struct("doc", "first")).alias("lead"), F.count(F.lit(1)).alias("n")), "chunks", at)
-    copies = found.join(classes.where("n > 1").select(*key, "lead"), key).where(F.struct("doc", "first") != F.col("lead")).select("doc", "first", "last")
+    classes = stored(found.groupBy(*key).agg(F.min(F.struct("doc", "told", "first")).alias("lead"), F.count(F.lit(1)).alias("n")), "chunks", at)
+    copies = found.join(classes.where("n > 1").select(*key, "lead"), key).where(F.struct("doc", "told", "first") != F.col("lead")).select("doc", "told", "first", "last")
     several = stored(classes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "anchors", at)
     open_ = spark.sparkContext.broadcast(_bitmap(several.select("h")))
 
-    def chunks(doc: int, text: bytes) -> dict | None:
+    def chunks(doc: int, told: int, text: bytes) -> dict | None:
         h, place, first, last = anchor_runs(text)
         some = _passes(open_.value, h)
         if not some.any():
             return None
         first, last = first[some], last[some]
-        return {"h": h[some], "shape": (place[some] - first).astype(np.int32), "doc": np.full(len(first), doc), "first": first.astype(np.int32),
+        return {"h": h[some], "shape": (place[some] - first).astype(np.int32), "doc": np.full(len(first), doc), "told": np.full(len(first), told), "first": first.astype(np.int32),
                 "bytes": [text[a : b + LENGTH] for a, b in zip(first.tolist(), last.tolist())]}
 
-    pieces = _each_text(rows, "h long, shape int, doc long, first int, bytes binary", chunks)
-    firsts = pieces.groupBy("h", "shape", "bytes").agg(F.min(F.struct("doc", "first")).alias("lead"))
-    firsts = stored(firsts.join(several, "h").select("h", "n", "shape", "bytes", "lead.doc", "lead.first"), "first-chunks", at)
+    pieces = _each_text(rows, "h long, shape int, doc long, told long, first int, bytes binary", chunks)
+    firsts = pieces.groupBy("h", "shape", "bytes").agg(F.min(F.struct("doc", "told", "first")).alias("lead"))
+    firsts = stored(firsts.join(several, "h").select("h", "n", "shape", "bytes", "lead.doc", "lead.told", "lead.first"), "first-chunks", at)
     for more in (_by_suffix_order(firsts.where(F.col("n") <= HOT_CHUNKS)), *_by_pieces(firsts.where(F.col("n") > HOT_CHUNKS), at)):
         copies = copies.unionByName(more)
     return copies
 
 
-def _windows(pieces: list[bytes], docs: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All strings of the chunks as rows of bytes, with document and start of each."""
+def _windows(pieces: list[bytes], firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All strings of the chunks as rows of bytes, with chunk and start of each."""
     sizes = np.array([len(x) for x in pieces])
     text = np.frombuffer(b"".join(pieces), np.uint8)
     count = sizes - LENGTH + 1
     base = np.repeat(np.cumsum(sizes) - sizes, count)
     inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    return np.lib.stride_tricks.sliding_window_view(text, LENGTH)[base + inside], np.repeat(docs, count), np.repeat(firsts, count) + inside
+    return np.lib.stride_tricks.sliding_window_view(text, LENGTH)[base + inside], np.repeat(np.arange(len(pieces)), count), np.repeat(firsts, count) + inside
 
 
-def _spans(docs: np.ndarray, starts: np.ndarray) -> pd.DataFrame:
+def _spans(docs: np.ndarray, told: np.ndarray, starts: np.ndarray) -> pd.DataFrame:
     """Starts as ranges of neighbouring ones."""
-    order = np.lexsort((starts, docs))
-    docs, starts = docs[order], starts[order]
-    new = np.flatnonzero(np.concatenate([[True], (docs[1:] != docs[:-1]) | (starts[1:] > starts[:-1] + 1)])) if len(docs) else np.zeros(0, np.int64)
+    order = np.lexsort((starts, told, docs))
+    docs, told, starts = docs[order], told[order], starts[order]
+    new = np.flatnonzero(np.concatenate([[True], (docs[1:] != docs[:-1]) | (told[1:] != told[:-1]) | (starts[1:] > starts[:-1] + 1)])) if len(docs) else np.zeros(0, np.int64)
     last = np.concatenate([new[1:], [len(docs)]]) - 1 if len(new) else new
-    return pd.DataFrame({"doc": docs[new], "first": starts[new].astype(np.int32), "last": starts[last].astype(np.int32)})
+    return pd.DataFrame({"doc": docs[new], "told": told[new], "first": starts[new].astype(np.int32), "last": starts[last].astype(np.int32)})
 
 
 def _by_suffix_order(firsts: DataFrame) -> DataFrame:
@@ -225,20 +232,21 @@ def _by_suffix_order(firsts: DataFrame) -> DataFrame:
         pdf = pdf.sort_values("h", kind="stable")
         h = pdf["h"].to_numpy()
         cuts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        out, pieces, docs, starts = [], pdf["bytes"].tolist(), pdf["doc"].to_numpy(), pdf["first"].to_numpy().astype(np.int64)
+        out, pieces, docs, told, starts = [], pdf["bytes"].tolist(), pdf["doc"].to_numpy(), pdf["told"].to_numpy(), pdf["first"].to_numpy().astype(np.int64)
         a = 0
         while a < len(pdf):  # some anchors at a time: bounds the rows of bytes held at once
             b = cuts[cuts > a + 800]
             b = int(b[0]) if len(b) else len(pdf)
-            rows, doc, start = _windows(pieces[a:b], docs[a:b], starts[a:b])
+            rows, owner, start = _windows(pieces[a:b], starts[a:b])
+            doc, text = docs[a:b][owner], told[a:b][owner]
             rank = np.empty(len(doc), np.int64)
-            rank[np.lexsort((start, doc))] = np.arange(len(doc))
+            rank[np.lexsort((start, text, doc))] = np.arange(len(doc))
             gone = longest_previous(rows, rank) >= LENGTH
-            out.append(_spans(doc[gone], start[gone]))
+            out.append(_spans(doc[gone], text[gone], start[gone]))
             a = b
         return pd.concat(out)
 
-    return firsts.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).groupBy("shard").applyInPandas(find, "doc long, first int, last int")
+    return firsts.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).groupBy("shard").applyInPandas(find, "doc long, told long, first int, last int")
 
 
 def _by_pieces(firsts: DataFrame, at: str) -> list[DataFrame]:
@@ -248,21 +256,21 @@ def _by_pieces(firsts: DataFrame, at: str) -> list[DataFrame]:
     surrounds them.  All but the first of equal pieces go whole.  The strings of a block have most of their bytes in
     common; first pieces that share those with another first piece are cut into single starts.
     """
-    found, rows = [], firsts.select("h", F.col("shape").alias("off"), "doc", "first", "bytes")
-    schema = "h long, off int, doc long, first int, bytes binary"
+    found, rows = [], firsts.select("h", F.col("shape").alias("off"), "doc", "told", "first", "bytes")
+    schema = "h long, off int, doc long, told long, first int, bytes binary"
     if rows.isEmpty():
         return found
     for size in (PIECE, 1):
         def make(size: int = size):
             def each(batch: pa.RecordBatch):
                 for at in range(0, batch.num_rows, 2_000):
-                    out = {k: [] for k in ("h", "off", "doc", "first", "bytes")}
+                    out = {k: [] for k in ("h", "off", "doc", "told", "first", "bytes")}
                     part = batch.slice(at, 2_000)
-                    for h, off, doc, first, text in zip(*(part.column(k).to_pylist() for k in range(5))):
+                    for h, off, doc, told, first, text in zip(*(part.column(k).to_pylist() for k in range(6))):
                         a, n = 0, len(text) - LENGTH + 1
                         while a < n:  # starts a to b - 1 lie in one block of distances to the anchor
                             b = min(n, off - (off - a) // size * size + 1)
-                            for k, v in zip(out, (h, off - a, doc, first + a, text[a : b - 1 + LENGTH])):
+                            for k, v in zip(out, (h, off - a, doc, told, first + a, text[a : b - 1 + LENGTH])):
                                 out[k].append(v)
                             a = b
                     yield out
@@ -270,19 +278,19 @@ def _by_pieces(firsts: DataFrame, at: str) -> list[DataFrame]:
             return each
 
         pieces = stored(map_batches(rows, schema, make), f"pieces-{size}", at)
-        leads = pieces.groupBy("h", "off", "bytes").agg(F.min(F.struct("doc", "first")).alias("lead"), F.count(F.lit(1)).alias("n"))
-        later = pieces.join(leads.where("n > 1"), ["h", "off", "bytes"]).where(F.struct("doc", "first") != F.col("lead"))
-        found.append(later.select("doc", "first", (F.col("first") + F.octet_length("bytes") - LENGTH).alias("last")))
+        leads = pieces.groupBy("h", "off", "bytes").agg(F.min(F.struct("doc", "told", "first")).alias("lead"), F.count(F.lit(1)).alias("n"))
+        later = pieces.join(leads.where("n > 1"), ["h", "off", "bytes"]).where(F.struct("doc", "told", "first") != F.col("lead"))
+        found.append(later.select("doc", "told", "first", (F.col("first") + F.octet_length("bytes") - LENGTH).alias("last")))
         block = F.floor(F.col("off") / size)
         common = F.expr(f"substring(bytes, cast(off - off div {size} * {size} + 1 as int), {LENGTH - size + 1})")
-        alike = leads.select("h", "off", "lead.doc", "lead.first", "bytes", block.alias("block"), common.alias("common"))
-        rows = alike.join(alike.groupBy("h", "block", "common").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), ["h", "block", "common"]).select("h", "off", "doc", "first", "bytes")
+        alike = leads.select("h", "off", "lead.doc", "lead.told", "lead.first", "bytes", block.alias("block"), common.alias("common"))
+        rows = alike.join(alike.groupBy("h", "block", "common").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), ["h", "block", "common"]).select("h", "off", "doc", "told", "first", "bytes")
     return found
 
 
 def removed_spans(starts: DataFrame) -> DataFrame:
-    """(doc, spans): the maximal removed byte ranges [start, end) of every document that has any."""
-    return starts.distinct().groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("starts"))
+    """(doc, told, spans): the maximal removed byte ranges [start, end) of every document that has any."""
+    return starts.distinct().groupBy("doc", "told").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("starts"))
 
 
 def _merged(starts: list[dict]) -> list[tuple[int, int]]:
@@ -305,9 +313,9 @@ def _with_spans(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, D
     """(row, text, starts) of documents with removed starts, and the rows of the others."""
     at = shared_dir(df.sparkSession, "suffix-dedup")
     spans = stored(removed_spans(repeated_starts(df, id_col, text_col, at)), "spans", at)
-    held = df.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"))
-    flagged = maybe_among(held, "doc", spans.select("doc"))
-    met = flagged.where("__maybe").join(spans, "doc", "left")
+    held = df.select(F.struct("*").alias("row"), *_document(id_col, text_col)).withColumn("key", F.xxhash64("doc", "told"))
+    flagged = maybe_among(held, "key", spans.select(F.xxhash64("doc", "told").alias("key")))
+    met = flagged.where("__maybe").join(spans, ["doc", "told"], "left")
     return met.select("row", F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit("")).cast("binary").alias("text"), "starts"), flagged.where("not __maybe").select("row")
 
 
