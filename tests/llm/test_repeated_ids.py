@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trailcheck.llm import suffix_dedup
+from trailcheck.llm import packing, suffix_dedup
+from trailcheck.llm.common import stored
 from trailcheck.llm.shingle_join import first_of_each, linked_components
 
 DDL = "doc_id bigint, text string, source string, n_chars int"
@@ -66,3 +68,22 @@ def test_suffix_dedup_cuts_only_the_text_it_looked_at(spark, hot, monkeypatch):
     assert found == sorted(((i, expected[i, t]) for i, t in rows), key=key)
     left = sorted(((r.doc_id, r.text.encode()) for r in suffix_dedup.without_repeats(docs, size_col="n_chars").collect()), key=key)
     assert left == [x for x in found if x[1]]
+
+
+def test_full_pieces_of_every_row_have_bins_of_their_own(spark):
+    long, other = " ".join(words(21, 4000)), " ".join(words(22, 4000))
+    found = packing.pack_documents(table(spark, [(None, long), (None, other), (1, long), (1, long), (2, None)])).collect()
+    bins = Counter()
+    for r in found:
+        bins[r.bin_id] += r.n_tokens
+    full = [r for r in found if r.n_tokens == packing.CAPACITY]
+    assert len(full) >= 8 and max(bins.values()) <= packing.CAPACITY
+    assert Counter(r.bin_id for r in full).most_common(1)[0][1] == 1
+
+
+def test_rows_alike_spread_over_the_shards(spark):
+    rows = spark.range(2_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("n"), F.lit(None).cast("string").alias("source"),
+                                     F.lit(None).cast("long").alias("cluster"), F.col("id").alias("row"))
+    out = packing.pack(stored(rows, "alike"), "doc_id", "n", "source", "cluster", "row", shard_rows=100)
+    shards = Counter(r.bin_id >> 32 for r in out.collect())
+    assert sum(shards.values()) == 2_000 and len(shards) == 20 and max(shards.values()) < 200

@@ -1,13 +1,13 @@
 """Conflict-constrained best-fit packing of documents into fixed contexts (operator 1).
 
-Documents are dealt into shards of about ``SHARD_ROWS`` by a hash of their id and packed shard by shard, longest
-first.  A shard keeps its open bins in order of what is left in them; each bin carries one bitmap of its sources and
+Every row is numbered where its length is stored.  Rows are dealt into shards of about ``SHARD_ROWS`` by a hash of that
+number and packed shard by shard, longest first.  A shard keeps its open bins in order of what is left in them; each bin carries one bitmap of its sources and
 one of its duplicate clusters.  The search starts at the tightest bin that the document fits into and goes on to the
 next ones until neither bitmap shares a bit with the document; without such a bin a new one opens.  So no bin
 holds two documents of one source or of one duplicate cluster.
 
 Only ids, lengths, sources and clusters move; texts are encoded where they are read.  A hot source or cluster
-spreads over all shards, as these are dealt by id.  A document longer than a bin fills bins of its own with
+spreads over all shards, and so do rows without an id and rows that are alike.  A document longer than a bin fills bins of its own with
 pieces of ``capacity`` tokens, and the rest is packed like a document; documents without tokens are placed too.
 
 Defined cases: a null text has length 0; a null source conflicts with nothing; texts equal but for case and white space are one cluster, empty
@@ -69,22 +69,22 @@ def pack_shard(rows: pd.DataFrame, capacity: int) -> pd.DataFrame:
                          "bin_id": [(shard << 32) + b for b, _ in places], "bin_offset": [o for _, o in places]})
 
 
-def pack(df: DataFrame, id_col: str, length_col: str, source_col: str, cluster_col: str, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def pack(df: DataFrame, id_col: str, length_col: str, source_col: str, cluster_col: str, row_col: str, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(id, piece, n_tokens, bin_id, bin_offset) of every document, one row a piece.
 
-    ``df`` is read twice (its rows are counted for the number of shards), so it should be a stored table.
+    ``df`` is a stored table, as it is read several times; ``row_col`` is a number that no two of its rows share.
     """
     ship(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(length_col), F.lit(0)).cast("long").alias("length"),
-                     F.col(source_col).cast("string").alias("source"), F.col(cluster_col).cast("long").alias("cluster"))
+                     F.col(source_col).cast("string").alias("source"), F.col(cluster_col).cast("long").alias("cluster"), F.col(row_col).alias("row"))
     shards = max(1, -(-rows.count() // shard_rows))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", "cluster", "source", "length"), F.lit(shards)))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
     full = F.floor(F.col("length") / capacity).cast("int")
     rest = rows.withColumn("piece", full).withColumn("length", F.col("length") % capacity).where((F.col("length") > 0) | (F.col("piece") == 0))
     own = rows.withColumn("piece", F.explode(F.expr(f"sequence(0, cast(length div {capacity} as int))"))).where(F.col("piece") < full)
-    # a full piece is a bin of its own; its number is apart from those of the shards
-    alone = own.select("id", "piece", F.lit(capacity).cast("long").alias("n_tokens"), (-1 - F.pmod(F.xxhash64("id", "piece"), F.lit(1 << 62))).alias("bin_id"), F.lit(0).cast("long").alias("bin_offset"))
-    packed = rest.groupBy("shard").applyInPandas(lambda pdf: pack_shard(pdf, capacity), "id long, piece int, n_tokens long, bin_id long, bin_offset long")
+    # a full piece is a bin of its own; its number, of row and piece, is apart from those of the shards
+    alone = own.select("id", "piece", F.lit(capacity).cast("long").alias("n_tokens"), (-1 - F.pmod(F.xxhash64("row", "piece"), F.lit(1 << 62))).alias("bin_id"), F.lit(0).cast("long").alias("bin_offset"))
+    packed = rest.drop("row").groupBy("shard").applyInPandas(lambda pdf: pack_shard(pdf, capacity), "id long, piece int, n_tokens long, bin_id long, bin_offset long")
     return packed.unionByName(alone)
 
 
@@ -114,8 +114,9 @@ def pack_documents(df: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, n_tokens, bin_id, bin_offset) of a table with the columns of ``documents``."""
     norm = F.lower(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")))
     rows = df.select("doc_id", "source", F.when(norm != "", F.xxhash64(norm)).alias("cluster"), "text")
-    sized = stored(token_lengths(rows, vocabulary_path("byte_bpe_50k.tiktoken"), ["doc_id", "source", "cluster"]), "lengths")
-    return pack(sized, "doc_id", "n_tokens", "source", "cluster", capacity).withColumnRenamed("id", "doc_id")
+    sized = token_lengths(rows, vocabulary_path("byte_bpe_50k.tiktoken"), ["doc_id", "source", "cluster"])
+    sized = stored(sized.withColumn("row", F.monotonically_increasing_id()), "lengths")
+    return pack(sized, "doc_id", "n_tokens", "source", "cluster", "row", capacity).withColumnRenamed("id", "doc_id")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
