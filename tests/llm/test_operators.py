@@ -24,6 +24,7 @@ from trailcheck.llm.spot_signatures import likeness, read
 from trailcheck.llm.token_counts import length_histogram, quantiles, suffix_sums, truncated_totals
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars int, h int, id string, row int, n bigint"
+OTHER_TABLES = {"op11_conversation_repair", "op12_decontamination", "op13_hard_negatives"}
 SYLLABLES = {"en": "the and ing ter wood rain stone light ", "de": "der und ung keit wald regen stein licht "}
 
 
@@ -65,7 +66,7 @@ def result(spark, data, name):
     return {r[0]: r for r in QUERIES[name](spark, data[0]).collect()}
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - OTHER_TABLES))
 def test_empty_table(spark, data, name):
     assert QUERIES[name](spark, f"{data[0]}/none").count() == 0
 

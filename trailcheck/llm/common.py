@@ -9,6 +9,8 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,25 +66,35 @@ def ship(spark: SparkSession) -> None:
     context._trailcheck_shipped = True
 
 
-def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterable[dict]]]) -> DataFrame:
+def fields(df: DataFrame, columns: Iterable[str], more: str = "") -> StructType:
+    """The named columns of ``df`` as they are typed there, then those of the DDL text ``more``.
+
+    A StructType, not its text: the names inside a struct column may need quoting, which ``simpleString`` leaves out.
+    """
+    return StructType([*(df.schema[c] for c in columns), *(_parse_datatype_string(more).fields if more else ())])
+
+
+def map_batches(df: DataFrame, schema: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], Iterable[dict]]]) -> DataFrame:
     """``mapInArrow`` with per-task state: ``make()`` runs once a task and returns the batch function.
 
     The function takes its columns by place and yields dicts of column lists or arrays; empty batches are left out.
+    Where it has an attribute ``end``, that runs after the last batch and yields such dicts too.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
     ship(df.sparkSession)
-    target = to_arrow_schema(_parse_datatype_string(schema))
+    schema = _parse_datatype_string(schema) if isinstance(schema, str) else schema
+    target = to_arrow_schema(schema)
+
+    def columns(out: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [v if isinstance(v, pa.Array) and v.type == f.type else pa.array(v, type=f.type)
+             for f, v in ((f, out[f.name]) for f in target)], schema=target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
         for batch in batches:
             if batch.num_rows:
-                for out in each(batch):
-                    yield pa.RecordBatch.from_arrays(
-                        [v if isinstance(v, pa.Array) and v.type == f.type else pa.array(v, type=f.type)
-                         for f, v in ((f, out[f.name]) for f in target)], schema=target)
+                yield from map(columns, each(batch))
+        yield from map(columns, getattr(each, "end", tuple)())
 
     return df.toDF(*(f"_{i}" for i in range(len(df.columns)))).mapInArrow(run, schema)  # names that need no quoting
 
