@@ -206,7 +206,7 @@ def _sequence_distribution(fixture: str) -> str:
                          extra=[("users", _USERS.format(src=fixture))] + distribution_sql(samples, list(USER_METRICS)))
 
 
-def oracle_queries() -> dict[str, str]:
+def _behavior_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["prior_behavior"] = _prior_behavior("log")
     q["strict_prior_ties"] = _prior_behavior("tie_log")
@@ -435,16 +435,6 @@ def _quality_queries() -> dict[str, str]:
     return q
 
 
-_base_oracle_queries = oracle_queries
-
-
-def oracle_queries() -> dict[str, str]:  # noqa: F811
-    q = _base_oracle_queries()
-    q.update(_quality_queries())
-    q.update(_history_queries())
-    return q
-
-
 # ---------------------------------------------------------------- splits
 def _labels(scheme: str) -> str:
     if scheme == "rows":
@@ -564,15 +554,6 @@ def _split_tree_queries() -> dict[str, str]:
     return q
 
 
-_base_oracle_queries2 = oracle_queries
-
-
-def oracle_queries() -> dict[str, str]:  # noqa: F811
-    q = _base_oracle_queries2()
-    q.update(_split_tree_queries())
-    return q
-
-
 # ---------------------------------------------------------------- spec-only analytics
 def _concentration_bodies(items_cte: str) -> tuple[list[tuple[str, str]], str, str]:
     fr = " union all ".join(f"select cast('{p}' as double) as p" for p in (0.01, 0.05, 0.10, 0.20))
@@ -678,9 +659,12 @@ def _spec_queries() -> dict[str, str]:
     q["trend_weekly"] = with_fixtures(["order_log"], (
         f"select 'week' as granularity, {wk} || ' 00:00:00' as period_start_utc, event, count(*)::bigint as "
         "event_count from order_log where timestamp is not null and event is not null group by 2, 3"))
+    from trailcheck.plans.catalog import B01, EVIDENCE_META
+
+    _, population, denominator = EVIDENCE_META[B01]
     q["evidence_annotation"] = with_fixtures(["log"], (
-        "select 'B01_EVENT_DISTRIBUTION' as evidence_id, 'full' as data_scope, 'event rows read' as population, "
-        "'all event rows read' as denominator_definition, coalesce(event, '<missing>') as event, count(*)::bigint "
+        f"select {_lit(B01)} as evidence_id, 'full' as data_scope, {_lit(population)} as population, "
+        f"{_lit(denominator)} as denominator_definition, coalesce(event, '<missing>') as event, count(*)::bigint "
         f"as event_count, {_share('count(*)', '(select count(*) from log)')} as event_share, "
         "coalesce(event, '<missing>') in ('view', 'addtocart', 'transaction') as is_expected_event "
         "from log group by coalesce(event, '<missing>')"))
@@ -713,15 +697,6 @@ def _spec_queries() -> dict[str, str]:
     return q
 
 
-_base_oracle_queries3 = oracle_queries
-
-
-def oracle_queries() -> dict[str, str]:  # noqa: F811
-    q = _base_oracle_queries3()
-    q.update(_spec_queries())
-    return q
-
-
 # ---------------------------------------------------------------- evidence layer
 def _count_of(sql: str) -> str:
     return f"(select count(*) from ({sql}) z)"
@@ -731,7 +706,7 @@ def _evidence_row_counts() -> dict[str, str]:
     """Row count of every evidence table of the fixture audit (log, props, tree_func)."""
     from trailcheck.plans import catalog as C
 
-    base = _base_oracle_queries4()
+    base = _table_queries()
     combos = with_fixtures(["log"], (
         "select count(*) from (select distinct array_to_string(list_sort(list_distinct(list(event))), '|') "
         "from log where visitorid is not null and event is not null group by visitorid) c"))
@@ -791,22 +766,12 @@ def _feature_matrix_sql() -> str:
     return " union all ".join(parts)
 
 
-_base_oracle_queries4 = oracle_queries
-
-
-def oracle_queries() -> dict[str, str]:  # noqa: F811
-    q = _base_oracle_queries4()
-    q["evidence_index"] = _evidence_index_sql()
-    q["feature_matrix"] = _feature_matrix_sql()
-    return q
-
-
 def _module_matrix_sql() -> str:
     """H01 evidence text: ID[c1=v1,c2=v2] from each cited table's first two
     numeric columns, first non-null value in the table's key order."""
     from trailcheck.plans import catalog as C
 
-    base = _base_oracle_queries4()
+    base = _table_queries()
     cov = with_fixtures(["log", "props"], (
         "select (select count(distinct itemid) from log where itemid is not null) as event_item_count, "
         "(select count(distinct itemid) from props where itemid is not null) as property_item_count"))
@@ -856,10 +821,63 @@ def _module_matrix_sql() -> str:
     return f"with {', '.join(tables)} {' union all '.join(parts)}"
 
 
-_base_oracle_queries5 = oracle_queries
+def _numeric_names(sql: str) -> str:
+    """Names of the numeric columns of a query."""
+    return f"select column_name from (describe {sql}) where column_type in ('INTEGER', 'BIGINT', 'DOUBLE', 'HUGEINT')"
 
 
-def oracle_queries() -> dict[str, str]:  # noqa: F811
-    q = _base_oracle_queries5()
-    q["module_matrix"] = _module_matrix_sql()
-    return q
+def _traceability_sql() -> str:
+    """Every citation, and whether a table of that id has the row count or a numeric column of that name."""
+    from trailcheck.plans import catalog as C
+
+    base, counts = _table_queries(), _evidence_row_counts()
+    known = [f"select {_lit(e)} as evidence_id, 'row_count' as metric" for e in (*counts, C.G01)]
+    tables = {C.A01: base["source_profile"], C.A03: base["entity_coverage"], C.A04: base["attribute_coverage"], C.B04: base["prior_behavior"]}
+    known += [f"select {_lit(e)}, column_name from ({_numeric_names(sql)}) z" for e, sql in tables.items()]
+    cited = [f"select 'feature' as catalogue, {_lit(r[1])} as rule, {_lit(r[3])} as evidence_id, {_lit(r[4])} as metric" for r in C.FEATURE_RULES]
+    cited += [f"select 'module', {_lit(m[0])}, {_lit(e)}, 'row_count'" for m in C.MODULE_RULES for e in m[2]]
+    return (f"with known as ({' union all '.join(known)}), cited as ({' union all '.join(cited)}) select catalogue, rule, evidence_id, metric, "
+            "exists (select 1 from known k where k.evidence_id = cited.evidence_id and k.metric = cited.metric) as resolved from cited")
+
+
+def _rule_evaluation_sql() -> str:
+    from trailcheck.plans import catalog as C
+    from trailcheck.plans.registry import SAMPLE_RULES
+
+    rows = ", ".join("(" + ", ".join(str(x) if isinstance(x, int) else _lit(x) for x in r) + ")" for r in SAMPLE_RULES)
+    n = "(select count(*) from ({}))"
+    shares = ["transaction_event_count", "with_strictly_prior_view_count", "with_strictly_prior_view_share", "with_strictly_prior_addtocart_count"]
+    metrics = [f"select {_lit(C.B04)} as evidence_id, {_lit(c)} as metric, cast({c} as varchar) as v, 1 as n from b04" for c in shares]
+    metrics += [f"select {_lit(C.B04)}, 'summary', 'transaction_event_count=' || transaction_event_count || ',with_strictly_prior_view_count=' || "
+                "with_strictly_prior_view_count, 1 from b04",
+                f"select {_lit(C.D01)}, 'row_count', cast(n as varchar), n from (select count(distinct itemid) as n from log_items where {VALID})",
+                f"select {_lit(C.B01)}, 'row_count', cast(n as varchar), n from (select count(distinct coalesce(event, '<missing>')) as n from log_items)"]
+    metrics += [f"select {_lit(C.A03)}, {_lit(c)}, cast({q} as varchar), 1" for c, q in (
+        ("overlap_item_count", n.format("select itemid from log_items where itemid is not null intersect select itemid from props where itemid is not null")),
+        ("event_item_count", n.format("select distinct itemid from log_items where itemid is not null")))]
+    number = "try_cast(v as double)"
+    wanted = "coalesce(try_cast(threshold as double), try_cast(tv as double))"
+    outcome = (f"case when v is null then 'unresolved' when comparison = 'present' then 'pass' when {number} is null or {wanted} is null then 'unresolved' "
+               + " ".join(f"when comparison = '{c}' then case when {number} {c.replace('!=', '<>')} {wanted} then 'pass' else 'fail' end" for c in (">=", ">", "<=", "<", "=", "!="))
+               + " end")
+    text = "template"
+    for name, value in (("value", "v"), ("threshold", "coalesce(tv, threshold)"), ("metric", "metric"), ("rows", "cast(n as varchar)"), ("evidence_id", "evidence_id")):
+        text = f"replace({text}, '{{{name}}}', coalesce({value}, '?'))"
+    return with_fixtures(["log_items", "props"], (
+        f"select rule_id, case when bool_or(o = 'unresolved') then 'unresolved' when bool_or(o = 'fail') then 'fail' else 'pass' end as outcome, "
+        "count(*) filter (where o = 'pass') as passed, count(*) filter (where o = 'fail') as failed, count(*) filter (where o = 'unresolved') as unresolved, "
+        f"string_agg(said, '; ' order by position) as text from (select *, {outcome} as o, {text} as said from x) group by rule_id"), extra=[
+            ("b04", _prior_behavior("log_items")), ("m", " union all ".join(metrics)),
+            ("r", f"select * from (values {rows}) t(rule_id, position, evidence_id, metric, comparison, threshold, template)"),
+            ("x", "select r.*, m.v, m.n, t.v as tv from r left join m on m.evidence_id = r.evidence_id and m.metric = r.metric "
+                  "left join m t on r.threshold = t.evidence_id || '.' || t.metric")])
+
+
+def _table_queries() -> dict[str, str]:
+    """All but the evidence layer, which is built on these."""
+    return {**_behavior_queries(), **_quality_queries(), **_history_queries(), **_split_tree_queries(), **_spec_queries()}
+
+
+def oracle_queries() -> dict[str, str]:
+    return {**_table_queries(), "evidence_index": _evidence_index_sql(), "feature_matrix": _feature_matrix_sql(),
+            "module_matrix": _module_matrix_sql(), "evidence_traceability": _traceability_sql(), "rule_evaluation": _rule_evaluation_sql()}

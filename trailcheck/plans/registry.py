@@ -21,6 +21,7 @@ from trailcheck.plans import audit as AU
 from trailcheck.plans import catalog as CAT
 from trailcheck.operators import hierarchy as T
 from trailcheck.operators import history as H
+from trailcheck.operators import rules as RU
 from trailcheck.operators import splits as S
 from trailcheck.operators import quality as Q
 from trailcheck.sources.scan import tag_and_union
@@ -86,6 +87,7 @@ def registry() -> dict[str, Query]:
     q["feature_matrix"] = lambda spark, d: AU.feature_and_module_matrices(AU.fixture_inputs(spark, d))[0]
     q["module_matrix"] = lambda spark, d: AU.feature_and_module_matrices(AU.fixture_inputs(spark, d))[1]
     q["evidence_traceability"] = _traceability
+    q["rule_evaluation"] = _rule_evaluation
     q["row_accounting"] = lambda spark, d: EV.row_accounting(audit_sources(spark, d))
     # one run is written and read back, the other computed anew
     q["rerun_equivalence"] = lambda spark, d: EV.tables_equal(
@@ -107,17 +109,34 @@ def registry() -> dict[str, Query]:
 
 
 def _traceability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every evidence id / metric cited by either rule catalogue must resolve."""
-    inp = AU.fixture_inputs(spark, sf_dir)
-    metrics = AU.audit_metrics(inp)
-    features = EV.feature_matrix(CAT.feature_rules_df(spark), metrics, inp.scope)
-    metrics = metrics.unionByName(EV.table_metrics(EV.feature_matrix_evidence(features)))
-    f = CAT.feature_rules_df(spark).select(F.lit("feature").alias("catalogue"), F.col("feature_name").alias("rule"),
-                                          "evidence_id", F.col("coverage_metric").alias("metric"))
-    m = CAT.module_rules_df(spark).select(F.lit("module").alias("catalogue"), F.col("module").alias("rule"),
-                                         F.explode("evidence_ids").alias("evidence_id"),
-                                         F.lit("row_count").alias("metric"))
-    return EV.unresolved_citations(f.unionByName(m), metrics, metric_col="metric")
+    """X13 over both shipped catalogues."""
+    return EV.traced_citations(CAT.feature_rules_df(spark), CAT.module_rules_df(spark), AU.audit_metrics(AU.fixture_inputs(spark, sf_dir)))
+
+
+#: A sample rule table: (rule, position, evidence, metric, comparison, threshold, template).
+SAMPLE_RULES = (
+    ("enough events", 0, CAT.D01, "row_count", ">=", "10", "{rows} items"),
+    ("enough events", 1, CAT.B04, "transaction_event_count", ">", "100", "{value} purchases of over {threshold}"),
+    ("purchases follow views", 0, CAT.B04, "with_strictly_prior_view_share", ">=", "0.99", "share {value}, wanted {threshold}"),
+    ("carts before purchases", 0, CAT.B04, "with_strictly_prior_addtocart_count", "<=", f"{CAT.B04}.transaction_event_count", "{value} of {threshold}"),
+    ("more items than kinds", 0, CAT.D01, "row_count", ">", f"{CAT.B01}.row_count", "{value} items, {threshold} kinds of event"),
+    ("overlap", 0, CAT.A03, "overlap_item_count", "!=", "0", "{metric} is {value}"),
+    ("overlap", 1, CAT.A03, "no_such_column", ">", "0", "{metric} is {value}"),
+    ("no such table", 0, "Z99_NOWHERE", "row_count", "present", None, "{evidence_id}"),
+    ("threshold nowhere", 0, CAT.A03, "event_item_count", "<", f"{CAT.A03}.nothing", "{value} under {threshold}"),
+    ("summary", 0, CAT.B04, "summary", "present", None, "{evidence_id}[{value}]"),
+    ("every kind known", 0, CAT.B01, "row_count", "=", "3", "{rows} kinds"),
+    ("not a number", 0, CAT.B04, "summary", "<", "5", "{value}"),
+)
+
+
+def _rule_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's rule table against the evidence it cites, which is computed here and nothing else."""
+    log = fx.log_items(spark, sf_dir)
+    evidence = [EV.Evidence(CAT.B01, B.event_distribution(log), ("event",)), EV.Evidence(CAT.B04, B.prior_behavior(log)),
+                EV.Evidence(CAT.D01, B.item_metrics(log), ("itemid",)), EV.Evidence(CAT.A03, Q.entity_coverage(log, fx.props(spark, sf_dir)))]
+    rules = spark.createDataFrame(list(SAMPLE_RULES), "rule_id string, position int, evidence_id string, metric string, comparison string, threshold string, template string")
+    return RU.evaluate_rules(rules, RU.with_summaries(EV.evidence_metrics(evidence)))
 
 
 def audit_sources(spark: SparkSession, sf_dir: str):
