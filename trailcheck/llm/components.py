@@ -33,5 +33,7 @@ def components(links: DataFrame, at: str, name: str) -> DataFrame:
         if seen["n"] == seen["d"] and now.join(now.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
             break
         now = stored(_star(_star(now, True), False), f"{name}-round-{k}", at)
+    else:
+        raise RuntimeError(f"the components of {name} were not settled after 64 rounds")
     roots = now.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()
     return now.select(F.col("b").alias("id"), F.col("a").alias("component")).unionByName(roots)

@@ -28,6 +28,7 @@ a null id is larger than any other; an empty table gives an empty result; very l
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -46,6 +47,7 @@ SHARE = 0.375
 LONG_SET = 200
 KEYS = 8
 SEGMENTS = 8
+BAND = 1.04
 FRAGMENT_DOCS = 4_000
 FRAGMENTS = (64, 1 << 20)
 CACHED_WORDS = 300_000
@@ -304,20 +306,32 @@ def _unsettled(sets: DataFrame, parts: DataFrame, at: str) -> DataFrame:
 
 
 def _prefix_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b): all pairs across components that share a shingle of both frequency-ordered prefixes."""
+    """(a, b): all pairs across components that share a shingle of both frequency-ordered prefixes.
+
+    A shingle at ``place`` of ``m`` leaves room for an overlap of m - place + 1, so it can be the first that two sets
+    share only if their sizes add up to little enough: ``limit`` is the largest partner that it allows a set.  The larger set of a
+    pair looks for partners from three quarters of its size up to that limit, by bands of sizes, so sets that share a hot shingle but
+    not enough else never meet.
+    """
     own = Window.partitionBy("id").orderBy("df", "h")
     m = F.count(F.lit(1)).over(Window.partitionBy("id"))
     # shingles met in one component only come first in the order and take their places in the prefix
     prefix = rows.withColumn("place", F.row_number().over(own)).withColumn("m", m).where(F.col("place") <= F.col("m") - needed(F.col("n")) + 1)
+    room = F.floor((F.col("m") - F.col("place") + 1) * sum(LEAST) / LEAST[0]).cast("int")
+    prefix = prefix.withColumn("limit", room - F.col("n"))
     sizes = prefix.groupBy("h", "component").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("h").agg(F.max_by("component", F.struct("size", "component")).alias("largest"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    marked = prefix.join(largest, "h").select("h", "id", "component", "n", "m", "place", "largest")
-    some = marked.where("component != largest").select("h", *(F.col(c).alias(f"{c}_x") for c in ("id", "component", "n", "m", "place")))
+    marked = prefix.join(largest, "h").select("h", "id", "component", "n", "m", "place", "limit", (F.col("component") == F.col("largest")).alias("common"))
+    band = lambda n: F.floor(F.log(n.cast("double")) / math.log(BAND)).cast("int")
+    asking = marked.withColumn("most", F.least("n", "limit")).where(F.col("most") >= needed(F.col("n")))
+    asking = asking.select("*", F.explode(F.sequence(band(needed(F.col("n"))), band(F.col("most")))).alias("band")).drop("most")
+    asked = marked.where("limit >= n").select("h", band(F.col("n")).alias("band"), *(F.col(c).alias(f"{c}_x") for c in ("id", "component", "n", "m", "place", "limit", "common")))
+    # members of the commonest component of a shingle are not set beside one another
+    met = asking.where("not common").join(asked, ["h", "band"]).unionByName(asking.where("common").join(asked.where("not common_x"), ["h", "band"]))
     # the overlap that both sizes ask for; shared shingles lie before the place, at it, or after it in either set
     least = F.ceil((F.col("n") + F.col("n_x")) * LEAST[0] / sum(LEAST))
     most = F.least("place", "place_x") + F.least(F.col("m") - F.col("place"), F.col("m_x") - F.col("place_x"))
-    first = F.greatest(F.col("place") - F.col("m"), F.col("place_x") - F.col("m_x")) + least <= 1
-    pairs = some.join(marked, "h").where((F.col("component_x") != F.col("component")) & (most >= least) & first)
+    pairs = met.where((F.col("component_x") != F.col("component")) & (F.col("n_x") <= F.col("n")) & (F.col("n_x") <= F.col("limit")) & (F.col("n") <= F.col("limit_x")) & (most >= least))
     return pairs.select(F.least("id_x", "id").alias("a"), F.greatest("id_x", "id").alias("b")).distinct()
 
 
