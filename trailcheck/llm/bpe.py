@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailcheck.llm.common import documents, map_batches, texts
+from trailcheck.llm.common import documents, fields, map_batches, texts
 
 #: Fixed value: the published pre-tokenizer pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -203,7 +203,6 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 def count_tokens(df: DataFrame, path: str, keep: list[str], text_col: str = "text", out: str = "n_tokens") -> DataFrame:
     """The columns ``keep`` and the encoded length of every whole text; the texts stay in the task."""
     kept = df.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
 
     def make():
         codec = _codec(path)
@@ -214,7 +213,7 @@ def count_tokens(df: DataFrame, path: str, keep: list[str], text_col: str = "tex
 
         return each
 
-    return map_batches(kept, f"{schema + ', ' if schema else ''}`{out}` long", make)
+    return map_batches(kept, fields(df, keep, f"`{out}` long"), make)
 
 
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailcheck.llm.bpe import PATTERN, vocabulary_path
-from trailcheck.llm.common import documents, map_batches, ship, stored, texts
+from trailcheck.llm.common import documents, fields, map_batches, ship, stored, texts
 
 CAPACITY = 4096
 SHARD_ROWS = 2_000
@@ -82,16 +82,16 @@ def pack(df: DataFrame, id_col: str, length_col: str, source_col: str, cluster_c
     full = F.floor(F.col("length") / capacity).cast("int")
     rest = rows.withColumn("piece", full).withColumn("length", F.col("length") % capacity).where((F.col("length") > 0) | (F.col("piece") == 0))
     own = rows.withColumn("piece", F.explode(F.expr(f"sequence(0, cast(length div {capacity} as int))"))).where(F.col("piece") < full)
-    # a full piece is a bin of its own; its number, of row and piece, is apart from those of the shards
-    alone = own.select("id", "piece", F.lit(capacity).cast("long").alias("n_tokens"), (-1 - F.pmod(F.xxhash64("row", "piece"), F.lit(1 << 62))).alias("bin_id"), F.lit(0).cast("long").alias("bin_offset"))
+    # a full piece is a bin of its own; its number, row * 2^31 + piece below zero, is no other's and apart from those of the shards
+    number = F.col("row").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("piece")
+    alone = own.select("id", "piece", F.lit(capacity).cast("long").alias("n_tokens"), (-1 - number).cast("decimal(38,0)").alias("bin_id"), F.lit(0).cast("long").alias("bin_offset"))
     packed = rest.drop("row").groupBy("shard").applyInPandas(lambda pdf: pack_shard(pdf, capacity), "id long, piece int, n_tokens long, bin_id long, bin_offset long")
-    return packed.unionByName(alone)
+    return packed.withColumn("bin_id", F.col("bin_id").cast("decimal(38,0)")).unionByName(alone)
 
 
 def token_lengths(df: DataFrame, path: str, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns ``keep`` with n_tokens, the length of the text in a vocabulary of ranks (tiktoken layout)."""
     kept = df.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema.fields[:-1])
 
     def make():
         import base64
@@ -107,7 +107,7 @@ def token_lengths(df: DataFrame, path: str, keep: list[str], text_col: str = "te
 
         return each
 
-    return map_batches(kept, f"{schema}n_tokens long", make)
+    return map_batches(kept, fields(df, keep, "n_tokens long"), make)
 
 
 def pack_documents(df: DataFrame, capacity: int = CAPACITY) -> DataFrame:

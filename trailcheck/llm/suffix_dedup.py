@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailcheck.llm.common import documents, map_batches, maybe_among, shared_dir, ship, stored
+from trailcheck.llm.common import documents, fields, map_batches, maybe_among, shared_dir, ship, stored
 
 LENGTH = 100
 GRAM = 32
@@ -355,8 +355,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
         return each
 
-    kind = met.schema["row"].dataType.simpleString()
-    cut = map_batches(met, f"row {kind}, cut string, touched boolean", make).where("not touched or cut != ''")
+    cut = map_batches(met, fields(met, ["row"], "cut string, touched boolean"), make).where("not touched or cut != ''")
     new = {text_col: F.when(F.col("touched"), F.col("cut")).otherwise(F.col(f"row.`{text_col}`"))}
     if size_col:
         new[size_col] = F.when(F.col("touched"), F.char_length("cut")).otherwise(F.col(f"row.`{size_col}`")).cast(df.schema[size_col].dataType)
