@@ -117,33 +117,31 @@ def history_features(log: DataFrame, bucket_ms: int = 3_600_000) -> DataFrame:
     the user's events and active UTC days, the item's events, the pair's events.
 
     Each count is a bucketed prefix sum over distinct instants (copies at one
-    instant collapse first), joined back to the events.
+    instant collapse first); user events and active days are one pass.  Equal
+    events meet as one row with their number before the answers are joined, and
+    are repeated at the end, so copies of an event never travel to a join.
     """
-    v = valid_events(log).select("timestamp", "visitorid", "event", "itemid")
+    v = valid_events(log).groupBy("timestamp", "visitorid", "event", "itemid").agg(F.count(F.lit(1)).cast("bigint").alias("_n"))
 
     def prior_count(keys: list[str], name: str) -> DataFrame:
-        inst = v.groupBy(*keys, "timestamp").agg(F.count(F.lit(1)).cast("bigint").alias("_w"))
+        inst = v.groupBy(*keys, "timestamp").agg(F.sum("_n").cast("bigint").alias("_w"))
         return strict_prior(inst, keys, "timestamp", {name: ("sum", "_w")}, bucket_ms).drop("_w")
 
-    user = prior_count(["visitorid"], "user_prior_event_count")
     item = prior_count(["itemid"], "item_prior_event_count")
     pair = prior_count(["visitorid", "itemid"], "pair_prior_event_count")
     # a day is active before t when its first event is earlier than t
-    day_first = (v.groupBy("visitorid", day_index(F.col("timestamp")).alias("_d"))
-                 .agg(F.min("timestamp").alias("timestamp"))
-                 .select("visitorid", "timestamp", F.lit(1).cast("bigint").alias("_w")))
-    inst = v.select("visitorid", "timestamp").distinct().select("visitorid", "timestamp",
-                                                                F.lit(0).cast("bigint").alias("_w"))
-    days = (strict_prior(inst.unionByName(day_first), ["visitorid"], "timestamp",
-                         {"user_prior_active_day_count": ("sum", "_w")}, bucket_ms)
-            .groupBy("visitorid", "timestamp").agg(F.max("user_prior_active_day_count")
-                                                   .alias("user_prior_active_day_count")))
-    return (v.join(user, ["visitorid", "timestamp"], "left")
-            .join(days, ["visitorid", "timestamp"], "left")
-            .join(item, ["itemid", "timestamp"], "left")
-            .join(pair, ["visitorid", "itemid", "timestamp"], "left")
-            .select("timestamp", "visitorid", "event", "itemid", "user_prior_event_count",
-                    "user_prior_active_day_count", "item_prior_event_count", "pair_prior_event_count"))
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    day_first = (v.groupBy("visitorid", day_index(F.col("timestamp")).alias("_d")).agg(F.min("timestamp").alias("timestamp"))
+                 .select("visitorid", "timestamp", zero.alias("_w"), one.alias("_first")))
+    inst = (v.select("visitorid", "timestamp", F.col("_n").alias("_w"), zero.alias("_first")).unionByName(day_first)
+            .groupBy("visitorid", "timestamp").agg(F.sum("_w").cast("bigint").alias("_w"), F.sum("_first").cast("bigint").alias("_first")))
+    user = strict_prior(inst, ["visitorid"], "timestamp", {"user_prior_event_count": ("sum", "_w"),
+                                                           "user_prior_active_day_count": ("sum", "_first")}, bucket_ms).drop("_w", "_first")
+    met = (v.join(user, ["visitorid", "timestamp"], "left").join(item, ["itemid", "timestamp"], "left")
+           .join(pair, ["visitorid", "itemid", "timestamp"], "left"))
+    return met.withColumn("_copy", F.explode(F.sequence(one, F.col("_n")))).select(
+        "timestamp", "visitorid", "event", "itemid", "user_prior_event_count",
+        "user_prior_active_day_count", "item_prior_event_count", "pair_prior_event_count")
 
 
 def trend_at_granularity(log: DataFrame, granularity: str) -> DataFrame:

@@ -25,6 +25,7 @@ from trailcheck.operators import quality as Q
 from trailcheck.operators import splits as S
 from trailcheck.plans import catalog as C
 from trailcheck.session import ensure_checkpoint_dir, scratch_dir
+from trailcheck.sources.order import ROW_ORDER
 from trailcheck.sources.scan import scan_source, tag_and_union, typed_source
 
 
@@ -37,6 +38,7 @@ class AuditInputs:
     events_text: DataFrame             # raw text of the log (A02 compares text)
     props_text: DataFrame              # raw text of both property parts with _source_name
     scope: str = FULL_SCOPE
+    tree_rows: DataFrame | None = None  # the category tree with the order of its rows, where the source has one
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -62,7 +64,7 @@ def evidence_plan(inp: AuditInputs, cached: list[DataFrame] | None = None
     def tree_nodes() -> DataFrame:  # one walk shared by A05 and A06, also across threads
         with lock:
             if "n" not in nodes:
-                nodes["n"] = T.tree_nodes(tree)
+                nodes["n"] = T.tree_nodes(tree) if inp.tree_rows is None else T.tree_nodes(inp.tree_rows, ROW_ORDER)
             return nodes["n"]
 
     # intermediates read by several evidence tables: computed once, kept
@@ -177,18 +179,19 @@ def csv_inputs(spark: SparkSession, paths: Mapping[str, str], scope: str = FULL_
     """Audit inputs from the declared CSV files: ``paths`` maps each source of ``EXPECTED_COLUMNS`` to its path.
 
     Headers are checked at once.  The text of each source is written to the shared checkpoint folder as Parquet in
-    one pass over the CSV (files whose fields may hold line breaks are not split), and both the text checks and the
-    typed tables read that.
+    one split pass over the CSV, and both the text checks and the typed tables read that.  The tree keeps the order of
+    its rows: a category named twice has its first row's parent (R16).
     """
     if set(paths) != set(EXPECTED_COLUMNS):
         raise ValueError(f"one path for each of {sorted(EXPECTED_COLUMNS)} is needed, given {sorted(paths)}")
-    text = {name: scan_source(spark, paths[name], name) for name in EXPECTED_COLUMNS}
+    text = {name: scan_source(spark, paths[name], name, ordered=name == "category_tree") for name in EXPECTED_COLUMNS}
     text = {name: materialize(df, name) for name, df in text.items()}
     parts = [name for name in EXPECTED_COLUMNS if name.startswith("item_properties")]
+    tree_rows = typed_source(text["category_tree"], "category_tree")
     return AuditInputs(
         log=typed_source(text["events"], "events"),
         props=tag_and_union({name: typed_source(text[name], name) for name in parts}),
-        tree=typed_source(text["category_tree"], "category_tree"),
+        tree=tree_rows.drop(ROW_ORDER), tree_rows=tree_rows,
         raw_sources=[(df, source_spec(name)) for name, df in text.items()],
         events_text=text["events"], props_text=tag_and_union({name: text[name] for name in parts}), scope=scope)
 

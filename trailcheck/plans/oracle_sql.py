@@ -42,10 +42,14 @@ _FIX = {
                  "as parentid from part",
     "tree_heap": "select p_partkey as categoryid, case when p_partkey=0 then null else (p_partkey-1)//2 end "
                  "as parentid from part",
+    "tree_lines": "select row_number() over () - 1 as row_number, l_partkey%2000 as categoryid, case when l_suppkey%13<>0 then "
+                  "(l_partkey*7+l_linenumber)%2100 end as parentid from lineitem",
+    "tree_first": "select categoryid, parentid from (select *, row_number() over (partition by categoryid order by row_number) as k "
+                  "from tree_lines) where k=1",
 }
-_DEPS = {"pair_log": ["log"], "log_items": ["log"], "tie_log": ["star_log"]}
+_DEPS = {"pair_log": ["log"], "log_items": ["log"], "tie_log": ["star_log"], "tree_first": ["tree_lines"]}
 _ORDER = ["log", "pair_log", "log_items", "order_log", "star_log", "tie_log", "props", "raw_ids",
-          "tree_func", "tree_heap"]
+          "tree_func", "tree_heap", "tree_lines", "tree_first"]
 
 
 def with_fixtures(names: list[str], body: str, extra: list[tuple[str, str]] | None = None,
@@ -873,9 +877,24 @@ def _rule_evaluation_sql() -> str:
                   "left join m t on r.threshold = t.evidence_id || '.' || t.metric")])
 
 
+def _order_queries() -> dict[str, str]:
+    """Row order, given intervals, differences of runs."""
+    changed = "select * from log_items where visitorid % 211 <> 0 or event <> 'view'"
+    lost = "select *, '{}' as run, count(*)::bigint as copies from (select * from {} except all select * from {}) group by all"
+    return {
+        "tree_nodes_first_row": _tree_nodes_sql("tree_first"),
+        "tree_row_numbers": with_fixtures(["tree_lines"], "select * from tree_lines"),
+        "price_intervals": "select 'from ' || lower as label, count(cents)::bigint as row_count, coalesce(sum(cents), 0)::bigint as value_sum from "
+                           "(select i * i as lower, case when i < 9999 then (i + 1) * (i + 1) - 1 else 9000000000000000 end as upper from range(10000) r(i)) s "
+                           "left join (select cast(round(o_totalprice * 100) as bigint) as cents from orders) o on cents between lower and upper group by lower",
+        "table_difference": with_fixtures(["log_items"], f"{lost.format('a', 'run_a', 'run_b')} union all {lost.format('b', 'run_b', 'run_a')}", extra=[
+            ("changed", changed), ("run_a", _ITEMS.format(src="log_items")), ("run_b", _ITEMS.format(src="changed"))]),
+    }
+
+
 def _table_queries() -> dict[str, str]:
     """All but the evidence layer, which is built on these."""
-    return {**_behavior_queries(), **_quality_queries(), **_history_queries(), **_split_tree_queries(), **_spec_queries()}
+    return {**_behavior_queries(), **_quality_queries(), **_history_queries(), **_split_tree_queries(), **_spec_queries(), **_order_queries()}
 
 
 def oracle_queries() -> dict[str, str]:

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from trailcheck.functions.parsing import normalize_nulls
 from trailcheck.functions import hashing as HS
+from trailcheck.functions import ranges as RG
 from trailcheck.operators import behavior as B
 from trailcheck.operators import derived as X
+from trailcheck.operators import difference as DF
 from trailcheck.operators import evidence as EV
 from trailcheck.plans import audit as AU
 from trailcheck.plans import catalog as CAT
@@ -24,6 +26,7 @@ from trailcheck.operators import history as H
 from trailcheck.operators import rules as RU
 from trailcheck.operators import splits as S
 from trailcheck.operators import quality as Q
+from trailcheck.sources.order import ROW_ORDER, row_numbers
 from trailcheck.sources.scan import tag_and_union
 from trailcheck.sources import fixtures as fx
 
@@ -80,6 +83,11 @@ def registry() -> dict[str, Query]:
     q["tree_summary_func"] = _on(fx.tree_func, T.tree_summary)
     q["tree_nodes_heap"] = _on(fx.tree_heap, T.tree_nodes)
     q["tree_summary_heap"] = _on(fx.tree_heap, T.tree_summary)
+    q["tree_nodes_first_row"] = lambda spark, d: T.tree_nodes(fx.tree_lines(spark, d), ROW_ORDER)
+    q["tree_row_numbers"] = lambda spark, d: row_numbers(fx.tree_lines(spark, d))
+    q["price_intervals"] = lambda spark, d: RG.interval_counts(fx.order_cents(spark, d), "cents", square_intervals(spark))
+    q["table_difference"] = lambda spark, d: DF.table_difference(
+        B.item_metrics(fx.log_items(spark, d)), B.item_metrics(fx.log_items(spark, d).filter((F.col("visitorid") % 211 != 0) | (F.col("event") != "view"))), ["itemid"])
     # ---- evidence layer
     q["evidence_annotation"] = lambda spark, d: EV.annotate(
         EV.Evidence(CAT.B01, B.event_distribution(fx.log(spark, d))), "full")
@@ -139,6 +147,12 @@ def _rule_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RU.evaluate_rules(rules, RU.with_summaries(EV.evidence_metrics(evidence)))
 
 
+def square_intervals(spark: SparkSession, n: int = 10_000) -> DataFrame:
+    """A user's table of ``n`` intervals between square numbers, the last one open."""
+    i = F.col("id")
+    return spark.range(n).select((i * i).alias("lower"), F.when(i < n - 1, (i + 1) * (i + 1) - 1).alias("upper"), F.concat(F.lit("from "), i * i).alias("label"))
+
+
 def audit_sources(spark: SparkSession, sf_dir: str):
     """The five raw text sources profiled by A01, with their declared specs."""
     from trailcheck.contracts import EXPECTED_COLUMNS, INTEGER_COLUMNS

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trailcheck.functions.columns import epoch_ms
+from trailcheck.sources.order import ROW_ORDER, with_row_order
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,6 +124,18 @@ def tree_heap(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .otherwise(F.floor((F.col("p_partkey") - 1) / 2).cast("bigint")).alias("parentid"))
 
 
+def tree_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem -> a tree whose categories are named many times, with the order of the rows."""
+    li = with_row_order(table(spark, sf_dir, "lineitem"))
+    parent = F.when(F.col("l_suppkey") % 13 != 0, (F.col("l_partkey") * 7 + F.col("l_linenumber")) % 2100)
+    return li.select((F.col("l_partkey") % 2000).alias("categoryid"), parent.alias("parentid"), ROW_ORDER)
+
+
+def order_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders -> cents, the price in whole cents."""
+    return table(spark, sf_dir, "orders").select(F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+
+
 # ------------------------------------------------------------ raw text sources
 PART_NAMES = {"part1": "item_properties_part1", "part2": "item_properties_part2"}
 
