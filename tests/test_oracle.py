@@ -14,7 +14,8 @@ SF = "/root/testdata/sf0.01"
 SUBSET = ["prior_behavior", "strict_prior_ties", "prior_intervals", "event_distribution", "behavior_combinations",
           "user_sequences", "length_buckets", "top_share", "gini", "source_profile", "exact_duplicates",
           "attribute_coverage", "pair_history", "property_profile", "split_by_rows", "split_last_14d",
-          "tree_summary_func", "pair_order_patterns", "history_features", "row_accounting"]
+          "tree_summary_func", "pair_order_patterns", "history_features", "row_accounting", "evidence_annotation",
+          "rule_evaluation", "tree_nodes_first_row", "price_intervals", "table_difference", "evidence_traceability"]
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
