@@ -12,10 +12,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from trailcheck.llm import packing, suffix_dedup, warc
+from trailcheck.llm import exact_dedup, packing, suffix_dedup, warc
 from trailcheck.llm.bpe import RankArrayBPE, vocabulary_path
 from trailcheck.llm.common import documents
 from trailcheck.llm.language_id import fold  # noqa: F401
@@ -178,6 +179,24 @@ def test_exact_dedup(spark, data):
         assert tuple(found[i])[1:] == (min(groups[t]), len(groups[t]), i == min(groups[t]), hashlib.sha256(t.encode()).hexdigest())
 
 
+def test_exact_dedup_chains(spark, data):
+    """Texts whose hashes collide are told apart by their bytes."""
+    docs = documents(spark, data[0])
+    few = lambda norm: F.pmod(F.length(norm), F.lit(3)).cast("long")
+    found = sorted(map(tuple, exact_dedup.exact_groups(docs, hash_of=few).collect()))
+    assert found == sorted(map(tuple, exact_dedup.exact_groups(docs).collect()))
+    kept = sorted(r["doc_id"] for r in exact_dedup.kept_documents(docs, hash_of=few).collect())
+    assert kept == sorted(r[0] for r in found if r[3])
+
+
+def test_exact_dedup_directory(spark):
+    hashes = spark.range(3000).select(F.xxhash64("id").alias("hash"))
+    pages = exact_dedup.directory(hashes.union(hashes), bucket_classes=100)
+    placed = hashes.withColumn("cell", F.shiftrightunsigned("hash", 64 - exact_dedup.MAX_DEPTH)).join(pages, "cell")
+    sizes = [(r["depth"], r["n"]) for r in placed.groupBy("bucket", "depth").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(n for _, n in sizes) == 3000 and max(n for _, n in sizes) <= 100 and min(d for d, _ in sizes) >= 4
+
+
 def _components(texts: dict[int, str]) -> dict[int, tuple[int, int]]:
     sets = {}
     for i, t in texts.items():

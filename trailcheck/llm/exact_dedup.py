@@ -1,15 +1,17 @@
 """Exact deduplication through an extendible-hash index on shared files (operator 7).
 
-1. Texts are normalised and grouped by their bytes: Spark's grouped aggregate compares whole keys, and copies
-   collapse in each task before the shuffle, so a group that holds a third of all rows sends one row a task.
-   The classes are staged in the shared folder without their text.
-2. The directory doubles until no bucket is overfull: a bucket is a prefix of the 64-bit hash, as short as its
-   classes allow (at most ``MAX_DEPTH`` bits, so the directory has a fixed largest size).
-3. The buckets are dealt to owner tasks by ranges of the hash; an owner chains classes whose hash collides and
-   fails the job if two different texts share hash and digest.  The index files hold bucket, hash, digest, chain
-   place, smallest id and number of copies.
-4. Every document looks its bucket up in the directory and its class up in the index.  A hot class on the
-   document side is a skewed join, whose partitions Spark splits.
+1. The directory doubles until no bucket is overfull.  A bucket is a prefix of the 64-bit hash, as short as the distinct
+   hashes under it allow; only hashes are counted, no texts.  A bucket holds ``BUCKET_CLASSES`` or, in tables with more
+   hashes than the largest directory times that, ``ROOM`` times the mean of a cell, so that the directory, which is
+   broadcast, has at most 2^``MAX_DEPTH`` rows and buckets still split as far as they should.
+2. Every text goes to the owner of its key range: (bucket, hash).  An owner compares the bytes of the texts that meet
+   there and chains those that differ; copies collapse in each task before the shuffle, so a group that holds a third
+   of all rows sends one text a task.  A chain of one link, which is every chain but for collisions of the hash, is
+   settled there; the texts of longer chains are told apart link by link, each link with its smallest id and copies.
+3. The index files hold bucket, hash, place in the chain, text, its digest, smallest id and number of copies.
+4. Every document looks its bucket up in the directory and its link up in the index, by hash and SHA-256.  Two links
+   of a chain with one digest fail the job.  A hot link on the document side is a skewed join, whose partitions Spark
+   splits.
 
 Only built-in expressions run on the executors.
 
@@ -20,6 +22,8 @@ has no other its rows stay; an empty table gives an empty result; other columns
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +31,7 @@ from trailcheck.llm.common import documents, shared_dir, stored
 
 MAX_DEPTH = 16
 BUCKET_CLASSES = 2_000
+ROOM = 4  # a cell of the largest directory may hold so many times the mean
 
 
 def normalised(text: Column) -> Column:
@@ -37,61 +42,79 @@ def _prefix(hashed: Column, depth: int) -> Column:
     return F.shiftrightunsigned(hashed, 64 - depth)
 
 
-def text_classes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(hash, digest, keep_id, group_size): one row for each distinct normalised text."""
+def _hashed(df: DataFrame, id_col: str, text_col: str, hash_of: Callable[[Column], Column]) -> DataFrame:
     rows = df.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"))
-    grouped = rows.groupBy("norm").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return grouped.select(F.xxhash64("norm").alias("hash"), F.sha2("norm", 256).alias("digest"), "keep_id", "group_size")
+    return rows.select("id", "norm", hash_of(F.col("norm")).alias("hash"))
 
 
-def directory(classes: DataFrame, bucket_classes: int = BUCKET_CLASSES) -> DataFrame:
-    """(cell, bucket, depth) for every cell of ``MAX_DEPTH`` hash bits that has classes.
+def directory(hashes: DataFrame, bucket_classes: int = BUCKET_CLASSES) -> DataFrame:
+    """(cell, bucket, depth) for every cell of ``MAX_DEPTH`` hash bits that has hashes; ``hashes`` may repeat.
 
     A cell's bucket starts at depth 0; the directory doubles, and the bucket splits by one more bit, while
-    the classes under its prefix are more than a bucket holds.
+    the distinct hashes under its prefix are more than a bucket holds.
     """
-    cells = classes.groupBy(_prefix(F.col("hash"), MAX_DEPTH).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    cells = hashes.select("hash").distinct().groupBy(_prefix(F.col("hash"), MAX_DEPTH).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     levels = cells.select("cell", "n", F.explode(F.sequence(F.lit(0), F.lit(MAX_DEPTH))).alias("depth"))
     levels = levels.withColumn("prefix", F.expr(f"shiftright(cell, {MAX_DEPTH} - depth)"))
-    fits = levels.groupBy("depth", "prefix").agg(F.sum("n").alias("n")).where((F.col("n") <= bucket_classes) | (F.col("depth") == MAX_DEPTH))
+    counts = levels.groupBy("depth", "prefix").agg(F.sum("n").alias("n"))
+    total = counts.where("depth = 0").select("n").scalar()
+    holds = F.greatest(F.lit(bucket_classes), F.ceil(total * ROOM / 2**MAX_DEPTH))
+    fits = counts.where((F.col("n") <= holds) | (F.col("depth") == MAX_DEPTH))
     chosen = levels.join(fits.select("depth", "prefix"), ["depth", "prefix"]).groupBy("cell").agg(F.min("depth").alias("depth"))
     return chosen.select("cell", F.expr(f"shiftleft(shiftright(cell, {MAX_DEPTH} - depth), {MAX_DEPTH} - depth)").alias("bucket"), "depth")
 
 
-def build_index(classes: DataFrame, pages: DataFrame) -> DataFrame:
-    """(bucket, hash, digest, chain, keep_id, group_size), dealt to owner tasks by ranges of buckets."""
-    placed = classes.withColumn("cell", _prefix(F.col("hash"), MAX_DEPTH)).join(F.broadcast(pages), "cell")
-    owned = placed.repartitionByRange("bucket", "hash")
-    chain = Window.partitionBy("bucket", "hash").orderBy("digest")
-    clash = F.lag("digest").over(chain) == F.col("digest")
-    return owned.select("bucket", "hash", F.when(F.coalesce(clash, F.lit(False)), F.raise_error(F.lit("two texts share hash and digest"))).otherwise(F.col("digest")).alias("digest"),
-                        (F.row_number().over(chain) - 1).alias("chain"), "keep_id", "group_size")
+def _placed(rows: DataFrame, pages: DataFrame) -> DataFrame:
+    """``rows`` with the bucket of their hash."""
+    return rows.withColumn("cell", _prefix(F.col("hash"), MAX_DEPTH)).join(F.broadcast(pages.select("cell", "bucket")), "cell").drop("cell")
 
 
-def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of every row (the id where none are named) with keep_id, group_size, kept, text_sha256."""
+def build_index(rows: DataFrame, pages: DataFrame, at: str) -> DataFrame:
+    """(bucket, hash, chain, norm, digest, keep_id, group_size) of (id, norm, hash): one row for each distinct text.
+
+    ``collect_set`` is the comparison of bytes: it keeps a text only if it differs from every one under its hash.
+    """
+    sums = [F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")]
+    placed = _placed(rows, pages)
+    met = stored(placed.groupBy("bucket", "hash").agg(F.collect_set("norm").alias("links"), *sums), "owned", at)
+    one = met.where(F.size("links") == 1).select("bucket", "hash", F.lit(0).alias("chain"), F.col("links")[0].alias("norm"), "keep_id", "group_size")
+    clashing = met.where(F.size("links") > 1).select("bucket", "hash", F.array_sort("links").alias("links"))
+    if not clashing.isEmpty():  # hashes that collide: each of their rows finds its link
+        found = placed.join(clashing, ["bucket", "hash"]).withColumn("chain", F.array_position("links", F.col("norm")).cast("int") - 1)
+        linked = found.groupBy("bucket", "hash", "chain").agg(F.first("norm").alias("norm"), *sums)
+        one = one.unionByName(linked)
+    index = one.select("bucket", "hash", "chain", "norm", F.sha2("norm", 256).alias("digest"), "keep_id", "group_size")
+    if not clashing.isEmpty():
+        same = F.lag("digest").over(Window.partitionBy("bucket", "hash").orderBy("digest")) == F.col("digest")
+        index = index.withColumn("digest", F.when(F.coalesce(same, F.lit(False)), F.raise_error(F.lit("two texts share hash and digest"))).otherwise(F.col("digest")))
+    return stored(index, "index", at)
+
+
+def _index(df: DataFrame, id_col: str, text_col: str, hash_of: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
+    """Directory and index of ``df``, in the shared folder."""
     at = shared_dir(df.sparkSession, "exact-dedup")
-    classes = stored(text_classes(df, id_col, text_col), "classes", at)
-    pages = stored(directory(classes), "directory", at)
-    index = stored(build_index(classes, pages), "index", at)
+    rows = _hashed(df, id_col, text_col, hash_of)
+    pages = stored(directory(rows), "directory", at)
+    return pages, build_index(rows, pages, at)
+
+
+def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None,
+                 hash_of: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """The columns ``keep`` of every row (the id where none are named) with keep_id, group_size, kept, text_sha256."""
+    pages, index = _index(df, id_col, text_col, hash_of)
     norm = normalised(F.col(text_col))
-    carried = df.select(F.struct(*(keep or [id_col])).alias("row"), F.col(id_col).alias("id"), F.xxhash64(norm).alias("hash"), F.sha2(norm, 256).alias("digest"))
-    looked = carried.withColumn("cell", _prefix(F.col("hash"), MAX_DEPTH)).join(F.broadcast(pages), "cell")
-    found = looked.join(index.select("bucket", "hash", "digest", "keep_id", "group_size"), ["bucket", "hash", "digest"])
+    carried = df.select(F.struct(*(keep or [id_col])).alias("row"), F.col(id_col).alias("id"), hash_of(norm).alias("hash"), F.sha2(norm, 256).alias("digest"))
+    found = _placed(carried, pages).join(index.select("bucket", "hash", "digest", "keep_id", "group_size"), ["bucket", "hash", "digest"])
     return found.select("row.*", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256"))
 
 
-def kept_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def kept_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_of: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """The rows of ``df`` that stay, with its columns and no others."""
-    at = shared_dir(df.sparkSession, "exact-dedup")
-    classes = stored(text_classes(df, id_col, text_col), "classes", at)
-    pages = stored(directory(classes), "directory", at)
-    index = stored(build_index(classes, pages), "index", at)
+    pages, index = _index(df, id_col, text_col, hash_of)
     repeated = index.where("group_size > 1").select("bucket", "hash", "digest", "keep_id")
     norm = normalised(F.col(text_col))
-    looked = df.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(norm).alias("hash"), F.sha2(norm, 256).alias("digest"))
-    looked = looked.withColumn("cell", _prefix(F.col("hash"), MAX_DEPTH)).join(F.broadcast(pages), "cell")
-    found = looked.join(repeated, ["bucket", "hash", "digest"], "left")
+    looked = df.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), hash_of(norm).alias("hash"), F.sha2(norm, 256).alias("digest"))
+    found = _placed(looked, pages).join(repeated, ["bucket", "hash", "digest"], "left")
     return found.where(F.col("keep_id").isNull() | F.col("id").eqNullSafe(F.col("keep_id"))).select("row.*")
 
 
