@@ -60,7 +60,7 @@ def directory(hashes: DataFrame, bucket_classes: int = BUCKET_CLASSES) -> DataFr
     total = counts.where("depth = 0").select("n").scalar()
     holds = F.greatest(F.lit(bucket_classes), F.ceil(total * ROOM / 2**MAX_DEPTH))
     fits = counts.where((F.col("n") <= holds) | (F.col("depth") == MAX_DEPTH))
-    chosen = levels.join(fits.select("depth", "prefix"), ["depth", "prefix"]).groupBy("cell").agg(F.min("depth").alias("depth"))
+    chosen = levels.join(F.broadcast(fits.select("depth", "prefix")), ["depth", "prefix"]).groupBy("cell").agg(F.min("depth").alias("depth"))
     return chosen.select("cell", F.expr(f"shiftleft(shiftright(cell, {MAX_DEPTH} - depth), {MAX_DEPTH} - depth)").alias("bucket"), "depth")
 
 
