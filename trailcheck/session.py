@@ -70,3 +70,9 @@ def scratch_dir(spark: SparkSession) -> str:
     fs.mkdirs(hadoop)
     fs.deleteOnExit(hadoop)
     return fs.makeQualified(hadoop).toString()
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove files of a scratch folder that no later step reads."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
