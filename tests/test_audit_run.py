@@ -45,6 +45,7 @@ def test_full_run_writes_evidence_and_matrices(spark):
     res = AU.run_audit(_inputs(spark, "full"), out)
     index = {r.evidence_id: r.row_count for r in spark.read.parquet(res["index_path"]).collect()}
     assert len(index) == 20 and index[C.B04] == 1 and index[C.A06] == 3
+    assert index == {eid: spark.read.parquet(f"{out}/evidence/{eid}").count() for eid in index}
     b04 = spark.read.parquet(f"{out}/evidence/{C.B04}").collect()[0]
     assert b04.data_scope == "full" and b04.transaction_event_count == 1
     assert b04.with_strictly_prior_view_count == 1
@@ -57,6 +58,18 @@ def test_full_run_writes_evidence_and_matrices(spark):
     assert feats["visitor_identifier"] == "6" and feats["historical_interaction_counts"] == "1"
 
 
+def test_observed_metrics_are_those_of_the_written_tables(spark):
+    nothing = spark.createDataFrame([], "k string, n bigint, x double")
+    some = spark.createDataFrame([("b", 2, None), ("a", None, 0.5), ("c", 3, 1.5)], "k string, n bigint, x double").repartition(3)
+    evidence = [EV.Evidence(C.A03, nothing, ("k",)), EV.Evidence(C.A04, some, ("k",)), EV.Evidence(C.B01, some.groupBy("x").agg(F.sum("n").alias("n")), ())]
+    index, metrics = AU.write_evidence(evidence, tempfile.mkdtemp(prefix="tc-observed-"), "full")
+    assert {r.evidence_id: r.row_count for r in index.collect()} == {C.A03: 0, C.A04: 3, C.B01: 3}
+    got = {(r.evidence_id, r.metric): r.value for r in metrics.collect()}
+    assert (got[C.A04, "n"], got[C.A04, "x"], got[C.A03, "n"], got[C.A03, "row_count"]) == ("2", "0.5", None, "0")
+    again = EV.evidence_metrics(evidence[:2]).collect()
+    assert {(r.evidence_id, r.metric): r.value for r in again} == {k: v for k, v in got.items() if k[0] != C.B01}
+
+
 def test_limited_run_withholds_matrices(spark):
     out = tempfile.mkdtemp(prefix="tc-audit-")
     res = AU.run_audit(_inputs(spark, LIMITED_SCOPE), out)

@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from trailcheck.contracts import EXPECTED_COLUMNS, FULL_SCOPE, INTEGER_COLUMNS
 from trailcheck.operators import behavior as B
@@ -24,7 +24,7 @@ from trailcheck.operators import history as H
 from trailcheck.operators import quality as Q
 from trailcheck.operators import splits as S
 from trailcheck.plans import catalog as C
-from trailcheck.session import ensure_checkpoint_dir, scratch_dir
+from trailcheck.session import stored
 from trailcheck.sources.order import ROW_ORDER
 from trailcheck.sources.scan import scan_source, tag_and_union, typed_source
 
@@ -41,12 +41,7 @@ class AuditInputs:
     tree_rows: DataFrame | None = None  # the category tree with the order of its rows, where the source has one
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared checkpoint folder and read it back; the files go when the session ends."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+materialize = stored
 
 
 def evidence_plan(inp: AuditInputs, cached: list[DataFrame] | None = None
@@ -105,14 +100,13 @@ def evidence_plan(inp: AuditInputs, cached: list[DataFrame] | None = None
 
 
 def audit_metrics(inp: AuditInputs) -> DataFrame:
-    """Long metrics of every evidence table, each computed once and checkpointed.
+    """Long metrics of every evidence table, each computed once.
 
-    The metrics are tiny (a few rows per evidence table).  Building a table's
+    The metrics are tiny (a row for every numeric column of the evidence tables) and become rows of a literal table.  Building a table's
     plan and running its metrics job happen together in one pooled task, so
     plan analysis, the iterative tree walk and the small jobs of the other
     tables overlap instead of queueing on the driver.
     """
-    ensure_checkpoint_dir(inp.log.sparkSession)
     cached: list[DataFrame] = []
     plan = evidence_plan(inp, cached)
     ids = [eid for eid, _, _ in plan]
@@ -121,19 +115,17 @@ def audit_metrics(inp: AuditInputs) -> DataFrame:
 
     def run(item):
         eid, make, keys = item
-        return EV.table_metrics(EV.Evidence(eid, make(), keys)).checkpoint()
+        ev = EV.Evidence(eid, make(), keys)
+        return EV.metric_rows(ev, ev.frame.agg(*EV.metric_aggregates(ev)).first().asDict())
 
     # A06 first: A05 waits on its walk
     try:
         with ThreadPoolExecutor(max_workers=min(8, len(plan))) as pool:
             parts = list(pool.map(run, sorted(plan, key=lambda x: x[0] != C.A06)))
     finally:
-        for df in cached:  # the metrics are checkpointed: the cache is no longer read
+        for df in cached:
             df.unpersist()
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return inp.log.sparkSession.createDataFrame([r for p in parts for r in p], EV.METRICS_DDL)
 
 
 def feature_and_module_matrices(inp: AuditInputs, metrics: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -153,19 +145,22 @@ def feature_and_module_matrices(inp: AuditInputs, metrics: DataFrame | None = No
 
 
 def write_evidence(evidence: Sequence[EV.Evidence], out_dir: str, scope: str) -> tuple[DataFrame, DataFrame]:
-    """S07 + S08: each annotated table to ``out_dir/<evidence id>`` (Parquet); returns the index and the metrics,
-    both read off the written tables."""
+    """S07 + S08: each annotated table to ``out_dir/<evidence id>`` (Parquet); returns the index and the metrics, which
+    are observed while the tables are written: one job a table, and no table is read again."""
     paths = {e.evidence_id: f"{out_dir.rstrip('/')}/{e.evidence_id}" for e in evidence}
+    if len(paths) != len(evidence):
+        raise ValueError("two evidence tables share a name")
 
-    def write(e: EV.Evidence) -> EV.Evidence:
-        EV.annotate(e, scope).write.mode("overwrite").parquet(paths[e.evidence_id])
-        table = e.frame.sparkSession.read.parquet(paths[e.evidence_id]).select(*e.frame.columns)
-        return EV.Evidence(e.evidence_id, table, e.keys)
+    def write(e: EV.Evidence) -> list[tuple]:
+        seen = Observation()
+        observed = EV.Evidence(e.evidence_id, e.frame.observe(seen, *EV.metric_aggregates(e)), e.keys)
+        EV.annotate(observed, scope).write.mode("overwrite").parquet(paths[e.evidence_id])
+        return EV.metric_rows(e, seen.get)
 
     # independent small jobs (the plans are already built): submit them together
     with ThreadPoolExecutor(max_workers=min(8, len(evidence))) as pool:
-        written = list(pool.map(write, evidence))
-    metrics = EV.evidence_metrics(written).checkpoint()
+        rows = [r for found in pool.map(write, evidence) for r in found]
+    metrics = evidence[0].frame.sparkSession.createDataFrame(rows, EV.METRICS_DDL)
     return EV.evidence_index(metrics, paths), metrics
 
 
@@ -242,7 +237,6 @@ def run_audit(inp: AuditInputs, out_dir: str) -> dict[str, object]:
     the matrix paths (or the reason they were withheld).
     """
     base, spark = out_dir.rstrip("/"), inp.log.sparkSession
-    ensure_checkpoint_dir(spark)
     cached: list[DataFrame] = []
     try:
         evidence = [EV.Evidence(eid, make(), keys) for eid, make, keys in evidence_plan(inp, cached)]

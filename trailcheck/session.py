@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -72,6 +72,13 @@ def scratch_dir(spark: SparkSession) -> str:
     return fs.makeQualified(hadoop).toString()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in a new scratch folder and read back: lineage ends here, several plans read it once made."""
+    path = f"{scratch_dir(df.sparkSession)}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_scratch(spark: SparkSession, path: str) -> None:
     """Remove files of a scratch folder that no later step reads."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
