@@ -9,6 +9,7 @@ import re
 import zlib
 from array import array
 from collections import Counter, defaultdict
+from itertools import islice
 
 import numpy as np
 import pytest
@@ -16,12 +17,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from trailcheck.llm import exact_dedup, packing, suffix_dedup, warc
+from trailcheck.llm import exact_dedup, packing, spot_signatures, suffix_dedup, warc
 from trailcheck.llm.bpe import RankArrayBPE, vocabulary_path
 from trailcheck.llm.common import documents
 from trailcheck.llm.language_id import fold  # noqa: F401
 from trailcheck.llm.queries import ORACLES, QUERIES
-from trailcheck.llm.spot_signatures import likeness, read
 from trailcheck.llm.token_counts import length_histogram, quantiles, suffix_sums, truncated_totals
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars int, h int, id string, row int, n bigint"
@@ -104,17 +104,63 @@ def test_best_fit_is_tightest():
     assert packing.best_fit(items, 100) == expected
 
 
+def plain_signatures(text: str, anchors: list[str]) -> set:
+    """The signatures of a text as tuples of words, by the definition."""
+    words = re.findall(r"\w{1,32}", text.lower())
+    if not words:
+        return {text} if text else set()
+    found, since = set(), None
+    for k, w in enumerate(words):
+        if w in anchors:
+            found.add((w, *islice((x for x in islice(words, k, None) if x not in anchors), spot_signatures.CHAIN), None))
+            since = k
+        elif since is None or k - since > spot_signatures.REACH:
+            found.add((w,))
+    return found
+
+
+def jaccard(a: set, b: set) -> float:
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
 def test_spot_signatures(spark, data):
     found, order = result(spark, data, "op2_spot_signatures"), sorted(data[1], reverse=True)
+    counts = Counter(w for t in data[1].values() for w in re.findall(r"\w+", t.lower()) if len(w) <= spot_signatures.ANCHOR_LETTERS)
+    anchors = sorted(counts, key=lambda w: (-counts[w], w))[: spot_signatures.ANCHORS]
+    plain = {i: plain_signatures(t, anchors) for i, t in data[1].items()}
     for k, i in enumerate(order):
         text, after = data[1][i], order[(k + 1) % len(order)]
         cut = len(text) // 3
         edited = text[: len(text) - cut] + data[1][after][:cut]
         r = found[i]
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
-        assert r.near_edited == likeness(read(r.fingerprint), read(r.edited_fingerprint))
-        assert r.near_next == likeness(read(r.fingerprint), read(found[after].fingerprint))
+        assert len(r.fingerprint) == 8 * len(plain[i]) and r.fingerprint == "".join(sorted(re.findall("." * 8, r.fingerprint)))
+        assert r.near_edited == jaccard(plain[i], plain_signatures(edited, anchors))
+        assert r.near_next == jaccard(plain[i], plain[after])
+        assert r.near_edited > 0 or len(text) <= 300
     assert found[908].fingerprint == found[909].fingerprint
+    assert {i: s for i, s in plain.items() if not s}.keys() == {i for i, r in found.items() if not r.fingerprint}
+
+
+@pytest.mark.parametrize("least", [0.75, 0.4, 1.0])
+def test_similar_fingerprints_against_all_pairs(spark, least):
+    draw, sets = random.Random(4), []
+    for _ in range(12):
+        base = draw.sample(range(1 << 32), draw.choice([1, 4, 9, 40, 600]))
+        sets += [sorted({*draw.sample(base, max(1, int(len(base) * draw.choice([1, 0.9, 0.75, 0.5])))), *([7] if draw.random() < 0.8 else [])}) for _ in range(9)]
+    sets += [[], [], [7], [7]]
+    written = [spot_signatures.written(np.array(s, np.uint32)) for s in sets]
+    table = [(None if k == 3 else k // 2, len(s), w) for k, (s, w) in enumerate(zip(sets, written))]
+    found = spark.createDataFrame(table, "doc_id long, n_signatures long, fingerprint string").repartition(4)
+    different = {hashlib.sha256(w.encode()).hexdigest(): set(s) for s, w in zip(sets, written) if s}
+    keys = sorted(different, key=lambda k: (len(different[k]), k))
+    want = {(a, b): jaccard(different[a], different[b]) for n, a in enumerate(keys) for b in keys[n + 1 :]}
+    pairs = spot_signatures.similar_pairs(found, least).collect()
+    assert len(pairs) == len({(r.first_key, r.second_key) for r in pairs})
+    assert {(r.first_key, r.second_key): r.likeness for r in pairs} == {p: x for p, x in want.items() if x >= least}
+    ids = {r.key: r.doc_id for r in spot_signatures.classes(found).collect()}
+    assert all((r.first_id, r.second_id) == (ids[r.first_key], ids[r.second_key]) for r in pairs)
+    assert spot_signatures.similar_pairs(found.limit(0), least).collect() == []
 
 
 def test_bpe_and_token_files(spark, data):

@@ -1,17 +1,24 @@
 """Document fingerprints from spot signatures (operator 2).
 
 A signature starts at an anchor, one of the corpus' ``ANCHORS`` most frequent short words, and is the anchor with the
-chain of the ``CHAIN`` content words (words that are no anchors) that follow it.  A fingerprint is the set of a
-document's signatures, written as sorted eight-digit hexadecimal hashes.  The likeness of two fingerprints is the
-Jaccard similarity of their sets; where a least likeness is asked, pairs whose set lengths alone rule it out
-are passed over, and the merge of the sorted hashes stops once it can no longer be reached.
+chain of the ``CHAIN`` content words (words that are no anchors) that follow it, or of as many as the text still has.
+A content word without an anchor among the ``REACH`` words before it is a signature by itself, so that tables and
+lists have signatures too; what is a signature depends on the words near it alone, and a change elsewhere in the text
+leaves it as it is.  Words are cut after every ``WORD_LETTERS`` letters.  A fingerprint is the set of a document's
+signatures, written as sorted eight-digit hexadecimal hashes.
+
+The likeness of two fingerprints is the Jaccard similarity of their sets; where a least likeness is asked, pairs whose
+set lengths alone rule it out are passed over, and the merge of the sorted hashes stops once it can no longer be reached.
+``similar_pairs`` finds all pairs of a least likeness: equal fingerprints collapse to a class; classes are partitioned
+by set length, so that a partner lies in the same partition or the next; there a class is looked up by its rarest signatures,
+as many as one of them must be shared; pairs that meet are settled by the pruned merge.
 
 To set each document beside the next one, rows are dealt by ranges of their id whose bounds are taken once from the
 ids alone.  The first row of each range travels a second time, as a guest of the range before it, so that no
 range needs a look at another and the texts are shuffled once.
 
-Defined cases: a null or empty text has the empty fingerprint, and two empty ones have likeness 1; a text without a
-whole chain has the hashes of its words as signatures (of the text itself if it has none); rows with equal ids are
+Defined cases: a null or empty text has the empty fingerprint, and two empty ones have likeness 1; a text without
+words has the hash of the whole text as its signature; rows with equal ids are
 ordered by text; a null id comes last; a single row is its own next; repeated rows have a row each; an
 empty table gives an empty result; other columns are ignored.
 """
@@ -27,16 +34,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailcheck.llm.common import documents, map_batches, texts
+from trailcheck.llm.common import documents, map_batches, shared_dir, stored, texts
 
 ANCHORS = 48
 ANCHOR_LETTERS = 4
 CHAIN = 2
+REACH = 16
+WORD_LETTERS = 32
+LEAST = 0.75
+#: Cells that signatures are counted in to tell rare ones from common ones; the order they give is right with any counts.
+CELLS = 1 << 16
 RANGE_ROWS = 2_000
 MOST_RANGES = 20_000
 CACHED_WORDS = 300_000
 
 _WORDS = re.compile(r"\w+")
+_PIECES = re.compile(rf"\w{{1,{WORD_LETTERS}}}")
 
 
 def frequent_words(df: DataFrame, text_col: str = "text", n: int = ANCHORS, letters: int = ANCHOR_LETTERS) -> list[str]:
@@ -89,21 +102,24 @@ class SpotSigner:
     def signatures(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
-        words = _WORDS.findall(text.lower())
-        if words:
-            hashes, content = self._coded(words)
-            at = np.flatnonzero(content)
-            first = np.searchsorted(at, np.flatnonzero(~content))  # the first content word after each anchor
-            whole = first + self.chain <= len(at)
-            starts, first = np.flatnonzero(~content)[whole], first[whole]
-            if len(starts):
-                mixed = hashes[starts]
-                for k in range(self.chain):
-                    mixed = (mixed * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes[at[first + k]] + (mixed >> np.uint64(29)))
-                mixed ^= mixed >> np.uint64(32)
-                return np.unique((mixed * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32))
-            return np.unique((hashes >> np.uint64(32)).astype(np.uint32))
-        return np.frombuffer(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "<u4")
+        words = _PIECES.findall(text.lower())
+        if not words:
+            return np.frombuffer(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "<u4")
+        hashes, content = self._coded(words)
+        at, starts = np.flatnonzero(content), np.flatnonzero(~content)
+        first = np.searchsorted(at, starts)  # the first content word after each anchor
+        mixed = hashes[starts]
+        for k in range(self.chain):
+            here = first + k < len(at)
+            more = np.zeros(len(starts), np.uint64)
+            more[here] = hashes[at[first[here] + k]]
+            mixed = (mixed * np.uint64(0x9E3779B97F4A7C15)) ^ (more + (mixed >> np.uint64(29)))
+        mixed ^= mixed >> np.uint64(32)
+        chains = mixed * np.uint64(0xD6E8FEB86659FD93)
+        before = np.searchsorted(starts, at)  # anchors before each content word
+        alone = before == 0
+        alone[~alone] = at[~alone] - starts[before[~alone] - 1] > REACH
+        return np.unique((np.concatenate([chains, hashes[at[alone]]]) >> np.uint64(32)).astype(np.uint32))
 
 
 def written(signatures: np.ndarray) -> str:
@@ -120,7 +136,16 @@ def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
         return 1.0
     if min(len(a), len(b)) < least * max(len(a), len(b)):
         return 0.0
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
+    both, step = 0, 256 if least > 0 else max(len(short), 1)
+    for at in range(0, len(short), step):
+        some = short[at : at + step]
+        place = np.searchsorted(long, some)
+        place[place == len(long)] = 0
+        both += int(np.count_nonzero(long[place] == some))
+        most = both + max(len(short) - at - step, 0)
+        if most < least * (len(a) + len(b) - most):
+            return 0.0
     found = both / (len(a) + len(b) - both)
     return found if found >= least else 0.0
 
@@ -140,6 +165,100 @@ def fingerprints(df: DataFrame, anchors: list[str], id_col: str = "doc_id", text
     return map_batches(df.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), "doc_id long, n_signatures long, fingerprint string", make)
 
 
+def length_partition(n: int, least: float) -> int:
+    """Number of the set-length partition of ``n``; each ends before the first length that its shortest set cannot be
+    like, so a set and a longer one of at least that likeness lie in one partition or in two that follow each other."""
+    number, first = 0, 1
+    while True:
+        following = int(first / least + 1e-9) + 1
+        if n < following:
+            return number
+        number, first = number + 1, following
+
+
+def classes(found: DataFrame) -> DataFrame:
+    """(key, doc_id, n_signatures, fingerprint): one row per different fingerprint, with its smallest doc_id; ``key`` is its SHA-256."""
+    return (found.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"), F.first("n_signatures").alias("n_signatures"))
+            .select(F.sha2("fingerprint", 256).alias("key"), "doc_id", "n_signatures", "fingerprint"))
+
+
+def _cell(signatures: np.ndarray) -> np.ndarray:
+    return (signatures.astype(np.uint64) * np.uint64(0x9E3779B1) >> np.uint64(11)) % np.uint64(CELLS)
+
+
+def _cell_counts(held: DataFrame) -> np.ndarray:
+    """Signatures of all classes by cell: a table of fixed size."""
+
+    def make():
+        counts = np.zeros(CELLS, np.int64)
+
+        def each(batch: pa.RecordBatch):
+            for fingerprint in texts(batch.column(0)):
+                np.add.at(counts, _cell(read(fingerprint)).astype(np.int64), 1)
+            return ()
+
+        def end():
+            cells = np.flatnonzero(counts)
+            yield {"cell": cells, "n": counts[cells]}
+
+        each.end = end
+        return each
+
+    total = np.zeros(CELLS, np.int64)
+    for r in map_batches(held.select("fingerprint"), "cell long, n long", make).groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        total[r["cell"]] = r["n"]
+    return total
+
+
+def similar_pairs(found: DataFrame, least: float = LEAST) -> DataFrame:
+    """(first_key, second_key, first_id, second_id, likeness): all pairs of different fingerprints with at least that likeness.
+
+    ``found`` is what ``fingerprints`` returns; ``classes`` gives the members of a key.  The first of a pair has the
+    shorter set, or the smaller key of two equally long.  Empty fingerprints form one class without partners.  Rows of one
+    signature meet only within one length partition, and only at places that leave room for the likeness behind them.
+    """
+    if not 0 < least <= 1:
+        raise ValueError("the least likeness lies above 0 and not above 1")
+    at = shared_dir(found.sparkSession, "spot-signatures")
+    held = stored(classes(found), "classes", at)
+    counts = _cell_counts(held)
+
+    def make():
+        def each(batch: pa.RecordBatch):
+            for key, fingerprint in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
+                signatures = read(fingerprint)
+                n = len(signatures)
+                if not n:
+                    continue
+                rarest = signatures[np.lexsort((signatures, counts[_cell(signatures).astype(np.int64)]))]
+                probes = rarest[: n - max(int(np.ceil(least * n - 1e-9)), 1) + 1].astype(np.int64)
+                m, part = len(probes), length_partition(n, least)
+                yield {"part": [part] * m + [part + 1] * m, "signature": np.concatenate([probes, probes]), "key": [key] * (2 * m), "n": [n] * (2 * m),
+                       "room": np.tile(n - np.arange(m), 2), "guest": [False] * m + [True] * m}
+
+        return each
+
+    probes = map_batches(held.select("key", "fingerprint"), "part long, signature long, key string, n long, room long, guest boolean", make)
+    a, b = probes.alias("a"), probes.where("not guest").alias("b")
+    earlier = F.col("a.guest") | (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.key") < F.col("b.key")))
+    room = F.least("a.room", "b.room")  # signatures that two sets first meeting here can share at most
+    can = (F.col("a.n") >= least * F.col("b.n") - 1e-6) & (room >= least * (F.col("a.n") + F.col("b.n") - room) - 1e-6)
+    met = (a.join(b, (F.col("a.part") == F.col("b.part")) & (F.col("a.signature") == F.col("b.signature")) & earlier & can)
+           .select(F.col("a.key").alias("first_key"), F.col("b.key").alias("second_key")).distinct())
+    sides = [held.select(F.col("key").alias(f"{s}_key"), F.col("doc_id").alias(f"{s}_id"), F.col("fingerprint").alias(s)) for s in ("first", "second")]
+    both = met.join(sides[0], "first_key").join(sides[1], "second_key").select("first_key", "second_key", "first_id", "second_id", "first", "second")
+
+    def settle():
+        def each(batch: pa.RecordBatch):
+            shares = np.array([likeness(read(x), read(y), least) for x, y in zip(texts(batch.column(4)), texts(batch.column(5)))])
+            rows = batch.take(pa.array(np.flatnonzero(shares > 0)))
+            yield {**{c: rows.column(k) for k, c in enumerate(("first_key", "second_key", "first_id", "second_id"))}, "likeness": shares[shares > 0]}
+
+        return each
+
+    return map_batches(both, "first_key string, second_key string, first_id long, second_id long, likeness double", settle)
+
+
 def beside_next(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(range, guest, id, text): rows by ranges of descending id, each range closed by a guest, the row that follows it."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
