@@ -2,21 +2,24 @@
 
 A document is the average of the embeddings of its words' subwords (the word in angle brackets, and its letter
 n-grams of ``NGRAMS``), hashed to ``BUCKETS`` rows; a linear softmax over it gives the languages.  Embeddings and
-weights are trained together by stochastic gradient descent in numpy on the driver, on a bounded sample: about
-``SAMPLE_PER_LANGUAGE`` labelled documents of each language by a hash of their id, of which the executors send hashed
-counts, of the whole text and of two windows of words, so that short texts are met too.  A fifth of the sample is
-kept back to fit the temperature of the softmax.
-
-Rejection goes by the score and by familiarity, the share of a text's subwords that fell into buckets met while learning: the softmax
-has to choose one of the languages and may be sure of a wrong one, but a language never seen has other subwords.  Both
+weights are trained together by stochastic gradient descent in numpy, in the tasks, on every labelled document: its whole
+text and two windows of words, so that short texts are met too.  The documents are dealt by hashes to shards of about
+``SHARD_ROWS``; each shard goes through its documents in the order of a hash, and what it has learned, its scores of a
+bucket, is averaged over the shards by how often each met the bucket.  The sums are of whole numbers, so the same rows
+give the same model however they are stored.  Shards with fewer than ``LEARNED_PIECES`` texts and windows are gone
+through up to ``EPOCHS`` times.
+
+Rejection goes by the score and by familiarity, the share of a text's subwords that fell into buckets met while learning (more often than by
+chance, where much was learned): the softmax has to choose one of the languages and may be sure of a wrong one, but a language never seen has other subwords.  Both
 are calibrated by length, as a short text of a known language may do worse than a long one of none: ``BANDS`` are
-the least words of each band.  About ``CALIBRATED_PER_LANGUAGE`` labelled documents of each language that the model did not
-learn from are scored on the executors, each whole, in its band, and by a window of the least words of every band below.
-The thresholds of a band are the lowest of its rightly named pieces, so about one in as many clean texts is
-rejected; a band with fewer than ``LEAST_SCORES`` of them rejects nothing.
+the least words of each band.  The shards belong to two halves, dealt by text; every labelled document is scored by the
+model of the half that did not learn from it, whole, in its band, and by a window of the least words of every band below.
+The temperature of the softmax is the one of least loss over all of them.  The thresholds of a band are such that one in
+``REJECTS_ONE_IN`` of its rightly named pieces lies below (none, where there are fewer), counted in cells of equal
+width; a band with fewer than ``LEAST_SCORES`` of them rejects nothing.
 
 As embedding and weights are linear, prediction needs the scores of a subword only (BUCKETS rows, one column a
-language); every worker remembers the scores of the words it has met, in a table of bounded size.
+language).  Subwords are hashed in bulk from the code points of a text.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and rejected; ties go to the language
 first in alphabetical order; rows with a null language or a null id are not learned from; without any labelled row every text is ``und``;
@@ -26,11 +29,13 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,21 +43,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from trailcheck.llm.common import documents, fields, map_batches, texts
+from trailcheck.llm.common import documents, fields, map_batches, stored, texts
 
 BUCKETS = 1 << 16
 NGRAMS = (2, 3, 4)
 DIMENSIONS = 16
-SAMPLE_PER_LANGUAGE = 400
+SHARD_ROWS = 4_000
+LEARNED_PIECES = 24_000
+FAMILIAR_ONE_IN = 1 << 23
 WINDOWS = (6, 25)
 EPOCHS = 5
-RATE = 2.0
+RATE, LEAST_RATE = 2.0, 0.1
 BANDS = (1, 3, 8, 25)
-CALIBRATED_PER_LANGUAGE = 1_000
+REJECTS_ONE_IN = 4_000
 LEAST_SCORES = 300
-CACHED_WORDS = 100_000
-LEARNED_AT_ONCE = 4_096
-FOLDS, HELD_OUT_FOLD, CALIBRATION_SHARE = 4, 2, 0.2
+TEMPERATURES = tuple(float(t) for t in np.geomspace(0.2, 20, 24))
+SCORE_CELLS, FAMILIARITY_CELLS = 1_000, 10_000
+BLOCK = 1 << 20
+FOLDS, HELD_OUT_FOLD = 4, 2
+FIXED_POINT = 1 << 12
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -61,26 +70,99 @@ def fold(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % FOLDS
 
 
-def words_of(text: str) -> list[str]:
-    """Lower-case runs of letters; none if the text has no letter."""
-    words = _LETTERS.findall(text.lower())
-    return words if any(c.isalpha() for w in words for c in w) else []
-
-
-def _hashes(word: str) -> list[int]:
-    """Hashes of a word's UTF-8: itself in brackets and its letter n-grams."""
-    marked, crc = f"<{word}>", zlib.crc32
-    size = len(marked)
-    if marked.isascii():  # a letter is a byte
-        whole = marked.encode()
-        return [crc(whole), *[crc(whole[i : i + n]) for n in NGRAMS if n < size for i in range(size - n + 1)]]
-    letters = [c.encode("utf-8", "surrogatepass") for c in marked]
-    return [crc(b"".join(letters)), *[crc(b"".join(letters[i : i + n])) for n in NGRAMS if n < size for i in range(size - n + 1)]]
-
-
-def subwords(word: str) -> list[int]:
-    """Hashed buckets of a word: itself in brackets and its letter n-grams."""
-    return [h % BUCKETS for h in _hashes(word)]
+@lru_cache(maxsize=1)
+def _characters() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: whether words are made of it, and whether it is a letter in the strict sense."""
+    every = "".join(map(chr, range(0x110000)))
+    runs, strict = np.zeros(len(every), bool), np.fromiter(map(str.isalpha, every), bool, len(every))
+    for m in _LETTERS.finditer(every):
+        runs[m.start() : m.end()] = True
+    return runs, strict
+
+
+def _buckets(x: np.ndarray) -> np.ndarray:
+    """Buckets of 32-bit numbers (wrapping arithmetic, in place)."""
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x2C1B3C6D)
+    x ^= x >> np.uint32(12)
+    x *= np.uint32(0x297A2D39)
+    x >>= np.uint32(32 - BUCKETS.bit_length() + 1)
+    return x
+
+
+def _hashed(codes: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of the words' subwords, for whole words and each of ``NGRAMS``: in the order of the words, and where each
+    word's begin and the last end.  ``codes`` are the letters of all words, ``sizes`` the letters of each.
+    """
+    factor = np.uint32(0x01000193)
+    sizes = sizes + 2  # with the brackets
+    ends = np.cumsum(sizes)
+    starts, n = ends - sizes, int(ends[-1])
+    inner = np.ones(n, bool)
+    inner[starts] = inner[ends - 1] = False
+    marked = np.full(n + max(NGRAMS), ord(">"), np.uint32)
+    marked[starts], marked[:n][inner] = ord("<"), codes
+    powers = np.full(int(sizes.max()), factor)
+    powers[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    place = np.arange(n, dtype=np.int32)
+    place -= np.repeat(starts.astype(np.int32), sizes)
+    out = [(_buckets(np.add.reduceat(marked[:n] * powers[place], starts, dtype=np.uint32)), np.arange(len(sizes) + 1))]
+    gram, valid = marked[:n].copy(), np.ones(n, bool)
+    for k in range(2, max(NGRAMS) + 1):
+        gram *= factor
+        gram += marked[k - 1 : n + k - 1]
+        valid[np.maximum(ends - k + 1, starts)] = False  # no room for k letters from here on
+        if k in NGRAMS:
+            fits = valid
+            if (sizes == k).any():  # the whole word is no n-gram
+                fits = valid.copy()
+                fits[starts[sizes == k]] = False
+            out.append((_buckets(gram[fits] + np.uint32(k << 24)), np.append(0, np.cumsum(np.where(sizes > k, sizes - k + 1, 0)))))
+    return out
+
+
+class Words:
+    """The words of a text, runs of letters in lower case (none if it has no letter), and the buckets of their subwords."""
+
+    def __init__(self, text: str) -> None:
+        runs, strict = _characters()
+        codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        inside = runs[codes]
+        at = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        self.codes = codes[inside]
+        if not strict[self.codes].any():
+            at = at[:0]
+        self.sizes = at[1::2] - at[::2]
+        self.ends = np.cumsum(self.sizes)
+        self.small = len(self.codes) <= BLOCK  # hashed once, windows are cut out
+        self.whole = _hashed(self.codes, self.sizes) if self.small and len(self) else None
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def buckets(self, first: int = 0, size: int | None = None) -> Iterator[np.ndarray]:
+        """Buckets of ``size`` words from ``first`` on (all), in parts of bounded size."""
+        last = len(self) if size is None else first + size
+        if self.small:
+            yield np.concatenate([found[offsets[first] : offsets[last]] for found, offsets in self.whole])
+            return
+        while first < last:
+            begin = int(self.ends[first] - self.sizes[first])
+            until = max(first + 1, min(last, int(np.searchsorted(self.ends, begin + BLOCK, "right"))))
+            yield np.concatenate([found for found, _ in _hashed(self.codes[begin : self.ends[until - 1]], self.sizes[first:until])])
+            first = until
+
+    def counted(self, first: int = 0, size: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct buckets of those words and how often each occurs."""
+        parts = list(self.buckets(first, size)) if self.small else None
+        if parts and len(parts[0]) < 1_000:
+            return np.unique(parts[0], return_counts=True)
+        total = np.zeros(BUCKETS, np.int64)
+        for part in parts or self.buckets(first, size):
+            total += np.bincount(part, minlength=BUCKETS)
+        at = np.flatnonzero(total != 0)
+        return at, total[at]
 
 
 @dataclass(frozen=True)
@@ -97,137 +179,154 @@ class Model:
 
 
 def _labelled(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """id, lang, text of the labelled documents outside the held-out fold; ``draw`` is a number below 1 of the id."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    """id, lang, text and half of the labelled documents outside the held-out fold; equal texts are of one half."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & (fold(F.col("id")) != HELD_OUT_FOLD))
-    return rows.withColumn("draw", F.pmod(F.xxhash64(F.lit("language sample"), "id"), F.lit(1_000_003)) / 1_000_003)
-
-
-def _share(sizes: dict[str, int], rows: int) -> Column:
-    """The share of a language's documents that makes about ``rows`` of them."""
-    return F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, rows / n))) for k, n in sizes.items()])
+    return rows.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "text"), F.lit(2)).cast("int"))
 
 
 def _sizes(labelled: DataFrame) -> dict[str, int]:
     return {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
 
 
-def _sample(labelled: DataFrame, sizes: dict[str, int]) -> list:
-    """Hashed counts of the sampled documents: (id, part, lang, buckets, counts)."""
-    if not sizes:
-        return []
-    chosen = labelled.where(F.col("draw") < _share(sizes, SAMPLE_PER_LANGUAGE)).select("id", "lang", "text")
+def _familiar(times: np.ndarray) -> np.ndarray:
+    """The buckets met: in much text every bucket is hit by chance, so one in ``FAMILIAR_ONE_IN`` subwords has to fall there."""
+    return times >= max(1, times.sum() / FAMILIAR_ONE_IN)
+
+
+class _Shard:
+    """Gradient descent over the documents of one shard; languages not met yet take no part in a step."""
+
+    def __init__(self, half: int, languages: int, rows: float, epochs: int) -> None:
+        draw = np.random.default_rng(0)
+        self.half, self.rows, self.epochs, self.step = half, rows, epochs, 0
+        self.embedding = (draw.standard_normal((BUCKETS, DIMENSIONS)) / DIMENSIONS).astype(np.float32)
+        self.weights, self.bias = np.zeros((DIMENSIONS, languages), np.float32), np.zeros(languages, np.float32)
+        self.times, self.seen, self.pieces = np.zeros(BUCKETS, np.int64), np.zeros(languages, bool), 0
+        self.kept: list[tuple] = []
+
+    def learn(self, buckets: np.ndarray, share: np.ndarray, lang: int) -> None:
+        steps = self.epochs * self.rows * (1 + len(WINDOWS))
+        rate, self.step = max(LEAST_RATE, RATE * (1 - self.step / steps)), self.step + 1
+        rows = self.embedding[buckets]
+        hidden = share @ rows
+        z = np.where(self.seen, hidden @ self.weights + self.bias, -np.inf)
+        p = np.exp(z - z.max())
+        p = (p / p.sum()).astype(np.float32)
+        p[lang] -= 1
+        back = self.weights @ p
+        self.weights -= (rate * hidden)[:, None] * p
+        self.bias -= np.float32(0.1 * rate) * p
+        rows -= np.multiply.outer(np.float32(rate * len(buckets) ** 0.5) * share, back)
+        self.embedding[buckets] = rows
+
+    def add(self, i: object, lang: int, words: Words) -> None:
+        draw, count = np.random.default_rng(zlib.crc32(str(i).encode())), len(words)
+        self.seen[lang] = True
+        for size in (count, *WINDOWS):
+            at = int(draw.integers(0, max(1, count - size + 1)))
+            buckets, times = words.counted(at, min(size, count))
+            self.times[buckets] += times
+            self.pieces += 1
+            share = (times / times.sum()).astype(np.float32)
+            self.learn(buckets, share, lang)
+            if self.epochs > 1:  # a small table
+                self.kept.append((buckets.astype(np.uint16), share, lang))
+
+    def result(self) -> dict:
+        """What it learned, as weighted whole numbers: a row a bucket met and language, the bias in bucket -1."""
+        draw = np.random.default_rng(1)
+        for _ in range(1, self.epochs):
+            for k in draw.permutation(len(self.kept)):
+                buckets, share, lang = self.kept[k]
+                self.learn(buckets.astype(np.intp), share, lang)
+        met, langs = np.flatnonzero(self.times), np.flatnonzero(self.seen)
+        times = np.append(self.times[met], self.pieces)
+        found = np.concatenate([self.embedding[met] @ self.weights[:, langs], self.bias[None, langs]]).astype(np.float64)
+        weighted = np.rint(found * times[:, None] * FIXED_POINT).astype(np.int64)
+        n = found.size
+        return {"half": np.full(n, self.half, np.int32), "bucket": np.repeat(np.append(met, -1), len(langs)).astype(np.int32),
+                "lang": np.tile(langs, len(times)).astype(np.int32), "weighted": weighted.ravel(), "times": np.repeat(times, len(langs))}
+
+
+def _learned(labelled: DataFrame, languages: tuple[str, ...], rows: int) -> tuple[Model, list[Model]]:
+    """The model of all labelled documents and that of each half."""
+    a_half = max(1, rows // (2 * SHARD_ROWS))  # shards
+    each_has = rows / (2 * a_half)
+    epochs = max(1, min(EPOCHS, int(LEARNED_PIECES / (each_has * (1 + len(WINDOWS))))))
+    shard = (2 * F.pmod(F.xxhash64(F.lit("shard"), "id", "text"), F.lit(a_half)) + F.col("half")).cast("int")
+    dealt = (labelled.withColumn("shard", shard).withColumn("draw", F.xxhash64(F.lit("order"), "id", "text")).repartitionById(2 * a_half, "shard")
+             .sortWithinPartitions("shard", "draw", "id", "lang", "text").select("shard", "id", "lang", "text"))
+    index = {k: i for i, k in enumerate(languages)}
 
     def make():
-        def each(batch: pa.RecordBatch):
-            ids, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            out = {"id": [], "part": [], "lang": [], "buckets": [], "counts": []}
-            for i, lang, text in zip(ids, langs, texts(batch.column(2))):
-                words = words_of(text)
-                draw = np.random.default_rng(zlib.crc32(str(i).encode()))
-                parts = [words]
-                for size in WINDOWS:
-                    at = int(draw.integers(0, max(1, len(words) - size + 1)))
-                    parts.append(words[at : at + size])
-                for k, part in enumerate(parts):
-                    if part:
-                        buckets, counts = np.unique(np.array([b for w in part for b in subwords(w)], np.int32), return_counts=True)
-                        for name, v in zip(out, (i, k, lang, buckets, counts.astype(np.int32))):
-                            out[name].append(v)
-            yield out
+        now: list = [None, None]  # the shard at hand and its number
 
+        def done():
+            if now[0] is not None and now[0].pieces:
+                yield now[0].result()
+
+        def each(batch: pa.RecordBatch):
+            for k, i, lang, text in zip(*(batch.column(c).to_pylist() for c in range(3)), texts(batch.column(3))):
+                if k != now[1]:
+                    yield from done()
+                    now[:] = _Shard(k % 2, len(languages), each_has, epochs), k
+                words = Words(text)
+                if len(words):
+                    now[0].add(i, index[lang], words)
+
+        each.end = done
         return each
 
-    rows = map_batches(chosen, "id long, part int, lang string, buckets array<int>, counts array<int>", make)
-    return sorted(rows.collect(), key=lambda r: (r["id"], r["part"], r["lang"]))
+    found = map_batches(dealt, "half int, bucket int, lang int, weighted long, times long", make)
+    sums = found.groupBy("half", "bucket", "lang").agg(F.sum("weighted").alias("w"), F.sum("times").alias("t"))
+    weighted, times = np.zeros((2, BUCKETS + 1, len(languages))), np.zeros((2, BUCKETS + 1, len(languages)))
+    for batch in sums.toArrow().to_batches():  # the model: at most two rows a bucket and language
+        half, bucket, lang, w, t = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+        weighted[half, bucket, lang], times[half, bucket, lang] = w / FIXED_POINT, t
+
+    def model(w: np.ndarray, t: np.ndarray) -> Model:
+        averages = w / np.maximum(t, 1)
+        bias = np.where(t[-1] > 0, averages[-1], -np.inf)
+        return Model(languages, averages[:-1].astype(np.float32), _familiar(t[:-1].max(1)), bias, 1.0, ((0.0, 0.0),) * len(BANDS))
+
+    return model(weighted.sum(0), times.sum(0)), [model(w, t) for w, t in zip(weighted, times)]
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit the model on the bounded sample; the same rows give the same model."""
+    """Fit the model on all labelled documents; the same rows give the same model."""
     labelled = _labelled(df, id_col, text_col, lang_col)
     sizes = _sizes(labelled)
-    rows = _sample(labelled, sizes)
-    languages = tuple(sorted({r["lang"] for r in rows}))
-    n = len(languages)
-    draw = np.random.default_rng(0)
-    embedding = (draw.standard_normal((BUCKETS, DIMENSIONS)) / DIMENSIONS).astype(np.float32)
-    weights, bias = np.zeros((DIMENSIONS, n), np.float32), np.zeros(n, np.float32)
-    index = {k: i for i, k in enumerate(languages)}
-    kept_back, learned = [], []
-    for r in rows:
-        buckets, counts = np.array(r["buckets"], np.int64), np.array(r["counts"], np.float32)
-        back = zlib.crc32(f"calibration {r['id']}".encode()) % 1000 < 1000 * CALIBRATION_SHARE
-        (kept_back if back else learned).append((buckets, counts / counts.sum(), index[r["lang"]], r["part"]))
-    met = np.zeros(BUCKETS, bool)
-    step, steps = 0, EPOCHS * len(learned)
-    for _ in range(EPOCHS):
-        for k in draw.permutation(len(learned)):
-            buckets, share, lang, _ = learned[k]
-            met[buckets] = True
-            rate, step = RATE * (1 - step / steps), step + 1
-            rows_of = embedding[buckets]
-            hidden = share @ rows_of
-            z = hidden @ weights + bias
-            p = np.exp(z - z.max())
-            p /= p.sum()
-            p[lang] -= 1
-            back = weights @ p
-            weights -= (rate * hidden)[:, None] * p
-            bias -= 0.1 * rate * p
-            embedding[buckets] = rows_of - (rate * len(buckets) ** 0.5 * share)[:, None] * back
-    embedding[~met] = 0  # what was never met tells nothing
-    scores = embedding @ weights
-    held = [(b @ scores[a] + bias, lang, part) for a, b, lang, part in kept_back]
-    temperature = 1.0
-    if held:
-        logits, gold = np.array([x for x, _, _ in held]), np.array([x for _, x, _ in held])
-
-        def probabilities(t: float) -> np.ndarray:
-            e = np.exp((logits - logits.max(1, keepdims=True)) / t)
-            return e / e.sum(1, keepdims=True)
-
-        loss = lambda t: -np.log(np.maximum(probabilities(t)[np.arange(len(gold)), gold], 1e-12)).mean()
-        temperature = float(min(np.geomspace(0.2, 20, 60), key=loss))
-    model = Model(languages, scores, met, bias, temperature, ((0.0, 0.0),) * len(BANDS))
-    return replace(model, thresholds=_thresholds(labelled, sizes, model)) if languages else model
+    languages = tuple(sorted(sizes))
+    if not languages:
+        return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(BUCKETS, bool), np.zeros(0), 1.0, ((0.0, 0.0),) * len(BANDS))
+    model, halves = _learned(labelled, languages, sum(sizes.values()))
+    taught = np.isfinite(model.bias)  # a language without any word teaches nothing
+    temperature, thresholds = _calibrated(labelled, languages, halves)
+    return replace(model, languages=tuple(k for k, x in zip(languages, taught) if x), scores=model.scores[:, taught], bias=model.bias[taught],
+                   temperature=temperature, thresholds=thresholds)
 
 
 class Scorer:
-    """Best language, score and familiarity of a list of words; the scores of the words met are kept in a table of bounded size."""
+    """Logits and familiarity of words; best language, score and familiarity of a text."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.place = model, {}
-        self.table = np.zeros((CACHED_WORDS, len(model.languages)), np.float32)
-        self.sizes, self.met = np.zeros(CACHED_WORDS, np.int32), np.zeros(CACHED_WORDS, np.int32)
-
-    def _learn(self, words: list[str]) -> None:
-        """Sums of the words' subwords into the table, for ``LEARNED_AT_ONCE`` words at a time."""
-        for k in range(0, len(words), LEARNED_AT_ONCE):
-            hashes = [_hashes(w) for w in words[k : k + LEARNED_AT_ONCE]]
-            sizes = np.fromiter(map(len, hashes), np.int64, len(hashes))
-            buckets = np.fromiter(chain.from_iterable(hashes), np.int64, int(sizes.sum())) % BUCKETS
-            starts, at = np.cumsum(sizes) - sizes, slice(len(self.place), len(self.place) + len(hashes))
-            self.table[at] = np.add.reduceat(self.model.scores[buckets], starts, axis=0)
-            self.met[at], self.sizes[at] = np.add.reduceat(self.model.met[buckets].astype(np.int32), starts), sizes
-            self.place.update(zip(words[k : k + LEARNED_AT_ONCE], range(at.start, at.stop)))
-
-    def __call__(self, words: list[str]) -> tuple[str, float, float]:
-        m, total, count, met = self.model, np.zeros(len(self.model.languages)), 0, 0
-        for at in range(0, len(words), CACHED_WORDS // 2):  # as many as the table takes
-            some = words[at : at + CACHED_WORDS // 2]
-            new = set(some).difference(self.place)
-            if len(self.place) + len(new) > CACHED_WORDS:
-                self.place.clear()
-                new = set(some)
-            self._learn(list(new))
-            rows = np.fromiter(map(self.place.__getitem__, some), np.int64, len(some))
-            total += self.table[rows].sum(0, dtype=np.float64)
-            count, met = count + int(self.sizes[rows].sum()), met + int(self.met[rows].sum())
-        z = (total / count + m.bias) / m.temperature
-        p = np.exp(z - z.max())
+        self.model = model
+        self.columns = [np.ascontiguousarray(c, np.float32) for c in (*model.scores.T, model.met)]
+
+    def logits(self, words: Words, first: int = 0, size: int | None = None) -> tuple[np.ndarray, float]:
+        total, count = np.zeros(len(self.columns)), 0
+        for buckets in words.buckets(first, size):
+            total += [c.take(buckets).sum(dtype=np.float64) for c in self.columns]
+            count += len(buckets)
+        return total[:-1] / count + self.model.bias, float(total[-1] / count)
+
+    def __call__(self, words: Words) -> tuple[str, float, float]:
+        z, familiarity = self.logits(words)
+        p = np.exp((z - z.max()) / self.model.temperature)
         p /= p.sum()
         best = int(p.argmax())
-        return m.languages[best], float(p[best]), met / count
+        return self.model.languages[best], float(p[best]), familiarity
 
 
 def band_of(words: int) -> int:
@@ -235,37 +334,59 @@ def band_of(words: int) -> int:
     return bisect_right(BANDS, words) - 1
 
 
-def _thresholds(labelled: DataFrame, sizes: dict[str, int], model: Model) -> tuple[tuple[float, float], ...]:
-    """The lowest score and familiarity of the rightly named pieces of each band, from documents that the model did not learn from."""
-    learned, wanted = _share(sizes, SAMPLE_PER_LANGUAGE), _share(sizes, CALIBRATED_PER_LANGUAGE)
-    apart = F.col("draw") >= learned
-    # where all documents were sampled, those kept back for the temperature serve
-    back = F.crc32(F.concat(F.lit("calibration "), F.col("id").cast("string")).cast("binary")) % 1000 < 1000 * CALIBRATION_SHARE
-    chosen = labelled.where((apart & (F.col("draw") < learned + wanted)) | (~apart & back)).select("id", "lang", "text")
-    held = labelled.sparkSession.sparkContext.broadcast(model)
+def _calibrated(labelled: DataFrame, languages: tuple[str, ...], halves: list[Model]) -> tuple[float, tuple[tuple[float, float], ...]]:
+    """The temperature and the thresholds of each band, from all labelled documents, each scored by the half that did not
+    learn from it.  The tasks count the scores at every temperature of ``TEMPERATURES`` and the familiarities in cells."""
+    held = labelled.sparkSession.sparkContext.broadcast([replace(m, met=m.met.copy()) for m in halves])
+    index, heat = {k: i for i, k in enumerate(languages)}, np.array(TEMPERATURES)
 
     def make():
-        scorer = Scorer(held.value)
+        scorers = [Scorer(m) for m in held.value]
 
         def each(batch: pa.RecordBatch):
-            out = {"band": [], "score": [], "familiarity": []}
-            for i, lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2))):
-                words = words_of(text)
-                draw = np.random.default_rng(zlib.crc32(f"band {i}".encode()))
-                for size in (len(words), *BANDS):
-                    if words and size <= len(words):
-                        at = int(draw.integers(0, len(words) - size + 1))
-                        name, score, familiarity = scorer(words[at : at + size])
-                        if name == lang:
-                            for k, v in zip(out, (band_of(size), score, familiarity)):
-                                out[k].append(v)
-            yield out
+            found: list[tuple] = []  # band, logits, familiarity, language
+            for i, lang, half, text in zip(*(batch.column(c).to_pylist() for c in range(3)), texts(batch.column(3))):
+                words, scorer, lang = Words(text), scorers[1 - half], index[lang]
+                if len(words) and np.isfinite(scorer.model.bias[lang]):
+                    draw, count = np.random.default_rng(zlib.crc32(f"band {i}".encode())), len(words)
+                    for size in (count, *(k for k in BANDS if k <= count)):
+                        at = int(draw.integers(0, count - size + 1))
+                        found.append((band_of(size), *scorer.logits(words, at, size), lang))
+            for k in range(0, len(found), 4_096):
+                yield counted(found[k : k + 4_096])
+
+        def counted(found: list[tuple]) -> dict:
+            bands, z, familiar, gold = (np.array(x) for x in zip(*found))
+            p = np.exp((z - z.max(1, keepdims=True)) / heat[:, None, None])  # temperature, piece, language
+            p /= p.sum(2, keepdims=True)
+            rows, right = np.arange(len(gold)), z.argmax(1) == gold
+            loss = -np.log(np.maximum(p[:, rows, gold], 1e-12)).sum(1)
+            cells = np.minimum((p.max(2)[:, right] * SCORE_CELLS).astype(np.int64), SCORE_CELLS - 1)
+            keys = [np.stack([np.repeat(np.arange(len(heat)), int(right.sum())), np.tile(bands[right], len(heat)), cells.ravel()]),
+                    np.stack([np.full(int(right.sum()), -1), bands[right], np.minimum((familiar[right] * FAMILIARITY_CELLS).astype(np.int64), FAMILIARITY_CELLS - 1)])]
+            at, n = np.unique(np.concatenate(keys, 1), axis=1, return_counts=True)
+            kinds = [np.append(x, y).astype(np.int32) for x, y in zip(at, (np.arange(len(heat)), np.full(len(heat), -1), np.full(len(heat), -1)))]
+            return {"heat": kinds[0], "band": kinds[1], "cell": kinds[2], "n": np.append(n, np.rint(loss * FIXED_POINT)).astype(np.int64)}
 
         return each
 
-    pieces = map_batches(chosen, "band int, score double, familiarity double", make).groupBy("band")
-    found = {r["band"]: r for r in pieces.agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s"), F.min("familiarity").alias("f")).collect()}  # one row a band
-    return tuple((found[k]["s"], found[k]["f"]) if k in found and found[k]["n"] >= LEAST_SCORES else (0.0, 0.0) for k in range(len(BANDS)))
+    counts = map_batches(labelled.select("id", "lang", "half", "text"), "heat int, band int, cell int, n long", make)
+    counts = stored(counts.groupBy("heat", "band", "cell").agg(F.sum("n").alias("n")), "language-calibration")
+    losses = {r["heat"]: r["n"] for r in counts.where("band = -1").collect()}  # one row a temperature
+    heat = min(losses, key=lambda k: (losses[k], k)) if losses else int(np.abs(np.log(TEMPERATURES)).argmin())
+    least: dict[tuple[int, bool], list] = {}
+    for r in sorted(counts.where((F.col("band") >= 0) & F.col("heat").isin(heat, -1)).collect(), key=lambda r: r["cell"]):  # a row a cell
+        least.setdefault((r["band"], r["heat"] < 0), []).append((r["cell"], r["n"]))
+
+    def threshold(band: int, familiarity: bool) -> float:
+        cells = least.get((band, familiarity), [])
+        below, pieces = 0, sum(n for _, n in cells)
+        for cell, n in cells if pieces >= LEAST_SCORES else ():
+            if (below := below + n) > pieces // REJECTS_ONE_IN:
+                return cell / (FAMILIARITY_CELLS if familiarity else SCORE_CELLS)
+        return 0.0
+
+    return TEMPERATURES[heat], tuple((threshold(k, False), threshold(k, True)) for k in range(len(BANDS)))
 
 
 def predict(df: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -281,10 +402,10 @@ def predict(df: DataFrame, model: Model, keep: list[str], text_col: str = "text"
         def each(batch: pa.RecordBatch):
             out = {"lang_pred": [], "score": [], "familiarity": [], "rejected": []}
             for text in texts(batch.column(where)):
-                words = words_of(text) if model.languages else []
-                lang, score, familiarity = scorer(words) if words else ("und", 0.0, 0.0)
-                least = model.thresholds[band_of(len(words))] if words else (1.0, 1.0)
-                for k, v in zip(out, (lang, score, familiarity, not words or score < least[0] or familiarity < least[1])):
+                words = Words(text if model.languages else "")
+                lang, score, familiarity = scorer(words) if len(words) else ("und", 0.0, 0.0)
+                least = model.thresholds[band_of(len(words))] if len(words) else (1.0, 1.0)
+                for k, v in zip(out, (lang, score, familiarity, not len(words) or score < least[0] or familiarity < least[1])):
                     out[k].append(v)
             yield {**{k: batch.column(i) for i, k in enumerate(keep)}, **out}
 
