@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -35,11 +36,27 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return fs.makeQualified(where).toString()
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside remove their shuffle files when they end, not when the driver next collects garbage.
+
+    For queries whose result is written or collected at once; Spark would run a stage again whose files were asked for later.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, name: str, at: str | None = None) -> DataFrame:
-    """``df`` written as Parquet into the shared folder and read back: lineage ends here."""
+    """``df`` written as Parquet into the shared folder and read back: lineage and shuffle files end here."""
     spark = df.sparkSession
     path = f"{at or shared_dir(spark, name)}/{name}"
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    with shuffles_dropped(spark):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trailcheck.llm.common import documents, shared_dir, stored
+from trailcheck.llm.common import delete, documents, shared_dir, stored
 
 MAX_DEPTH = 16
 BUCKET_CLASSES = 2_000
@@ -87,7 +87,9 @@ def build_index(rows: DataFrame, pages: DataFrame, at: str) -> DataFrame:
     if not clashing.isEmpty():
         same = F.lag("digest").over(Window.partitionBy("bucket", "hash").orderBy("digest")) == F.col("digest")
         index = index.withColumn("digest", F.when(F.coalesce(same, F.lit(False)), F.raise_error(F.lit("two texts share hash and digest"))).otherwise(F.col("digest")))
-    return stored(index, "index", at)
+    index = stored(index, "index", at)
+    delete(rows.sparkSession, f"{at}/owned")  # its texts are in the index
+    return index
 
 
 def _index(df: DataFrame, id_col: str, text_col: str, hash_of: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from trailcheck.llm.common import documents, fields, map_batches, stored, texts
+from trailcheck.llm.common import documents, fields, map_batches, shuffles_dropped, stored, texts
 
 BUCKETS = 1 << 16
 NGRAMS = (2, 3, 4)
@@ -54,12 +54,18 @@ FAMILIAR_ONE_IN = 1 << 23
 WINDOWS = (6, 25)
 EPOCHS = 5
 RATE, LEAST_RATE = 2.0, 0.1
+#: Beyond these squares of lengths of a document and of what pulls at it, steps are shortened; ordinary text stays under a third.
+STEADY_SIZE, STEADY_PULL = 64.0, 400.0
+LARGEST_WEIGHT, LARGEST_SCORE = 32.0, 32_768.0
 BANDS = (1, 3, 8, 25)
 REJECTS_ONE_IN = 4_000
 LEAST_SCORES = 300
 TEMPERATURES = tuple(float(t) for t in np.geomspace(0.2, 20, 24))
 SCORE_CELLS, FAMILIARITY_CELLS = 1_000, 10_000
 BLOCK = 1 << 20
+FACTOR = 0x01000193
+SORTED_BUCKETS = 8_000  # up to so many are counted by sorting them
+SUMMED_BUCKETS = 1 << 14
 FOLDS, HELD_OUT_FOLD = 4, 2
 FIXED_POINT = 1 << 12
 
@@ -90,11 +96,20 @@ def _buckets(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _hashed(codes: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Buckets of the words' subwords, for whole words and each of ``NGRAMS``: in the order of the words, and where each
-    word's begin and the last end.  ``codes`` are the letters of all words, ``sizes`` the letters of each.
+@lru_cache(maxsize=1)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 2^bits powers of ``FACTOR``, which is odd, and of its inverse, both modulo 2^32."""
+    out = tuple(np.full(1 << bits, f, np.uint32) for f in (FACTOR, pow(FACTOR, -1, 1 << 32)))
+    for x in out:
+        x[0] = 1
+        np.multiply.accumulate(x, out=x)
+    return out
+
+
+def _hashed(codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Buckets of the words' subwords: of the whole words, then for each of ``NGRAMS`` those of all words in their order;
+    and where each of these parts begins.  ``codes`` are the letters of all words, ``sizes`` the letters of each.
     """
-    factor = np.uint32(0x01000193)
     sizes = sizes + 2  # with the brackets
     ends = np.cumsum(sizes)
     starts, n = ends - sizes, int(ends[-1])
@@ -102,24 +117,21 @@ def _hashed(codes: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.n
     inner[starts] = inner[ends - 1] = False
     marked = np.full(n + max(NGRAMS), ord(">"), np.uint32)
     marked[starts], marked[:n][inner] = ord("<"), codes
-    powers = np.full(int(sizes.max()), factor)
-    powers[0] = 1
-    np.multiply.accumulate(powers, out=powers)
-    place = np.arange(n, dtype=np.int32)
-    place -= np.repeat(starts.astype(np.int32), sizes)
-    out = [(_buckets(np.add.reduceat(marked[:n] * powers[place], starts, dtype=np.uint32)), np.arange(len(sizes) + 1))]
+    up, down = _powers(max(16, n.bit_length()))
+    words = np.add.reduceat(marked[:n] * up[:n], starts, dtype=np.uint32)
+    words *= down[starts]
+    parts, bases, factor = [words], [0], np.uint32(FACTOR)
     gram, valid = marked[:n].copy(), np.ones(n, bool)
     for k in range(2, max(NGRAMS) + 1):
         gram *= factor
         gram += marked[k - 1 : n + k - 1]
         valid[np.maximum(ends - k + 1, starts)] = False  # no room for k letters from here on
+        valid[starts[sizes == k]] = False  # the whole word is no n-gram, nor has it room for a longer one
         if k in NGRAMS:
-            fits = valid
-            if (sizes == k).any():  # the whole word is no n-gram
-                fits = valid.copy()
-                fits[starts[sizes == k]] = False
-            out.append((_buckets(gram[fits] + np.uint32(k << 24)), np.append(0, np.cumsum(np.where(sizes > k, sizes - k + 1, 0)))))
-    return out
+            bases.append(bases[-1] + len(parts[-1]))
+            parts.append(gram[valid])
+            parts[-1] += np.uint32(k << 24)
+    return _buckets(np.concatenate(parts)), bases
 
 
 class Words:
@@ -128,39 +140,56 @@ class Words:
     def __init__(self, text: str) -> None:
         runs, strict = _characters()
         codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        inside = runs[codes]
-        at = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-        self.codes = codes[inside]
-        if not strict[self.codes].any():
+        inside = np.zeros(len(codes) + 2, bool)  # with a place without a letter to both sides
+        inside[1:-1] = runs[codes]
+        at = np.flatnonzero(inside[1:] != inside[:-1])
+        self.codes = codes[inside[1:-1]]
+        if not (strict[self.codes[:64]].any() or strict[self.codes].any()):
             at = at[:0]
         self.sizes = at[1::2] - at[::2]
         self.ends = np.cumsum(self.sizes)
         self.small = len(self.codes) <= BLOCK  # hashed once, windows are cut out
-        self.whole = _hashed(self.codes, self.sizes) if self.small and len(self) else None
+        self.whole, self.bases = _hashed(self.codes, self.sizes) if self.small and len(self) else (None, [])
+        self.offsets: np.ndarray | None = None
 
     def __len__(self) -> int:
         return len(self.sizes)
 
+    def _window(self, first: int, last: int) -> np.ndarray:
+        """Buckets of the words from ``first`` to ``last``, cut out of those of the whole text."""
+        if self.offsets is None:  # where each word's n-grams begin and the last end, by n
+            n = self.sizes + (3 - np.array(NGRAMS))[:, None]
+            self.offsets = np.zeros((len(NGRAMS), len(self) + 1), np.int64)
+            np.cumsum(np.where(n > 1, n, 0), axis=1, out=self.offsets[:, 1:])
+            self.offsets += np.array(self.bases[1:])[:, None]
+        return np.concatenate([self.whole[first:last], *(self.whole[a:b] for a, b in self.offsets[:, [first, last]].tolist())])
+
     def buckets(self, first: int = 0, size: int | None = None) -> Iterator[np.ndarray]:
         """Buckets of ``size`` words from ``first`` on (all), in parts of bounded size."""
         last = len(self) if size is None else first + size
         if self.small:
-            yield np.concatenate([found[offsets[first] : offsets[last]] for found, offsets in self.whole])
+            yield self.whole if (first, last) == (0, len(self)) else self._window(first, last)
             return
         while first < last:
             begin = int(self.ends[first] - self.sizes[first])
             until = max(first + 1, min(last, int(np.searchsorted(self.ends, begin + BLOCK, "right"))))
-            yield np.concatenate([found for found, _ in _hashed(self.codes[begin : self.ends[until - 1]], self.sizes[first:until])])
+            yield _hashed(self.codes[begin : self.ends[until - 1]], self.sizes[first:until])[0]
             first = until
 
     def counted(self, first: int = 0, size: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The distinct buckets of those words and how often each occurs."""
-        parts = list(self.buckets(first, size)) if self.small else None
-        if parts and len(parts[0]) < 1_000:
-            return np.unique(parts[0], return_counts=True)
-        total = np.zeros(BUCKETS, np.int64)
-        for part in parts or self.buckets(first, size):
-            total += np.bincount(part, minlength=BUCKETS)
+        parts = self.buckets(first, size)
+        if self.small:
+            part = next(parts)
+            if len(part) < SORTED_BUCKETS:
+                part = np.sort(part)
+                at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+                return part[at].astype(np.intp), np.diff(at, append=len(part))
+            total = np.bincount(part, minlength=BUCKETS)
+        else:
+            total = np.zeros(BUCKETS, np.int64)
+            for part in parts:
+                total += np.bincount(part, minlength=BUCKETS)
         at = np.flatnonzero(total != 0)
         return at, total[at]
 
@@ -208,16 +237,20 @@ class _Shard:
     def learn(self, buckets: np.ndarray, share: np.ndarray, lang: int) -> None:
         steps = self.epochs * self.rows * (1 + len(WINDOWS))
         rate, self.step = max(LEAST_RATE, RATE * (1 - self.step / steps)), self.step + 1
-        rows = self.embedding[buckets]
+        rows = self.embedding.take(buckets, 0)
         hidden = share @ rows
         z = np.where(self.seen, hidden @ self.weights + self.bias, -np.inf)
         p = np.exp(z - z.max())
         p = (p / p.sum()).astype(np.float32)
         p[lang] -= 1
         back = self.weights @ p
-        self.weights -= (rate * hidden)[:, None] * p
+        # one text in very many copies and languages would drive its words and the weights up in turn, without end
+        size, pull = float(hidden @ hidden), float(back @ back)
+        back *= np.float32(min(1.0, (STEADY_PULL / max(pull, 1e-9)) ** 0.5))
+        self.weights -= (rate * min(1.0, STEADY_SIZE / max(size, 1e-9)) * hidden)[:, None] * p
+        np.clip(self.weights, -LARGEST_WEIGHT, LARGEST_WEIGHT, out=self.weights)
         self.bias -= np.float32(0.1 * rate) * p
-        rows -= np.multiply.outer(np.float32(rate * len(buckets) ** 0.5) * share, back)
+        rows -= (np.float32(rate * len(buckets) ** 0.5) * share)[:, None] * back
         self.embedding[buckets] = rows
 
     def add(self, i: object, lang: int, words: Words) -> None:
@@ -243,6 +276,7 @@ class _Shard:
         met, langs = np.flatnonzero(self.times), np.flatnonzero(self.seen)
         times = np.append(self.times[met], self.pieces)
         found = np.concatenate([self.embedding[met] @ self.weights[:, langs], self.bias[None, langs]]).astype(np.float64)
+        np.clip(found, -LARGEST_SCORE, LARGEST_SCORE, out=found)
         weighted = np.rint(found * times[:, None] * FIXED_POINT).astype(np.int64)
         n = found.size
         return {"half": np.full(n, self.half, np.int32), "bucket": np.repeat(np.append(met, -1), len(langs)).astype(np.int32),
@@ -281,7 +315,9 @@ def _learned(labelled: DataFrame, languages: tuple[str, ...], rows: int) -> tupl
     found = map_batches(dealt, "half int, bucket int, lang int, weighted long, times long", make)
     sums = found.groupBy("half", "bucket", "lang").agg(F.sum("weighted").alias("w"), F.sum("times").alias("t"))
     weighted, times = np.zeros((2, BUCKETS + 1, len(languages))), np.zeros((2, BUCKETS + 1, len(languages)))
-    for batch in sums.toArrow().to_batches():  # the model: at most two rows a bucket and language
+    with shuffles_dropped(labelled.sparkSession):
+        table = sums.toArrow()  # the model: at most two rows a bucket and language
+    for batch in table.to_batches():
         half, bucket, lang, w, t = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
         weighted[half, bucket, lang], times[half, bucket, lang] = w / FIXED_POINT, t
 
@@ -312,12 +348,14 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.columns = [np.ascontiguousarray(c, np.float32) for c in (*model.scores.T, model.met)]
+        self.table = np.column_stack([model.scores, model.met]).astype(np.float64)
 
     def logits(self, words: Words, first: int = 0, size: int | None = None) -> tuple[np.ndarray, float]:
-        total, count = np.zeros(len(self.columns)), 0
+        total, count = np.zeros(self.table.shape[1]), 0
         for buckets in words.buckets(first, size):
-            total += [c.take(buckets).sum(dtype=np.float64) for c in self.columns]
+            for k in range(0, len(buckets), SUMMED_BUCKETS):
+                some = buckets[k : k + SUMMED_BUCKETS]
+                total += np.ones(len(some)) @ self.table.take(some, 0)
             count += len(buckets)
         return total[:-1] / count + self.model.bias, float(total[-1] / count)
 

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from trailcheck.llm.common import documents, map_batches, maybe_among, shared_dir, stored, texts
+from trailcheck.llm.common import delete, documents, map_batches, maybe_among, shared_dir, stored, texts
 from trailcheck.llm.components import components
 
 WORDS = 5
@@ -335,9 +335,8 @@ def _prefix_pairs(rows: DataFrame) -> DataFrame:
     return pairs.select(F.least("id_x", "id").alias("a"), F.greatest("id_x", "id").alias("b")).distinct()
 
 
-def _linked_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, told, key, n_shingles, component_id) of every row."""
-    at = shared_dir(df.sparkSession, "shingle-join")
+def _linked_rows(df: DataFrame, id_col: str, text_col: str, at: str) -> DataFrame:
+    """(id, told, key, n_shingles, component_id) of every row; ``at`` takes the tables it is read from."""
     rows, packed = shingle_classes(df, id_col, text_col, at)
     classes = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("least"), F.min("key").alias("key"), F.first("n").alias("n"))
     sets, able = candidate_sets(df, id_col, text_col, classes, missing_counts(packed), at)
@@ -357,13 +356,15 @@ def _linked_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def linked_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
-    return _linked_rows(df, id_col, text_col).select("id", "n_shingles", "component_id")
+    return _linked_rows(df, id_col, text_col, shared_dir(df.sparkSession, "shingle-join")).select("id", "n_shingles", "component_id")
 
 
 def first_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` whose id is the smallest of their text's component, with its columns and no others."""
-    found = _linked_rows(df, id_col, text_col)
+    at = shared_dir(df.sparkSession, "shingle-join")
+    found = _linked_rows(df, id_col, text_col, at)
     gone = stored(found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("id", "told", "key").distinct(), "linked")
+    delete(df.sparkSession, at)  # the rows that go are all that is read on
     flagged = maybe_among(df.select(F.struct("*").alias("row"), *_row(id_col, text_col)), "key", gone.select("key"))
     there = gone.select(F.col("id").alias("gone_id"), F.col("told").alias("gone_told"))
     left = flagged.where("__maybe").join(there, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("told") == F.col("gone_told")), "left_anti")

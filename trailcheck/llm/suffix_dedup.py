@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailcheck.llm.common import documents, fields, map_batches, maybe_among, shared_dir, ship, stored
+from trailcheck.llm.common import delete, documents, fields, map_batches, maybe_among, shared_dir, ship, stored
 
 LENGTH = 100
 GRAM = 32
@@ -312,7 +312,9 @@ def _kept(text: bytes, spans: list[tuple[int, int]]) -> list[bytes]:
 def _with_spans(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(row, text, starts) of documents with removed starts, and the rows of the others."""
     at = shared_dir(df.sparkSession, "suffix-dedup")
-    spans = stored(removed_spans(repeated_starts(df, id_col, text_col, at)), "spans", at)
+    steps = f"{at}/steps"
+    spans = stored(removed_spans(repeated_starts(df, id_col, text_col, steps)), "spans", at)
+    delete(df.sparkSession, steps)  # runs, chunks and pieces: the spans hold all that they gave
     held = df.select(F.struct("*").alias("row"), *_document(id_col, text_col)).withColumn("key", F.xxhash64("doc", "told"))
     flagged = maybe_among(held, "key", spans.select(F.xxhash64("doc", "told").alias("key")))
     met = flagged.where("__maybe").join(spans, ["doc", "told"], "left")
