@@ -27,9 +27,11 @@ from __future__ import annotations
 
 import gc
 import os
+import string
 import struct
 import unicodedata
 import uuid
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,12 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailcheck.llm.bpe import vocabulary_path
+from trailcheck.llm.bpe import byte_letters, vocabulary_path
 from trailcheck.llm.common import documents, map_batches, shared_dir, ship, stored, texts
 
 END_ID = 1
 FRAME_IDS = 1 << 16
 CACHED_WORDS = 700_000
+LATIN_END = "\u0250"  # lower-case letters before it are the same in every form and version of Unicode
 #: Fixed values of the seekable zstandard format.
 SKIPPABLE_MAGIC, SEEK_MAGIC, WITH_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 
@@ -51,7 +54,7 @@ class WordwiseEncoder:
     """Ids by the ``tokenizers`` library for vocabularies that drop white space, each distinct word encoded once.
 
     A token of such a vocabulary never spans ASCII white space, so a text's ids are those of its words in a row;
-    letters followed by full stops or commas are two pre-tokens and are looked up apart.
+    letters followed by ASCII punctuation are two pre-tokens and are looked up apart.
     """
 
     def __init__(self, path: str):
@@ -61,6 +64,7 @@ class WordwiseEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model, self.byte_letters = self.tokenizer.model, byte_letters()
         vocab = self.tokenizer.get_vocab()
         self.word_end = np.zeros(max(vocab.values()) + 1, bool)
         self.word_end[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -71,7 +75,7 @@ class WordwiseEncoder:
         pieces, known = self.pieces, self.words
         cores: dict[str, str] = {}
         for w in words:
-            core = w.rstrip(".,")
+            core = w.rstrip(string.punctuation)
             if core.isalpha():
                 if core.isascii():
                     core = core.lower()
@@ -84,21 +88,33 @@ class WordwiseEncoder:
         new = [p for p in tails.union(cores.values()) if p not in pieces]
         self._learn_letters([p for p in new if p.isalpha() and p.lower().isalpha()])
         other = [p for p in new if p not in pieces]
-        for p, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
+        for p, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             pieces[p] = np.array(e.ids, "<u4").tobytes()
         for w, core in cores.items():
             n = len(core)
             known[w] = pieces[core] if len(w) == n else pieces[core] + pieces[w[n:]]
 
     def _learn_letters(self, words: list[str]) -> None:
-        """Words of letters are one pre-token each, whose last id alone is a word end: many go through one call."""
-        for at in range(0, len(words), 2000):
-            some = words[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+        """Words of letters are one pre-token each.  Where the normaliser leaves them as they are, the library's model takes
+        them at once, in the letters of their bytes; of the others many go through one call, as the last id alone is a word end."""
+        pieces, tokenize, letters = self.pieces, self.model.tokenize, self.byte_letters
+        others = []
+        for w in words:
+            if w.isascii() and w.islower():
+                spelled = w
+            elif w == w.lower() and max(w) < LATIN_END:
+                spelled = "".join([letters[b] for b in w.encode()])
+            else:
+                others.append(w)
+                continue
+            pieces[w] = array("I", [t.id for t in tokenize(spelled)]).tobytes()
+        for at in range(0, len(others), 2000):
+            some = others[at : at + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.word_end[ids]) + 1
             if len(ends) == len(some):
                 for w, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist()):
-                    self.pieces[w] = ids[a:b].tobytes()
+                    pieces[w] = ids[a:b].tobytes()
 
     def encode_all(self, batch: list[str]) -> list[bytes]:
         # the vocabulary's normaliser lower-cases; doing so at once where it is plain leaves fewer distinct words
