@@ -36,6 +36,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -96,7 +97,7 @@ def _buckets(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=8)
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The first 2^bits powers of ``FACTOR``, which is odd, and of its inverse, both modulo 2^32."""
     out = tuple(np.full(1 << bits, f, np.uint32) for f in (FACTOR, pow(FACTOR, -1, 1 << 32)))
@@ -106,32 +107,37 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return out
 
 
-def _hashed(codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list[int]]:
+def _hashed(codes: np.ndarray, inside: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, list[int], list[np.ndarray]]:
     """Buckets of the words' subwords: of the whole words, then for each of ``NGRAMS`` those of all words in their order;
-    and where each of these parts begins.  ``codes`` are the letters of all words, ``sizes`` the letters of each.
+    where each of these parts begins; and for each of ``NGRAMS`` at which places of the text one begins.  ``codes`` are the characters of a text, with a place without a letter to both sides,
+    ``inside`` tells the letters and ``edges`` has the place before each word and its last one in turn.
+
+    The place before a word is its opening bracket and the one after it the closing one, so the text is hashed as it lies.
     """
-    sizes = sizes + 2  # with the brackets
-    ends = np.cumsum(sizes)
-    starts, n = ends - sizes, int(ends[-1])
-    inner = np.ones(n, bool)
-    inner[starts] = inner[ends - 1] = False
-    marked = np.full(n + max(NGRAMS), ord(">"), np.uint32)
-    marked[starts], marked[:n][inner] = ord("<"), codes
+    n, before, last = len(codes), edges[::2], edges[1::2]
+    first, other = np.where(inside, codes, np.uint32(ord("<"))), np.where(inside, codes, np.uint32(ord(">")))
     up, down = _powers(max(16, n.bit_length()))
-    words = np.add.reduceat(marked[:n] * up[:n], starts, dtype=np.uint32)
-    words *= down[starts]
-    parts, bases, factor = [words], [0], np.uint32(FACTOR)
-    gram, valid = marked[:n].copy(), np.ones(n, bool)
+    sums = np.zeros(n + 1, np.uint32)
+    np.cumsum(first * up[:n], dtype=np.uint32, out=sums[1:])
+    words = sums[last + 1] - sums[before]
+    words *= down[before]
+    words += np.uint32(ord(">")) * up[last + 1 - before]
+    parts, bases, places, factor = [words], [0], [], np.uint32(FACTOR)
+    gram, within = first, None  # letters alone between the two ends
     for k in range(2, max(NGRAMS) + 1):
-        gram *= factor
-        gram += marked[k - 1 : n + k - 1]
-        valid[np.maximum(ends - k + 1, starts)] = False  # no room for k letters from here on
-        valid[starts[sizes == k]] = False  # the whole word is no n-gram, nor has it room for a longer one
+        gram = gram[:-1] * factor
+        gram += other[k - 1 :]
         if k in NGRAMS:
+            valid = inside[: n - k + 1] | inside[k - 1 :]  # from bracket to bracket is no n-gram but the whole word
+            if within is not None:
+                valid &= within
             bases.append(bases[-1] + len(parts[-1]))
+            places.append(valid)
             parts.append(gram[valid])
             parts[-1] += np.uint32(k << 24)
-    return _buckets(np.concatenate(parts)), bases
+        within = inside[1 : n - k + 1] if within is None else within[:-1] & inside[k - 1 : n - 1]
+        within = within[: max(0, n - k)]
+    return _buckets(np.concatenate(parts)), bases, places
 
 
 class Words:
@@ -139,30 +145,28 @@ class Words:
 
     def __init__(self, text: str) -> None:
         runs, strict = _characters()
-        codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        inside = np.zeros(len(codes) + 2, bool)  # with a place without a letter to both sides
-        inside[1:-1] = runs[codes]
-        at = np.flatnonzero(inside[1:] != inside[:-1])
-        self.codes = codes[inside[1:-1]]
-        if not (strict[self.codes[:64]].any() or strict[self.codes].any()):
-            at = at[:0]
-        self.sizes = at[1::2] - at[::2]
-        self.ends = np.cumsum(self.sizes)
+        text = f" {text.lower()} "  # with a place without a letter to both sides
+        self.codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.inside = runs[self.codes]
+        edges = np.flatnonzero(self.inside[1:] != self.inside[:-1])
+        if len(edges) and not strict[self.codes[edges[0] + 1]] and not strict[self.codes[self.inside]].any():
+            edges = edges[:0]
+        self.edges = edges  # the place before each word and its last one in turn
+        self.sizes = edges[1::2] - edges[::2]
         self.small = len(self.codes) <= BLOCK  # hashed once, windows are cut out
-        self.whole, self.bases = _hashed(self.codes, self.sizes) if self.small and len(self) else (None, [])
-        self.offsets: np.ndarray | None = None
+        self.whole, self.bases, self.places = _hashed(self.codes, self.inside, edges) if self.small and len(self) else (None, [], [])
 
     def __len__(self) -> int:
         return len(self.sizes)
 
     def _window(self, first: int, last: int) -> np.ndarray:
         """Buckets of the words from ``first`` to ``last``, cut out of those of the whole text."""
-        if self.offsets is None:  # where each word's n-grams begin and the last end, by n
-            n = self.sizes + (3 - np.array(NGRAMS))[:, None]
-            self.offsets = np.zeros((len(NGRAMS), len(self) + 1), np.int64)
-            np.cumsum(np.where(n > 1, n, 0), axis=1, out=self.offsets[:, 1:])
-            self.offsets += np.array(self.bases[1:])[:, None]
-        return np.concatenate([self.whole[first:last], *(self.whole[a:b] for a, b in self.offsets[:, [first, last]].tolist())])
+        begin, end = int(self.edges[2 * first]), int(self.edges[2 * last - 1]) + 1
+        parts = [self.whole[first:last]]
+        for base, places in zip(self.bases[1:], self.places):
+            base += int(np.count_nonzero(places[:begin]))
+            parts.append(self.whole[base : base + int(np.count_nonzero(places[begin:end]))])
+        return np.concatenate(parts)
 
     def buckets(self, first: int = 0, size: int | None = None) -> Iterator[np.ndarray]:
         """Buckets of ``size`` words from ``first`` on (all), in parts of bounded size."""
@@ -171,9 +175,10 @@ class Words:
             yield self.whole if (first, last) == (0, len(self)) else self._window(first, last)
             return
         while first < last:
-            begin = int(self.ends[first] - self.sizes[first])
-            until = max(first + 1, min(last, int(np.searchsorted(self.ends, begin + BLOCK, "right"))))
-            yield _hashed(self.codes[begin : self.ends[until - 1]], self.sizes[first:until])[0]
+            begin = int(self.edges[2 * first])
+            until = max(first + 1, min(last, int(np.searchsorted(self.edges[1::2], begin + BLOCK, "right"))))
+            part = slice(begin, int(self.edges[2 * until - 1]) + 2)
+            yield _hashed(self.codes[part], self.inside[part], self.edges[2 * first : 2 * until] - begin)[0]
             first = until
 
     def counted(self, first: int = 0, size: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -182,9 +187,10 @@ class Words:
         if self.small:
             part = next(parts)
             if len(part) < SORTED_BUCKETS:
-                part = np.sort(part)
-                at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-                return part[at].astype(np.intp), np.diff(at, append=len(part))
+                part, new = np.sort(part), np.ones(len(part) + 1, bool)
+                np.not_equal(part[1:], part[:-1], out=new[1:-1])
+                at = np.flatnonzero(new)
+                return part[at[:-1]].astype(np.intp), at[1:] - at[:-1]
             total = np.bincount(part, minlength=BUCKETS)
         else:
             total = np.zeros(BUCKETS, np.int64)
@@ -230,34 +236,44 @@ class _Shard:
         draw = np.random.default_rng(0)
         self.half, self.rows, self.epochs, self.step = half, rows, epochs, 0
         self.embedding = (draw.standard_normal((BUCKETS, DIMENSIONS)) / DIMENSIONS).astype(np.float32)
-        self.weights, self.bias = np.zeros((DIMENSIONS, languages), np.float32), np.zeros(languages, np.float32)
+        self.whole_rows = self.embedding.view(f"V{self.embedding.itemsize * DIMENSIONS}")[:, 0]  # each copied as one item
+        self.weights, self.bias = np.zeros((DIMENSIONS, languages), np.float32), np.full(languages, -np.inf, np.float32)
+        self.rows_at_hand = np.empty((2, SORTED_BUCKETS, DIMENSIONS), np.float32)
         self.times, self.seen, self.pieces = np.zeros(BUCKETS, np.int64), np.zeros(languages, bool), 0
         self.kept: list[tuple] = []
 
     def learn(self, buckets: np.ndarray, share: np.ndarray, lang: int) -> None:
         steps = self.epochs * self.rows * (1 + len(WINDOWS))
         rate, self.step = max(LEAST_RATE, RATE * (1 - self.step / steps)), self.step + 1
-        rows = self.embedding.take(buckets, 0)
-        hidden = share @ rows
-        z = np.where(self.seen, hidden @ self.weights + self.bias, -np.inf)
-        p = np.exp(z - z.max())
-        p = (p / p.sum()).astype(np.float32)
+        n = len(buckets)
+        rows, pulls = self.rows_at_hand[:, :n] if n <= SORTED_BUCKETS else np.empty((2, n, DIMENSIONS), np.float32)
+        self.embedding.take(buckets, 0, out=rows, mode="clip")  # no copy is made in this mode; all are in range
+        hidden = share.dot(rows)
+        p = hidden.dot(self.weights)
+        p += self.bias
+        p -= np.maximum.reduce(p)
+        np.exp(p, out=p)
+        p /= np.add.reduce(p)
         p[lang] -= 1
-        back = self.weights @ p
+        back = self.weights.dot(p)
         # one text in very many copies and languages would drive its words and the weights up in turn, without end
-        size, pull = float(hidden @ hidden), float(back @ back)
-        back *= np.float32(min(1.0, (STEADY_PULL / max(pull, 1e-9)) ** 0.5))
+        size, pull = float(hidden.dot(hidden)), float(back.dot(back))
+        if pull > STEADY_PULL:
+            back *= np.float32((STEADY_PULL / pull) ** 0.5)
         self.weights -= (rate * min(1.0, STEADY_SIZE / max(size, 1e-9)) * hidden)[:, None] * p
-        np.clip(self.weights, -LARGEST_WEIGHT, LARGEST_WEIGHT, out=self.weights)
+        np.minimum(self.weights, np.float32(LARGEST_WEIGHT), out=self.weights)
+        np.maximum(self.weights, np.float32(-LARGEST_WEIGHT), out=self.weights)
         self.bias -= np.float32(0.1 * rate) * p
-        rows -= (np.float32(rate * len(buckets) ** 0.5) * share)[:, None] * back
-        self.embedding[buckets] = rows
+        np.dot((np.float32(rate * n**0.5) * share)[:, None], back[None, :], out=pulls)
+        rows -= pulls
+        np.put(self.whole_rows, buckets, rows.view(self.whole_rows.dtype)[:, 0])
 
     def add(self, i: object, lang: int, words: Words) -> None:
         draw, count = np.random.default_rng(zlib.crc32(str(i).encode())), len(words)
-        self.seen[lang] = True
+        if not self.seen[lang]:
+            self.seen[lang], self.bias[lang] = True, 0
         for size in (count, *WINDOWS):
-            at = int(draw.integers(0, max(1, count - size + 1)))
+            at = int(draw.integers(0, count - size + 1)) if size < count else 0
             buckets, times = words.counted(at, min(size, count))
             self.times[buckets] += times
             self.pieces += 1
@@ -349,16 +365,29 @@ class Scorer:
     def __init__(self, model: Model) -> None:
         self.model = model
         self.table = np.column_stack([model.scores, model.met]).astype(np.float64)
+        self.rows, self.ones = np.empty((SUMMED_BUCKETS, self.table.shape[1])), np.ones(SUMMED_BUCKETS)
 
     def logits(self, words: Words, first: int = 0, size: int | None = None) -> tuple[np.ndarray, float]:
         total, count = np.zeros(self.table.shape[1]), 0
         for buckets in words.buckets(first, size):
             for k in range(0, len(buckets), SUMMED_BUCKETS):
                 some = buckets[k : k + SUMMED_BUCKETS]
-                total += np.ones(len(some)) @ self.table.take(some, 0)
+                total += self.ones[: len(some)].dot(self.table.take(some, 0, out=self.rows[: len(some)], mode="clip"))
             count += len(buckets)
         return total[:-1] / count + self.model.bias, float(total[-1] / count)
 
+    def several(self, words: Words, spans: list[tuple[int, int]]) -> list[tuple[np.ndarray, float]]:
+        """``logits`` of several spans of words, (first, size) each; those of short spans are looked up together."""
+        if not words.small:
+            return [self.logits(words, *span) for span in spans]
+        parts = [next(words.buckets(*span)) for span in spans]
+        ends = list(accumulate(map(len, parts)))
+        if ends[-1] > SUMMED_BUCKETS:
+            return [self.logits(words, *span) for span in spans]
+        rows = self.table.take(np.concatenate(parts), 0, out=self.rows[: ends[-1]], mode="clip")
+        totals = [self.ones[: b - a].dot(rows[a:b]) / (b - a) for a, b in zip([0, *ends], ends)]
+        return [(x[:-1] + self.model.bias, float(x[-1])) for x in totals]
+
     def __call__(self, words: Words) -> tuple[str, float, float]:
         z, familiarity = self.logits(words)
         p = np.exp((z - z.max()) / self.model.temperature)
@@ -387,9 +416,10 @@ def _calibrated(labelled: DataFrame, languages: tuple[str, ...], halves: list[Mo
                 words, scorer, lang = Words(text), scorers[1 - half], index[lang]
                 if len(words) and np.isfinite(scorer.model.bias[lang]):
                     draw, count = np.random.default_rng(zlib.crc32(f"band {i}".encode())), len(words)
-                    for size in (count, *(k for k in BANDS if k <= count)):
-                        at = int(draw.integers(0, count - size + 1))
-                        found.append((band_of(size), *scorer.logits(words, at, size), lang))
+                    sizes = [k for k in BANDS if k <= count]
+                    spans = [(int(draw.integers(0, count - k + 1)) if k < count else 0, k) for k in sizes]
+                    found.append((band_of(count), *scorer.logits(words), lang))
+                    found += [(band_of(k), *z, lang) for k, z in zip(sizes, scorer.several(words, spans))]
             for k in range(0, len(found), 4_096):
                 yield counted(found[k : k + 4_096])
 
