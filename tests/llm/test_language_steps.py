@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -45,3 +46,21 @@ def test_power_tables_outlive_a_long_text():
     for text in ("ab cd", "ab " * 30_000, "ab cd"):
         language_id.Words(text)
     assert language_id._powers.cache_info().misses == 2
+
+
+def test_scoring_a_short_text_copies_no_table():
+    draw, taught = np.random.default_rng(4), np.array([True, False, True])
+    scores = draw.standard_normal((language_id.BUCKETS, 3)).astype(np.float32)[:, taught]  # as ``train`` leaves out a language without any word
+    scorer = language_id.Scorer(language_id.Model(("aa", "cc"), scores, draw.random(language_id.BUCKETS) < 0.5, np.array([0.5, -0.5]), 1.0,
+                                                  ((0.0, 0.0),) * len(language_id.BANDS)))
+    words, spans = language_id.Words("wood der und"), [(0, 1), (1, 2)]
+    tracemalloc.start()
+    try:
+        z, familiarity = scorer.logits(words)
+        scorer.several(words, spans)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < scorer.table.nbytes // 8
+    buckets = next(words.buckets())
+    assert np.allclose(z, scores[buckets].astype(float).mean(0) + [0.5, -0.5]) and abs(familiarity - scorer.model.met[buckets].mean()) < 1e-12

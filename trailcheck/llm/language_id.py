@@ -364,7 +364,8 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.table = np.column_stack([model.scores, model.met]).astype(np.float64)
+        # row by row: a table in another order, such as one of chosen columns, would be copied whole by each look-up
+        self.table = np.ascontiguousarray(np.column_stack([model.scores, model.met]), np.float64)
         self.rows, self.ones = np.empty((SUMMED_BUCKETS, self.table.shape[1])), np.ones(SUMMED_BUCKETS)
 
     def logits(self, words: Words, first: int = 0, size: int | None = None) -> tuple[np.ndarray, float]:
